@@ -85,14 +85,14 @@ def device_burst_7d(
     e = e.select("*", F.explode(F.array(bucket, bucket + 1)).alias("g")).repartition("cust_ids", "g")
     nxt = F.lead("us").over(Window.partitionBy("cust_ids", "g", "dev").orderBy("us"))
     stop = F.col("us") + F.lit(width + 1)
-    end = F.least(stop, F.coalesce(nxt, stop))
+    e = e.select("cust_ids", "g", "us", F.least(stop, F.coalesce(nxt, stop)).alias("end"))
     edges = e.select(
         "cust_ids",
         "g",
         F.explode(
             F.array(
                 F.struct(F.col("us").alias("t"), F.lit(1).alias("d")),
-                F.struct(end.alias("t"), F.lit(-1).alias("d")),
+                F.struct(F.col("end").alias("t"), F.lit(-1).alias("d")),
             )
         ).alias("edge"),
     ).select("cust_ids", "g", "edge.t", "edge.d")
