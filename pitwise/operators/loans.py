@@ -291,7 +291,7 @@ def overdue_flag_strict(
     starts = overdue.filter(F.col("overdue_days") > min_days).select(
         "loan_no", day_start(F.col("start_date")).alias("t1")
     )
-    first = starts.join(other.distinct(), "loan_no", "inner").groupBy("cust_ids").agg(F.min("t1").alias("t1"))
+    first = starts.join(other, "loan_no", "inner").groupBy("cust_ids").agg(F.min("t1").alias("t1"))
     lead_us = int(lead_days * 86_400_000_000)
     hit = cohort.select("cust_ids", "time_censor").join(first, "cust_ids", "inner").filter(
         F.unix_micros("t1") < F.unix_micros("time_censor") - F.lit(lead_us)
@@ -313,7 +313,7 @@ def overdue_flag_any(cohort: DataFrame, loans: DataFrame, overdue: DataFrame) ->
     """1.0 for customers with a loan that has a positive-day overdue
     record dated before the censor's day. Only flagged customers get a row.
     """
-    every = valid_loans(loans).select("loan_no", "cust_ids").distinct()
+    every = valid_loans(loans).select("loan_no", "cust_ids")
     recs = overdue.filter(F.col("overdue_days") > 0.0).select("loan_no", "stat_date")
     first = recs.join(every, "loan_no", "inner").groupBy("cust_ids").agg(F.min("stat_date").alias("d1"))
     hit = cohort.select("cust_ids", "time_censor").join(first, "cust_ids", "inner").filter(

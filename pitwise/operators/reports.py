@@ -125,16 +125,16 @@ def query_counts_gen1(
 
 
 def _query_summary(pqo, pqo_pc05, pc05a, pc05b) -> DataFrame:
-    a = pqo.select("id", "doc_id").distinct()
-    a1 = pqo_pc05.select(F.col("id").alias("pc05_id"), "pqo_id").distinct()
-    a2 = pc05a.distinct().select(
+    a = pqo.select("id", "doc_id")
+    a1 = pqo_pc05.select(F.col("id").alias("pc05_id"), "pqo_id")
+    a2 = pc05a.select(
         F.col("pqo_pc05_id").alias("a_pc05_id"),
         F.col("pc05ar01").alias("last_query_date"),
         F.col("pc05aq01").alias("last_query_reason"),
         F.col("pc05ad01").alias("last_query_org"),
         F.col("pc05ai01").alias("last_query_org_code"),
     )
-    a3 = pc05b.distinct().select(
+    a3 = pc05b.select(
         F.col("pqo_pc05_id").alias("b_pc05_id"),
         F.col("pc05bs01").alias("query_loan_org_cnt_1m"),
         F.col("pc05bs02").alias("query_card_org_cnt_1m"),
@@ -160,28 +160,31 @@ def _query_summary(pqo, pqo_pc05, pc05a, pc05b) -> DataFrame:
             "query_selfquery_cnt_1m",
             "query_loanmanage_24m",
         )
-        .distinct()
     )
 
 
 def _query_record(poq, poq_ph01) -> DataFrame:
-    a = poq.select("id", "doc_id").distinct()
+    a = poq.select("id", "doc_id")
     a1 = poq_ph01.select(
         "poq_id",
         F.col("ph010r01").alias("query_date"),
         F.col("ph010d01").alias("management_org_type"),
         F.col("ph010q02").alias("query_org"),
         F.col("ph010q03").alias("query_reason"),
-    ).distinct()
+    )
     return a.join(a1, a["id"] == a1["poq_id"], "left").select(
         "doc_id", "query_date", "management_org_type", "query_org", "query_reason"
     )
 
 
 def report_identity(prh, prh_pa01, prh_pa01b) -> DataFrame:
-    """Identity units of gen-2 documents: (doc_id, unit, name, id number...)."""
-    a = prh.select("id", "doc_id").distinct()
-    a1 = prh_pa01.select(F.col("id").alias("report_unit_id"), "prh_id").distinct()
+    """Identity units of gen-2 documents: (doc_id, unit, name, id number...).
+
+    A bag, not a set: its consumers (the flattening and the latest-report
+    search) are insensitive to repeated rows.
+    """
+    a = prh.select("id", "doc_id")
+    a1 = prh_pa01.select(F.col("id").alias("report_unit_id"), "prh_id")
     a2 = prh_pa01b.select(
         "prh_pa01_id",
         F.col("pa01bq01").alias("name"),
@@ -189,23 +192,24 @@ def report_identity(prh, prh_pa01, prh_pa01b) -> DataFrame:
         F.col("pa01bi01").alias("id_card_num"),
         F.col("pa01bi02").alias("query_ord_code"),
         F.col("pa01bd02").alias("query_reason_code"),
-    ).distinct()
+    )
     return (
         a.join(a1, a["id"] == a1["prh_id"], "left")
         .join(a2, F.col("report_unit_id") == F.col("prh_pa01_id"), "left")
         .select("doc_id", "report_unit_id", "name", "id_type", "id_card_num", "query_ord_code", "query_reason_code")
-        .distinct()
     )
 
 
 def gen2_documents(doc: DataFrame, min_create: str = codes.GEN2_MIN_CREATE) -> DataFrame:
-    """Gen-2 document headers created on or after ``min_create``'s day."""
+    """Gen-2 document headers created on or after ``min_create``'s day.
+
+    Not deduplicated: every consumer is insensitive to repeated headers.
+    """
     from pitwise.functions.time import instant_literal
 
     return (
         doc.filter(F.col("create_time") >= instant_literal(min_create))
         .select("id", "report_code", "create_time")
-        .distinct()
     )
 
 
@@ -248,6 +252,10 @@ def report_flatten(
     ``main`` is the document headers (``gen2_documents``), ``identity`` the
     output of ``report_identity``. Headers are left-joined to their query
     summary, query records and identity units on the document id.
+
+    Only the final ``distinct`` is applied: left joins of bags followed by a
+    distinct give the same rows as left joins of sets, so deduplicating each
+    branch first would add a shuffle per branch and change nothing.
     """
     qs = _query_summary(pqo, pqo_pc05, pc05a, pc05b).withColumnRenamed("doc_id", "qs_doc")
     qr = _query_record(poq, poq_ph01).withColumnRenamed("doc_id", "qr_doc")
@@ -285,7 +293,7 @@ def query_counts_gen2(
     alone; only documents of those times are flattened.
     """
     links = main.select("id", "create_time").join(
-        identity.select(F.col("doc_id").alias("link_doc"), "id_card_num").distinct(),
+        identity.select(F.col("doc_id").alias("link_doc"), "id_card_num"),
         F.col("id") == F.col("link_doc"),
         "inner",
     )
@@ -297,7 +305,6 @@ def query_counts_gen2(
         cands.join(tmax, "cust_ids", "inner")
         .filter(F.col("create_time") == F.col("t_max"))
         .select(F.col("id").alias("latest_id"))
-        .distinct()
     )
     sub = main.join(latest_docs, main["id"] == latest_docs["latest_id"], "left_semi")
     flat = report_flatten(sub, pqo, pqo_pc05, pc05a, pc05b, poq, poq_ph01, identity)
@@ -376,7 +383,7 @@ def loan_settlement_ratios(
     "Repaid" prorates a loan without status that ends after the censor:
     amount per period times the whole number of periods left, as defined.
     """
-    loans = report_loans.distinct()
+    loans = report_loans
     base = latest.select("cust_ids", "report_sn", "censor")
     j = base.join(loans, base["report_sn"] == loans["report_id"], "left").select(
         "cust_ids",
@@ -454,4 +461,4 @@ def min_gap_lag2(latest: DataFrame, report_cards: DataFrame) -> DataFrame:
     gaps = per_day.select("cust_ids", cand.alias("gap")).groupBy("cust_ids").agg(
         F.min("gap").cast("int").alias("lag2_loan_card_time_diff_min")
     )
-    return base.select("cust_ids").distinct().join(gaps, "cust_ids", "left")
+    return base.select("cust_ids").join(gaps, "cust_ids", "left")

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The feature job this library re-expresses has no streaming input, state,
+watermark or trigger; its "realtime" section is a batch left join (D27,
+``operators.assemble.attach_applications``). No streaming operator is
+provided, so that nothing here goes beyond what the job computes.
+"""
