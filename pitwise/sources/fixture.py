@@ -257,7 +257,6 @@ ADAPTERS = {
                 ("lastmonthquery_selfquery", "cast(l_quantity as bigint) % 4"),
                 ("last2yearquery_loanmanage", "l_suppkey % 9"),
             ),
-            where="l_linenumber <= 2",
         ),
         Adapter(
             "report_loans",
