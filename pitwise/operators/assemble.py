@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pitwise.functions import codes
 from pitwise.functions.exprs import ratio
+from pitwise.functions.joins import left_join_hot_right
 from pitwise.functions.time import epoch_days
 from pitwise.operators.loans import is_xfd
 
@@ -95,7 +96,7 @@ def attach_applications(features: DataFrame, loans: DataFrame) -> DataFrame:
         F.col("loan_term").cast("double").alias("loan_apply_term"),
         F.col("loan_time").alias("loan_apply_time"),
     )
-    return features.join(apps, "cust_ids", "left")
+    return left_join_hot_right(features, apps, ["cust_ids"])
 
 
 def credit_age(

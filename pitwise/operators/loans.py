@@ -201,17 +201,17 @@ def principal_pay_ratio(cohort: DataFrame, loans: DataFrame, repaid: DataFrame)
     it. One row per cohort customer, with the D11 sums alongside.
     """
     applied = valid_loans(loans).filter(is_xfd()).select("cust_ids", "loan_time", "loan_amount").distinct()
-    cum = (
+    # Inner join, then aggregate: a customer with very many loans stays
+    # splittable; customers without any get 0.0 from the final left join.
+    sums = (
         cohort.select("cust_ids", "time_censor")
-        .join(applied, "cust_ids", "left")
+        .join(applied, "cust_ids", "inner")
+        .filter(F.col("loan_time") < F.col("time_censor"))
         .groupBy("cust_ids")
-        .agg(
-            F.sum(
-                F.when(F.col("loan_time") < F.col("time_censor"), F.col("loan_amount")).otherwise(_dec0())
-            )
-            .cast("double")
-            .alias("xfd_apply_amt_cum")
-        )
+        .agg(F.sum("loan_amount").cast("double").alias("amt"))
+    )
+    cum = cohort.select("cust_ids").join(sums, "cust_ids", "left").select(
+        "cust_ids", F.coalesce(F.col("amt"), F.lit(0.0)).alias("xfd_apply_amt_cum")
     )
     out = cum.join(repaid, "cust_ids", "left")
     return out.select(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pitwise.functions import codes
 from pitwise.functions.exprs import flag_sum, not_equal_all, ratio
+from pitwise.functions.joins import left_join_hot_right
 
 def _dec0() -> Column:
     return F.lit(0).cast("decimal(18,2)")
@@ -92,13 +93,16 @@ def query_counts_gen1(
     per_day = queries.groupBy(
         "report_id", F.to_date("querydate").alias("qday"), "queryreason"
     ).agg(F.count(F.lit(1)).alias("n"))
-    j = rep.join(per_day, rep["report_sn"] == per_day["report_id"], "left").withColumn(
+    j = rep.join(per_day, rep["report_sn"] == per_day["report_id"], "inner").withColumn(
         "no_days", F.datediff("report_day", "qday")
     )
     specs = _window_specs(F.col("queryreason"), F.lit(codes.REASON_LOAN), F.lit(codes.REASON_CARD), windows)
-    counts = j.groupBy("cust_ids", "report_sn").agg(
+    # Inner join then aggregate (a report with very many enquiries stays
+    # splittable); reports without enquiries count 0 after the left join.
+    sums = j.groupBy("cust_ids").agg(
         *[F.sum(F.when(cond, F.col("n")).otherwise(F.lit(0))).alias(name) for name, cond in specs]
     )
+    counts = rep.select("cust_ids", "report_sn").join(sums, "cust_ids", "left")
     s = (
         summary.select("report_id", "lastmonthquery_selfquery", "last2yearquery_loanmanage")
         .distinct()
@@ -114,7 +118,7 @@ def query_counts_gen1(
     mult = F.greatest(F.coalesce(F.col("n_s"), F.lit(0)), F.lit(1))
     return out.select(
         "cust_ids",
-        *[(F.col(name) * mult).cast("double").alias(f"{name}_1") for name, _ in specs],
+        *[(F.coalesce(F.col(name), F.lit(0)) * mult).cast("double").alias(f"{name}_1") for name, _ in specs],
         F.col("lm").alias("query_loanmanage_24m_1"),
         F.col("sq").alias("query_selfquery_1m_1"),
         F.coalesce(F.col("uq"), F.lit(0)).alias("uq"),
@@ -166,13 +170,13 @@ def _query_summary(pqo, pqo_pc05, pc05a, pc05b) -> DataFrame:
 def _query_record(poq, poq_ph01) -> DataFrame:
     a = poq.select("id", "doc_id")
     a1 = poq_ph01.select(
-        "poq_id",
+        F.col("poq_id").alias("id"),
         F.col("ph010r01").alias("query_date"),
         F.col("ph010d01").alias("management_org_type"),
         F.col("ph010q02").alias("query_org"),
         F.col("ph010q03").alias("query_reason"),
     )
-    return a.join(a1, a["id"] == a1["poq_id"], "left").select(
+    return left_join_hot_right(a, a1, ["id"]).select(
         "doc_id", "query_date", "management_org_type", "query_org", "query_reason"
     )
 
@@ -257,16 +261,13 @@ def report_flatten(
     distinct give the same rows as left joins of sets, so deduplicating each
     branch first would add a shuffle per branch and change nothing.
     """
-    qs = _query_summary(pqo, pqo_pc05, pc05a, pc05b).withColumnRenamed("doc_id", "qs_doc")
-    qr = _query_record(poq, poq_ph01).withColumnRenamed("doc_id", "qr_doc")
-    rq = identity.withColumnRenamed("doc_id", "rq_doc")
-    return (
-        main.join(qs, main["id"] == qs["qs_doc"], "left")
-        .join(qr, main["id"] == qr["qr_doc"], "left")
-        .join(rq, main["id"] == rq["rq_doc"], "left")
-        .select(*FLAT_COLUMNS)
-        .distinct()
-    )
+    qs = _query_summary(pqo, pqo_pc05, pc05a, pc05b).withColumnRenamed("doc_id", "id")
+    qr = _query_record(poq, poq_ph01).withColumnRenamed("doc_id", "id")
+    rq = identity.withColumnRenamed("doc_id", "id")
+    flat = main.join(qs, "id", "left")
+    flat = left_join_hot_right(flat, qr, ["id"])  # many enquiries per document
+    flat = flat.join(rq, "id", "left")
+    return flat.select(*FLAT_COLUMNS).distinct()
 
 
 # --- D17 -------------------------------------------------------------------
@@ -385,7 +386,8 @@ def loan_settlement_ratios(
     """
     loans = report_loans
     base = latest.select("cust_ids", "report_sn", "censor")
-    j = base.join(loans, base["report_sn"] == loans["report_id"], "left").select(
+    # Inner join: rows without a loan fail the date filter below anyway.
+    j = base.join(loans, base["report_sn"] == loans["report_id"], "inner").select(
         "cust_ids",
         "loan_id",
         "start_date",
@@ -441,7 +443,7 @@ def min_gap_lag2(latest: DataFrame, report_cards: DataFrame) -> DataFrame:
     that does not grow with the number of cards.
     """
     base = latest.select("cust_ids", "report_sn", "censor")
-    cards = base.join(report_cards, base["report_sn"] == report_cards["report_id"], "left").select(
+    cards = base.join(report_cards, base["report_sn"] == report_cards["report_id"], "inner").select(
         "cust_ids", "start_date", "org_type", "organname", "card_type", "guarantee_type", "deadline", "censor"
     )
     per_day = (
