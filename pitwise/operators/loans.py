@@ -116,7 +116,7 @@ def loan_history_counts(
     loans: DataFrame,
     overdue: DataFrame,
     repayments: DataFrame,
-    bucket_days: int = 30,
+    bucket_days: int = 1,
 ) -> DataFrame:
     """Over all pairs (loan, earlier loan of the same customer, other
     loan number), how many earlier loans were good / bad at the later loan's

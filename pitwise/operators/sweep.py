@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from pitwise.functions.time import MICROS_PER_DAY
 
-DEFAULT_BUCKET_DAYS = 30
+DEFAULT_BUCKET_DAYS = 1
 
 
 def coverage_totals(

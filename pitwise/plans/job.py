@@ -32,7 +32,7 @@ class JobParams:
     amount_cap: float = codes.AMOUNT_CAP
     loan_use_period: str = "month"
     gen2_min_create: str = codes.GEN2_MIN_CREATE
-    history_bucket_days: int = 30
+    history_bucket_days: int = 1
 
 
 class FeatureJob:
