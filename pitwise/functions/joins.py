@@ -7,18 +7,35 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+ROWS_PER_SPLIT = 1_000_000
+MAX_SPLITS = 4096
 
-def left_join_hot_right(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+
+def left_join_hot_right(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    rows_per_split: int = ROWS_PER_SPLIT,
+    max_splits: int = MAX_SPLITS,
+) -> DataFrame:
     """``left LEFT JOIN right USING (keys)`` for a right side whose keys may be hot.
 
     Adaptive execution splits a skewed partition only on the preserved side
-    of an outer join, so a key holding a large share of ``right`` would be one
-    task. Written as an inner join (either side splittable) plus the left rows
-    without a match (an anti join against the *distinct* keys of ``right``,
-    one row per key), the result is the same rows and no key is one task.
+    of an outer join, so a key holding a large share of ``right`` would be
+    one task. Here each key gets ``ceil(rows / rows_per_split)`` splits (1 for
+    all but hot keys; counted with a map-side combined aggregate): a right
+    row goes to split ``hash(row) % splits``, the left row is repeated once
+    per split, and the join runs on (keys, split). Null-padded rows of empty
+    splits of a matched key are dropped, so the result is exactly the left
+    join. ``left`` is referenced once; the split column is deterministic, so
+    retried tasks reproduce it.
     """
     keys = list(keys)
-    matched = left.join(right, keys, "inner")
-    unmatched = left.join(right.select(*keys).distinct(), keys, "left_anti")
-    fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name not in keys]
-    return matched.unionByName(unmatched.select("*", *fill))
+    n_splits = F.least(F.lit(max_splits), F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_split))))
+    counts = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(*keys, n_splits.cast("int").alias("_k"))
+    split = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in right.columns]), F.col("_k")).cast("int")
+    r = right.join(counts, keys, "inner").select("*", split.alias("_s"), F.lit(True).alias("_m")).drop("_k")
+    reps = F.sequence(F.lit(0), F.coalesce(F.col("_k"), F.lit(1)) - 1)
+    l = left.join(counts, keys, "left").select("*", F.explode(reps).alias("_s"))
+    out = l.join(r, keys + ["_s"], "left").filter(F.col("_k").isNull() | F.col("_m").isNotNull())
+    return out.drop("_k", "_s", "_m")

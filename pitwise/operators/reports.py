@@ -250,12 +250,14 @@ def report_flatten(
     poq: DataFrame,
     poq_ph01: DataFrame,
     identity: DataFrame,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Gen-2 document trees as flat distinct rows (20 columns).
 
     ``main`` is the document headers (``gen2_documents``), ``identity`` the
     output of ``report_identity``. Headers are left-joined to their query
-    summary, query records and identity units on the document id.
+    summary, query records and identity units on the document id. Columns
+    named in ``carry`` travel from ``main`` into the rows (and the distinct).
 
     Only the final ``distinct`` is applied: left joins of bags followed by a
     distinct give the same rows as left joins of sets, so deduplicating each
@@ -267,7 +269,7 @@ def report_flatten(
     flat = main.join(qs, "id", "left")
     flat = left_join_hot_right(flat, qr, ["id"])  # many enquiries per document
     flat = flat.join(rq, "id", "left")
-    return flat.select(*FLAT_COLUMNS).distinct()
+    return flat.select(*FLAT_COLUMNS, *carry).distinct()
 
 
 # --- D17 -------------------------------------------------------------------
@@ -294,24 +296,24 @@ def query_counts_gen2(
     alone; only documents of those times are flattened.
     """
     links = main.select("id", "create_time").join(
-        identity.select(F.col("doc_id").alias("link_doc"), "id_card_num"),
-        F.col("id") == F.col("link_doc"),
-        "inner",
+        identity.select(F.col("doc_id").alias("id"), "id_card_num"), "id", "inner"
     )
     cands = cohort.select("cust_ids", "time_censor").join(
         links, F.col("cust_ids") == F.col("id_card_num"), "inner"
     ).filter(F.col("create_time") < F.col("time_censor"))
     tmax = cands.groupBy("cust_ids").agg(F.max("create_time").alias("t_max"))
-    latest_docs = (
+    latest = (
         cands.join(tmax, "cust_ids", "inner")
         .filter(F.col("create_time") == F.col("t_max"))
-        .select(F.col("id").alias("latest_id"))
+        .select("id", "cust_ids")
+    )
+    # Each latest document carries the customer it is latest for, so the
+    # flattened rows need no second join to the latest times.
+    sub = main.join(latest, "id", "inner")
+    flat = report_flatten(sub, pqo, pqo_pc05, pc05a, pc05b, poq, poq_ph01, identity, carry=("cust_ids",))
+    rows = flat.filter(F.col("id_card_num") == F.col("cust_ids")).withColumn(
+        "no_days", F.datediff(F.to_date("create_time"), F.to_date("query_date"))
     )
-    sub = main.join(latest_docs, main["id"] == latest_docs["latest_id"], "left_semi")
-    flat = report_flatten(sub, pqo, pqo_pc05, pc05a, pc05b, poq, poq_ph01, identity)
-    rows = flat.join(
-        tmax, (F.col("id_card_num") == F.col("cust_ids")) & (F.col("create_time") == F.col("t_max")), "inner"
-    ).withColumn("no_days", F.datediff(F.to_date("create_time"), F.to_date("query_date")))
     reason = F.col("query_reason").try_cast("int")
     specs = _window_specs(reason, F.lit(codes.GEN2_REASON_LOAN), F.lit(codes.GEN2_REASON_CARD), windows)
     return rows.groupBy("cust_ids").agg(

@@ -435,3 +435,18 @@ def test_principal_ratio_without_applications(spark):
     repaid = frame(spark, "cust_ids string, xfd_int_pay_sum double, xfd_p_pay_sum double", [("c", 0.0, 0.0)])
     r = op.principal_pay_ratio(cohort, loans, repaid).first()
     assert (r.xfd_apply_amt_cum, r.xfd_principal_pay_ratio) == (0.0, -0.1)
+
+
+# --- hot right-side keys ----------------------------------------------------------
+
+
+def test_left_join_hot_right_equals_left_join(spark):
+    from pitwise.functions.joins import left_join_hot_right
+
+    left = frame(spark, "k string, a int", [("hot", 1), ("cold", 2), ("none", 3), (None, 4), ("hot", 5)])
+    right_rows = [("hot", i, f"v{i % 7}") for i in range(500)] + [("cold", 1, "x"), ("cold", 1, "x"), (None, 9, "n")]
+    right = frame(spark, "k string, b int, c string", right_rows)
+    want = sorted(map(tuple, left.join(right, ["k"], "left").collect()), key=str)
+    got_df = left_join_hot_right(left, right, ["k"], rows_per_split=40)
+    assert got_df.columns == ["k", "a", "b", "c"]
+    assert sorted(map(tuple, got_df.collect()), key=str) == want
