@@ -12,7 +12,9 @@ import sys
 from pyspark.sql import DataFrame
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
-_SCAN = re.compile(r"FileScan parquet .*?Location: \w+ \[([^\]]*)\].*?PushedFilters: \[([^\]]*)\].*?ReadSchema: (struct<.*?>)$")
+_SCAN = re.compile(
+    r"FileScan parquet .*?Location: \w+(?:\(\d+ paths?\))?\s?\[([^\]]*)\].*?PushedFilters: \[(.*?)\], ReadSchema: (struct<.*?>)$"
+)
 
 
 def physical_plan(df: DataFrame) -> str:
@@ -26,7 +28,7 @@ def plan_summary(df: DataFrame) -> dict:
     for line in plan.splitlines():
         m = _SCAN.search(line.strip())
         if m:
-            table = m.group(1).rsplit("/", 1)[-1]
+            table = m.group(1).split(",")[0].rsplit("/", 1)[-1]
             scans.append({"table": table, "read": m.group(3), "pushed": m.group(2)})
     return {
         "exchanges": plan.count("Exchange "),
