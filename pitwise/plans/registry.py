@@ -61,12 +61,18 @@ def fixture_job(spark: SparkSession, sf_dir: str, materialize: bool = False) ->
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Decimal columns as double, everything else unchanged."""
-    cols = [
-        F.col(f"`{f.name}`").cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f"`{f.name}`")
-        for f in df.schema.fields
-    ]
-    return df.select(*cols)
+    """Decimals as double and times as zone-less timestamps (the SQL
+    ``TIMESTAMP`` type of the oracle); other columns unchanged."""
+
+    def show(f: T.StructField):
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.DecimalType):
+            return c.cast("double").alias(f.name)
+        if isinstance(f.dataType, T.TimestampType):
+            return c.cast("timestamp_ntz").alias(f.name)
+        return c
+
+    return df.select(*[show(f) for f in df.schema.fields])
 
 
 def _query(stage: str) -> Callable[[SparkSession, str], DataFrame]:
