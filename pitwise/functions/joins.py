@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_SPLIT = 1_000_000
+ROWS_PER_SPLIT = 2_000_000
 MAX_SPLITS = 4096
 
 
@@ -22,20 +22,33 @@ def left_join_hot_right(
 
     Adaptive execution splits a skewed partition only on the preserved side
     of an outer join, so a key holding a large share of ``right`` would be
-    one task. Here each key gets ``ceil(rows / rows_per_split)`` splits (1 for
-    all but hot keys; counted with a map-side combined aggregate): a right
-    row goes to split ``hash(row) % splits``, the left row is repeated once
-    per split, and the join runs on (keys, split). Null-padded rows of empty
-    splits of a matched key are dropped, so the result is exactly the left
-    join. ``left`` is referenced once; the split column is deterministic, so
-    retried tasks reproduce it.
+    one task. Keys with more than ``rows_per_split`` right rows are hot: each
+    gets ``ceil(rows / rows_per_split)`` splits, a right row of a hot key goes
+    to split ``hash(row) % splits``, the left row is repeated once per split,
+    and the join runs on (keys, split). Null-padded rows of empty splits of a
+    hot key are dropped, so the result is exactly the left join.
+
+    The hot-key table is broadcast: there are at most
+    ``rows(right) / rows_per_split`` hot keys (each has more rows than that),
+    a bound that holds whatever the data. Each side is shuffled once, ``left``
+    is read once, and the split is a deterministic hash, so retried tasks
+    reproduce it.
     """
     keys = list(keys)
-    n_splits = F.least(F.lit(max_splits), F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_split))))
-    counts = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(*keys, n_splits.cast("int").alias("_k"))
+    n_splits = F.least(F.lit(max_splits), F.ceil(F.col("_n") / F.lit(rows_per_split)))
+    hot = F.broadcast(
+        right.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > rows_per_split)
+        .select(*keys, n_splits.cast("int").alias("_k"))
+    )
     split = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in right.columns]), F.col("_k")).cast("int")
-    r = right.join(counts, keys, "inner").select("*", split.alias("_s"), F.lit(True).alias("_m")).drop("_k")
+    r = right.join(hot, keys, "left").select(
+        *[F.col(f"`{c}`") for c in right.columns],
+        F.coalesce(split, F.lit(0)).alias("_s"),
+        F.lit(True).alias("_m"),
+    )
     reps = F.sequence(F.lit(0), F.coalesce(F.col("_k"), F.lit(1)) - 1)
-    l = left.join(counts, keys, "left").select("*", F.explode(reps).alias("_s"))
+    l = left.join(hot, keys, "left").select("*", F.explode(reps).alias("_s"))
     out = l.join(r, keys + ["_s"], "left").filter(F.col("_k").isNull() | F.col("_m").isNotNull())
     return out.drop("_k", "_s", "_m")
