@@ -235,3 +235,43 @@ class FeatureJob:
     @cached_property
     def final(self) -> DataFrame:
         return op.credit_age(self.features, self.inputs["credits_alt"], self.inputs["credits"])
+
+    # -- sinks ----------------------------------------------------------------
+
+    # Stages written by ``write``: the feature tables the job publishes.
+    PUBLISHED = (
+        "cohort",
+        "pay_ratios",
+        "spend",
+        "event_rates",
+        "burst",
+        "device_peak",
+        "history",
+        "xfd",
+        "repay_outcomes",
+        "bureau",
+        "settlement",
+        "card_gap",
+        "features",
+        "applications",
+        "final",
+    )
+
+    def write(self, target: str, stages: tuple[str, ...] = PUBLISHED, fmt: str = "parquet") -> dict[str, str]:
+        """Overwrite one output per stage and return where each went.
+
+        ``target`` is a directory (``<target>/<stage>`` in ``fmt``) or, with
+        ``fmt="table"``, a table-name prefix (``<target><stage>`` via
+        ``saveAsTable``). Each write is one Spark job over the stage's plan.
+        """
+        out = {}
+        for name in stages:
+            df = getattr(self, name)
+            if fmt == "table":
+                dest = f"{target}{name}"
+                df.write.mode("overwrite").saveAsTable(dest)
+            else:
+                dest = f"{target.rstrip('/')}/{name}"
+                df.write.mode("overwrite").format(fmt).save(dest)
+            out[name] = dest
+        return out

@@ -44,3 +44,12 @@ def test_materialised_job_reads_back_stages(spark):
     assert job.cohort.count() == fixture_job(spark, SF).cohort.count()
     plan = job.accounts._jdf.queryExecution().executedPlan().toString()
     assert "pitwise/" in plan  # read from the written stage
+
+
+def test_job_writes_published_stages(spark, tmp_path):
+    from pitwise.plans.registry import fixture_job
+
+    job = fixture_job(spark, SF)
+    out = job.write(str(tmp_path / "out"), stages=("cohort", "od_any"))
+    assert spark.read.parquet(out["cohort"]).count() == job.cohort.count()
+    assert set(spark.read.parquet(out["od_any"]).columns) == {"cust_ids", "overdue_record_new_dummy"}
