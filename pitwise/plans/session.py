@@ -28,6 +28,26 @@ RECOMMENDED = {
 }
 
 
+def scale_settings(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    Scan splits and shuffle partitions target ``partition_bytes`` each, so a
+    task's share fits executor memory at any input size; adaptive execution
+    then coalesces small partitions and splits skewed ones from measured
+    sizes. For 100 TB at 256 MB this starts from about 400,000 shuffle
+    partitions.
+    """
+    parts = max(200, -(-input_bytes // partition_bytes))
+    return {
+        **RECOMMENDED,
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "pitwise") -> SparkSession:
     """A local session for tests and benchmarks with the recommended settings.
 
