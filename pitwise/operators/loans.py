@@ -346,7 +346,9 @@ def last_loan_profile(cohort: DataFrame, loans: DataFrame, censor: Censor = None
         F.col("loan_time") < F.col("time_censor")
     )
     last = before.groupBy("cust_ids").agg(F.count(F.lit(1)).alias("cnt"), F.max("loan_time").alias("loan_time"))
-    rows = last.join(before.drop("time_censor"), ["cust_ids", "loan_time"], "inner")
+    # The latest time is before the censor, so joining back to the loans
+    # themselves (not to the cohort join) finds the same rows.
+    rows = last.join(xfd, ["cust_ids", "loan_time"], "inner")
     return rows.select(
         "cust_ids",
         F.col("cnt").cast("double").alias("all_xfd_loan_cnt"),

@@ -302,11 +302,13 @@ def query_counts_gen2(
         links, F.col("cust_ids") == F.col("id_card_num"), "inner"
     ).filter(F.col("create_time") < F.col("time_censor"))
     tmax = cands.groupBy("cust_ids").agg(F.max("create_time").alias("t_max"))
-    latest = (
-        cands.join(tmax, "cust_ids", "inner")
-        .filter(F.col("create_time") == F.col("t_max"))
-        .select("id", "cust_ids")
-    )
+    # Documents at the latest time: an equi join of the links on (id, time),
+    # which spreads one customer's documents over partitions.
+    latest = links.join(
+        tmax,
+        (F.col("id_card_num") == F.col("cust_ids")) & (F.col("create_time") == F.col("t_max")),
+        "inner",
+    ).select("id", "cust_ids")
     # Each latest document carries the customer it is latest for, so the
     # flattened rows need no second join to the latest times.
     sub = main.join(latest, "id", "inner")
