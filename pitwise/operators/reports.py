@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pitwise.functions import codes
 from pitwise.functions.exprs import flag_sum, not_equal_all, ratio
 from pitwise.functions.joins import left_join_hot_right
+from pitwise.functions.time import instant_literal
+from pitwise.operators.asof import Censor
 
 def _dec0() -> Column:
     return F.lit(0).cast("decimal(18,2)")
@@ -49,15 +51,18 @@ def _window_specs(reason_col: Column, loan: Column, card: Column, windows: tuple
 # --- D14 -------------------------------------------------------------------
 
 
-def latest_report(cohort: DataFrame, reports: DataFrame) -> DataFrame:
+def latest_report(cohort: DataFrame, reports: DataFrame, censor: Censor = None) -> DataFrame:
     """A customer's latest report created before the censor; among
     reports of that time the largest serial. Customers whose latest reports
     all lack a serial get no row.
 
     Output: ``cust_ids, cert_no, report_sn, report_create_time``.
     """
+    r = reports.select("report_sn", "cert_no", "report_create_time")
+    if censor is not None:
+        r = r.filter(F.col("report_create_time") < instant_literal(censor))
     j = cohort.select("cust_ids", "time_censor").join(
-        reports.select("report_sn", "cert_no", "report_create_time"),
+        r,
         F.col("cust_ids") == F.col("cert_no"),
         "inner",
     ).filter(F.col("report_create_time") < F.col("time_censor"))
@@ -286,6 +291,7 @@ def query_counts_gen2(
     poq_ph01: DataFrame,
     identity: DataFrame,
     windows: tuple[int, int, int] = codes.QUERY_WINDOWS,
+    censor: Censor = None,
 ) -> DataFrame:
     """The D15 counts on a customer's latest gen-2 report before the
     censor, with reason codes 2 (loan) and 3 (card); all reports of that
@@ -295,7 +301,10 @@ def query_counts_gen2(
     The latest time per customer is found from headers and identity units
     alone; only documents of those times are flattened.
     """
-    links = main.select("id", "create_time").join(
+    heads = main.select("id", "create_time")
+    if censor is not None:
+        heads = heads.filter(F.col("create_time") < instant_literal(censor))
+    links = heads.join(
         identity.select(F.col("doc_id").alias("id"), "id_card_num"), "id", "inner"
     )
     cands = cohort.select("cust_ids", "time_censor").join(
@@ -346,15 +355,19 @@ def generation_merge(cohort: DataFrame, gen1: DataFrame, gen2: DataFrame) -> Dat
 # --- D19 -------------------------------------------------------------------
 
 
-def latest_report_normalised(cohort: DataFrame, reports: DataFrame) -> DataFrame:
+def latest_report_normalised(cohort: DataFrame, reports: DataFrame, censor: Censor = None) -> DataFrame:
     """Latest gen-1 report whose time, cut to the second, is before the
     censor cut to the second; the largest serial among reports of that time
     (null when none has one: the row is kept).
 
     Output: ``cust_ids, report_sn, cert_no, censor, report_create_time``.
     """
+    r = reports.select("report_sn", "cert_no", "report_create_time")
+    if censor is not None:
+        # t cut to the second < c cut to the second  <=>  t < c cut to the second
+        r = r.filter(F.col("report_create_time") < F.date_trunc("second", instant_literal(censor)))
     j = cohort.select("cust_ids", "time_censor").join(
-        reports.select("report_sn", "cert_no", "report_create_time"),
+        r,
         F.col("cust_ids") == F.col("cert_no"),
         "inner",
     ).filter(F.date_trunc("second", "report_create_time") < F.date_trunc("second", "time_censor"))

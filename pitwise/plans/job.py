@@ -28,7 +28,9 @@ from pitwise.sources.inputs import Inputs
 
 @dataclass(frozen=True)
 class JobParams:
-    censor: str
+    # The censor of every cohort row. Without a caller-supplied cohort it
+    # defines the cohort (D1); it is also the scan-side bound of the facts.
+    censor: str | None
     amount_cap: float = codes.AMOUNT_CAP
     loan_use_period: str = "month"
     gen2_min_create: str = codes.GEN2_MIN_CREATE
@@ -36,11 +38,30 @@ class JobParams:
 
 
 class FeatureJob:
-    def __init__(self, inputs: Inputs, params: JobParams, materialize: bool = False, run_id: str | None = None):
+    """All stages of the job over one set of inputs.
+
+    ``cohort`` may be given as a DataFrame ``(cust_ids, time_censor)`` with a
+    censor per customer (point-in-time features per application, say); then
+    ``params.censor`` must be None, or the common censor of every row.
+    """
+
+    def __init__(
+        self,
+        inputs: Inputs,
+        params: JobParams,
+        materialize: bool = False,
+        run_id: str | None = None,
+        cohort: DataFrame | None = None,
+    ):
+        if cohort is None and params.censor is None:
+            raise ValueError("give params.censor, or a cohort with a censor per row")
         self.inputs = inputs
         self.p = params
         self.materialize = materialize
         self.run_id = run_id or uuid.uuid4().hex[:12]
+        self._given_cohort = cohort
+        # Scan-side bound, valid only when every cohort row shares it.
+        self.censor = params.censor
 
     # -- materialisation ------------------------------------------------------
 
@@ -59,6 +80,8 @@ class FeatureJob:
 
     @cached_property
     def cohort(self) -> DataFrame:
+        if self._given_cohort is not None:
+            return self._stage("cohort", self._given_cohort.select("cust_ids", "time_censor"))
         return self._stage("cohort", op.cohort_censor(self.inputs["credits"], self.p.censor))
 
     @cached_property
@@ -67,14 +90,14 @@ class FeatureJob:
 
     @cached_property
     def device_events(self) -> DataFrame:
-        return op.device_events_asof(self.accounts, self.inputs["device_events"], censor=self.p.censor)
+        return op.device_events_asof(self.accounts, self.inputs["device_events"], censor=self.censor)
 
     @cached_property
     def device_events_raw(self) -> DataFrame:
         """As-of events without the row dedup; for duplicate-insensitive uses."""
         return self._stage(
             "device_events",
-            op.device_events_asof(self.accounts, self.inputs["device_events"], censor=self.p.censor, dedupe=False),
+            op.device_events_asof(self.accounts, self.inputs["device_events"], censor=self.censor, dedupe=False),
         )
 
     @cached_property
@@ -86,7 +109,7 @@ class FeatureJob:
                 self.inputs["orders"],
                 self.inputs["order_lines"],
                 amount_cap=self.p.amount_cap,
-                censor=self.p.censor,
+                censor=self.censor,
             ),
         )
 
@@ -125,7 +148,7 @@ class FeatureJob:
 
     @cached_property
     def repaid(self) -> DataFrame:
-        return op.repaid_by_censor(self.cohort, self.inputs["loans"], self.inputs["repayments"], censor=self.p.censor)
+        return op.repaid_by_censor(self.cohort, self.inputs["loans"], self.inputs["repayments"], censor=self.censor)
 
     @cached_property
     def xfd(self) -> DataFrame:
@@ -134,7 +157,7 @@ class FeatureJob:
     @cached_property
     def repay_outcomes(self) -> DataFrame:
         return op.repay_outcome_rates(
-            self.cohort, self.inputs["loans"], self.inputs["repayments"], censor=self.p.censor
+            self.cohort, self.inputs["loans"], self.inputs["repayments"], censor=self.censor
         )
 
     @cached_property
@@ -147,13 +170,13 @@ class FeatureJob:
 
     @cached_property
     def last_loan(self) -> DataFrame:
-        return op.last_loan_profile(self.cohort, self.inputs["loans"], censor=self.p.censor)
+        return op.last_loan_profile(self.cohort, self.inputs["loans"], censor=self.censor)
 
     # -- D14-D21 --------------------------------------------------------------
 
     @cached_property
     def latest_report(self) -> DataFrame:
-        return self._stage("latest_report", op.latest_report(self.cohort, self.inputs["reports"]))
+        return self._stage("latest_report", op.latest_report(self.cohort, self.inputs["reports"], censor=self.censor))
 
     @cached_property
     def gen1_counts(self) -> DataFrame:
@@ -180,7 +203,7 @@ class FeatureJob:
 
     @cached_property
     def gen2_counts(self) -> DataFrame:
-        return op.query_counts_gen2(self.cohort, self.gen2_main, *self._gen2_tree())
+        return op.query_counts_gen2(self.cohort, self.gen2_main, *self._gen2_tree(), censor=self.censor)
 
     @cached_property
     def bureau(self) -> DataFrame:
@@ -189,7 +212,7 @@ class FeatureJob:
     @cached_property
     def latest_report_normalised(self) -> DataFrame:
         return self._stage(
-            "latest_report_normalised", op.latest_report_normalised(self.cohort, self.inputs["reports"])
+            "latest_report_normalised", op.latest_report_normalised(self.cohort, self.inputs["reports"], censor=self.censor)
         )
 
     @cached_property
