@@ -18,7 +18,8 @@ Mapping in short:
   lineitems are payment lines, repayments, overdue records, bureau
   enquiries, bureau loans and cards;
 * events (January 2024) are device events moved back by ``EVENT_SHIFT_DAYS``
-  so the one censor time (1999-01-01) cuts through them too.
+  so the one censor time (1999-01-20 10:30, mid-month and not at midnight)
+  cuts through them too; a user has 1 to 6 devices, by user id.
 """
 
 from __future__ import annotations
@@ -29,8 +30,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitwise.sources.inputs import Inputs
 
-CENSOR = "1999-01-01 00:00:00"
-EVENT_SHIFT_DAYS = 9150
+CENSOR = "1999-01-20 10:30:00"
+# 2024-01-20 minus this many days is 1999-01-20: the censor cuts the events
+# where it cuts the orders.
+EVENT_SHIFT_DAYS = 9131
 # Order totals in the test data run to 500,000; the cap keeps most of them.
 AMOUNT_CAP = 400_000
 GEN2_MIN_CREATE = "1996-01-01"
@@ -155,9 +158,9 @@ ADAPTERS = {
                 (
                     "device_id",
                     "CASE WHEN value > 20 THEN concat('dev', "
-                    "cast(cast(get_json_object(props, '$.k') as int) % 8 as string)) END",
+                    "cast(cast(get_json_object(props, '$.k') as int) % (1 + user_id % 6) as string)) END",
                     "CASE WHEN value > 20 THEN concat('dev', "
-                    "cast(cast(json_extract_string(props, '$.k') as int) % 8 as string)) END",
+                    "cast(cast(json_extract_string(props, '$.k') as int) % (1 + user_id % 6) as string)) END",
                 ),
                 ("city", "concat('city', cast(cast(floor(value / 50) as bigint) as string))"),
                 ("pay_order_no", "concat('P', cast(event_id as string))"),
