@@ -299,39 +299,87 @@ def query_counts_gen2(
     equal enquiries collapse.
 
     The latest time per customer is found from headers and identity units
-    alone; only documents of those times are flattened.
+    alone. A flattened row is (identity, enquiry, summary) of one document,
+    so for a customer with a single latest document the count factorises:
+    identity tuples x summary tuples (at least one) x the sum over distinct
+    enquiries. Only customers with several documents at the same latest
+    instant, whose rows may coincide across documents, are flattened.
     """
     heads = main.select("id", "create_time")
     if censor is not None:
         heads = heads.filter(F.col("create_time") < instant_literal(censor))
-    links = heads.join(
-        identity.select(F.col("doc_id").alias("id"), "id_card_num"), "id", "inner"
-    )
+    links = heads.join(identity.select(F.col("doc_id").alias("id"), "id_card_num"), "id", "inner")
     cands = cohort.select("cust_ids", "time_censor").join(
         links, F.col("cust_ids") == F.col("id_card_num"), "inner"
     ).filter(F.col("create_time") < F.col("time_censor"))
     tmax = cands.groupBy("cust_ids").agg(F.max("create_time").alias("t_max"))
     # Documents at the latest time: an equi join of the links on (id, time),
     # which spreads one customer's documents over partitions.
-    latest = links.join(
-        tmax,
-        (F.col("id_card_num") == F.col("cust_ids")) & (F.col("create_time") == F.col("t_max")),
-        "inner",
-    ).select("id", "cust_ids")
-    # Each latest document carries the customer it is latest for, so the
-    # flattened rows need no second join to the latest times.
-    sub = main.join(latest, "id", "inner")
-    flat = report_flatten(sub, pqo, pqo_pc05, pc05a, pc05b, poq, poq_ph01, identity, carry=("cust_ids",))
-    rows = flat.filter(F.col("id_card_num") == F.col("cust_ids")).withColumn(
-        "no_days", F.datediff(F.to_date("create_time"), F.to_date("query_date"))
+    latest = (
+        links.join(
+            tmax,
+            (F.col("id_card_num") == F.col("cust_ids")) & (F.col("create_time") == F.col("t_max")),
+            "inner",
+        )
+        .select("id", "cust_ids", "create_time")
+        .distinct()
     )
+    # Documents tied at one customer's latest time (a handful per customer).
+    latest = latest.withColumn("n_docs", F.count(F.lit(1)).over(Window.partitionBy("cust_ids")))
     reason = F.col("query_reason").try_cast("int")
     specs = _window_specs(reason, F.lit(codes.GEN2_REASON_LOAN), F.lit(codes.GEN2_REASON_CARD), windows)
-    return rows.groupBy("cust_ids").agg(
+    no_days = F.datediff(F.to_date("create_time"), F.to_date("query_date")).alias("no_days")
+    maxima = ("query_loanmanage_24m", "query_selfquery_cnt_1m")
+
+    # -- one latest document: factorised counts ---------------------------------
+    one = latest.filter(F.col("n_docs") == 1).select("id", "cust_ids", "create_time")
+    ident = (
+        identity.select(
+            F.col("doc_id").alias("id"), "name", "id_type", "id_card_num", "query_ord_code", "query_reason_code"
+        )
+        .distinct()
+        .groupBy("id", F.col("id_card_num").alias("cust_ids"))
+        .agg(F.count(F.lit(1)).alias("n_i"))
+    )
+    summ = (
+        _query_summary(pqo, pqo_pc05, pc05a, pc05b)
+        .distinct()
+        .groupBy(F.col("doc_id").alias("id"))
+        .agg(F.count(F.lit(1)).alias("n_s"), *[F.max(c).alias(c) for c in maxima])
+    )
+    recs = (
+        _query_record(poq, poq_ph01)
+        .withColumnRenamed("doc_id", "id")
+        .distinct()
+        .join(one.select("id", "create_time"), "id", "inner")
+        .select("id", no_days, "query_reason")
+        .groupBy("id")
+        .agg(*[flag_sum(cond).alias(name) for name, cond in specs])
+    )
+    mult = F.col("n_i") * F.greatest(F.coalesce(F.col("n_s"), F.lit(0)), F.lit(1))
+    single = (
+        one.join(ident, ["id", "cust_ids"], "inner")
+        .join(summ, "id", "left")
+        .join(recs, "id", "left")
+        .select(
+            "cust_ids",
+            *[(F.coalesce(F.col(name), F.lit(0.0)) * mult).cast("double").alias(f"{name}_2") for name, _ in specs],
+            F.col("query_loanmanage_24m").alias("query_loanmanage_24m_2"),
+            F.col("query_selfquery_cnt_1m").alias("query_selfquery_cnt_1m_2"),
+        )
+    )
+
+    # -- tied documents: count distinct flattened rows ----------------------------
+    tied = latest.filter(F.col("n_docs") > 1).select("id", "cust_ids")
+    sub = main.join(tied, "id", "inner")
+    flat = report_flatten(sub, pqo, pqo_pc05, pc05a, pc05b, poq, poq_ph01, identity, carry=("cust_ids",))
+    rows = flat.filter(F.col("id_card_num") == F.col("cust_ids")).select("*", no_days)
+    several = rows.groupBy("cust_ids").agg(
         *[flag_sum(cond).alias(f"{name}_2") for name, cond in specs],
         F.max("query_loanmanage_24m").alias("query_loanmanage_24m_2"),
         F.max("query_selfquery_cnt_1m").alias("query_selfquery_cnt_1m_2"),
     )
+    return single.unionByName(several)
 
 
 # --- D18 -------------------------------------------------------------------

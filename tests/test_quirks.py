@@ -450,3 +450,32 @@ def test_left_join_hot_right_equals_left_join(spark):
     got_df = left_join_hot_right(left, right, ["k"], rows_per_split=40)
     assert got_df.columns == ["k", "a", "b", "c"]
     assert sorted(map(tuple, got_df.collect()), key=str) == want
+
+
+def test_gen2_single_document_count_factorises(spark):
+    # One latest document with two identity rows for the customer and two
+    # summary rows: each distinct enquiry appears in 2 x 2 flattened rows.
+    t = datetime(2020, 6, 1)
+    q = datetime(2020, 5, 20)
+    main, (pqo, pqo_pc05, pc05a, pc05b, poq, ph01, _) = _gen2(
+        spark, [("d1", t, "c")], [("d1", q, "org1", "2"), ("d1", q, "org1", "2"), ("d1", q, "org2", "3")]
+    )
+    s = lambda schema, rows: frame(spark, schema, rows)
+    pc05b = s(
+        "id string, pqo_pc05_id string, pc05bs01 bigint, pc05bs02 bigint, pc05bs03 bigint, pc05bs04 bigint, "
+        "pc05bs05 bigint, pc05bs06 bigint",
+        [("b1", "cd1", 1, 1, 1, 1, 4, 9), ("b2", "cd1", 1, 1, 1, 1, 5, 2)],
+    )
+    prh = s("id string, doc_id string", [("hd1", "d1")])
+    pa01 = s("id string, prh_id string", [("u1", "hd1"), ("u2", "hd1")])
+    pa01b = s(
+        "prh_pa01_id string, pa01bq01 string, pa01bd01 string, pa01bi01 string, pa01bi02 string, pa01bd02 string",
+        [("u1", "name", "10", "c", "q", "01"), ("u2", "other name", "10", "c", "q", "01")],
+    )
+    ident = op.report_identity(prh, pa01, pa01b)
+    cohort = frame(spark, COHORT, [("c", CENSOR)])
+    r = op.query_counts_gen2(cohort, main, pqo, pqo_pc05, pc05a, pc05b, poq, ph01, ident).first()
+    flat = op.report_flatten(main, pqo, pqo_pc05, pc05a, pc05b, poq, ph01, ident)
+    assert flat.count() == 2 * 2 * 2
+    assert (r.query_cnt_3m_2, r.query_loan_cnt_3m_2, r.query_card_cnt_3m_2) == (8.0, 4.0, 4.0)
+    assert (r.query_loanmanage_24m_2, r.query_selfquery_cnt_1m_2) == (9, 5)
