@@ -117,7 +117,8 @@ def credit_age(
         )
 
     alt = credits_alt.distinct().withColumnRenamed("card_no", "cust_ids")
-    ft = features.join(alt, "cust_ids", "left")
+    # A card may have many grant rows in the second copy (each fans out).
+    ft = left_join_hot_right(features, alt, ["cust_ids"])
     ft = ft.withColumn("credit_age", age("credit_date")).drop("credit_date")
     first = (
         credits.select("card_no", "credit_date")
