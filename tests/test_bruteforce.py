@@ -6,9 +6,11 @@ repeated timestamps, missing devices and repeated loan numbers.
 
 import random
 from collections import defaultdict
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 from decimal import Decimal
 
+import pytest
+
 from pitwise import operators as op
 from tests.conftest import frame
 from tests.test_quirks import EVENTS, LOANS, OVERDUE, REPAY
@@ -78,7 +80,8 @@ def _history_reference(loans, od_day, paid):
     return out
 
 
-def test_loan_history_matches_pairwise_definition(spark):
+@pytest.mark.parametrize("bucket_days", [1, 15])
+def test_loan_history_matches_pairwise_definition(spark, bucket_days):
     rnd = random.Random(11)
     loans, od_rows, pay_rows = [], [], []
     k = 0
@@ -104,7 +107,6 @@ def test_loan_history_matches_pairwise_definition(spark):
     pdf = frame(spark, REPAY, [(no, None, None, "200", p, None) for no, p in pay_rows])
     got = {
         r.cust_ids: (r.all_good_cnt, r.all_bad_cnt, r.xfd_good_cnt, r.xfd_bad_cnt)
-        for r in op.loan_history_counts(ldf, odf, pdf, bucket_days=15).collect()
+        for r in op.loan_history_counts(ldf, odf, pdf, bucket_days=bucket_days).collect()
     }
     assert got == _history_reference([(no, c, t, x) for no, c, t, x in loans], od_day, paid)
-    _ = date  # noqa: F841
