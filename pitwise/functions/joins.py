@@ -1,8 +1,9 @@
-"""Join helpers for a right side with hot keys."""
+"""Join helpers: hot right-side keys, and wide one-to-one assembly."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,3 +53,22 @@ def left_join_hot_right(
     l = left.join(hot, keys, "left").select("*", F.explode(reps).alias("_s"))
     out = l.join(r, keys + ["_s"], "left").filter(F.col("_k").isNull() | F.col("_m").isNotNull())
     return out.drop("_k", "_s", "_m")
+
+
+def left_join_one_to_one(base: DataFrame, parts: Sequence[DataFrame], key: str = "cust_ids") -> DataFrame:
+    """``base LEFT JOIN parts[0] LEFT JOIN parts[1] ... USING (key)`` as one aggregation.
+
+    For ``base`` and parts with at most one row per key. A long chain of
+    sort-merge joins runs as one deep pipeline per task, with a sorter and a
+    buffer per join all holding memory at once. Here every input is packed
+    into one struct column, the inputs are unioned, and one aggregation per
+    key picks each input's (single) struct: one shuffle, one spillable
+    aggregate, and only rows of ``base`` are kept.
+    """
+    packed = [base.select(key, F.struct(*[F.col(f"`{c}`") for c in base.columns if c != key]).alias("_p0"))]
+    for i, p in enumerate(parts, start=1):
+        packed.append(p.select(key, F.struct(*[F.col(f"`{c}`") for c in p.columns if c != key]).alias(f"_p{i}")))
+    names = [f"_p{i}" for i in range(len(packed))]
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
+    picked = union.groupBy(key).agg(*[F.max(n).alias(n) for n in names]).filter(F.col("_p0").isNotNull())
+    return picked.select(key, *[f"{n}.*" for n in names])

@@ -1,10 +1,10 @@
 """Assembly of the wide feature row.
 
 Every feature table is keyed by ``cust_ids`` and (except where the
-definition allows ties) has one row per customer, so the assembly is a
-chain of left equi joins on one key. Each input is an aggregate already
-hash-partitioned by ``cust_ids``, so the joins line up with the partitioning
-the aggregates produced.
+definition allows ties) has one row per customer. The one-row-per-customer
+tables are assembled by one aggregation over their union
+(``functions.joins.left_join_one_to_one``) rather than a chain of joins,
+which would run as one deep, memory-hungry pipeline per task.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pitwise.functions import codes
 from pitwise.functions.exprs import ratio
-from pitwise.functions.joins import left_join_hot_right
+from pitwise.functions.joins import left_join_hot_right, left_join_one_to_one
 from pitwise.functions.time import epoch_days
 from pitwise.operators.loans import is_xfd
 
@@ -40,17 +40,22 @@ def feature_assembly(
     (1.0 with none). ``t0`` is the censor in days since the epoch.
     """
     ft = cohort.select("cust_ids", "time_censor", epoch_days(F.col("time_censor")).alias("t0"))
-    ft = ft.join(pay_ratios, "cust_ids", "left")
-    ft = ft.join(spend, "cust_ids", "left").withColumn(
-        "merchant_order_cnt", F.col("merchant_order_cnt").cast("double")
-    )
-    ft = ft.join(event_rates, "cust_ids", "left").join(burst, "cust_ids", "left")
-    ft = ft.join(history, "cust_ids", "left")
-    ft = ft.join(bureau.drop("time_censor"), "cust_ids", "left")
-    ft = ft.join(xfd.drop("xfd_p_pay_sum"), "cust_ids", "left")
-    ft = ft.join(settlement, "cust_ids", "left").join(card_gap, "cust_ids", "left")
-    ft = ft.join(device_peak, "cust_ids", "left")
-    ft = ft.join(od_strict, "cust_ids", "left").join(od_any, "cust_ids", "left")
+    one_per_customer = [
+        pay_ratios,
+        spend.withColumn("merchant_order_cnt", F.col("merchant_order_cnt").cast("double")),
+        event_rates,
+        burst,
+        history,
+        bureau.drop("time_censor"),
+        xfd.drop("xfd_p_pay_sum"),
+        settlement,
+        card_gap,
+        device_peak,
+        od_strict,
+        od_any,
+    ]
+    ft = left_join_one_to_one(ft, one_per_customer)
+    # Ties on the latest loan give several rows: a join, which may fan out.
     ft = ft.join(last_loan, "cust_ids", "left")
     return ft.withColumn(
         "all_xfd_loan_cnt", F.coalesce(F.col("all_xfd_loan_cnt") + 1.0, F.lit(1.0))

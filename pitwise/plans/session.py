@@ -58,7 +58,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     for k, v in RECOMMENDED.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("PITWISE_DRIVER_MEMORY", "8g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("PITWISE_DRIVER_MEMORY", "12g"))
+    # Small memory pages: many sorters and hash maps of one task pipeline
+    # each hold at least one page.
+    builder = builder.config("spark.buffer.pageSize", "8m")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
