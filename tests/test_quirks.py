@@ -479,3 +479,16 @@ def test_gen2_single_document_count_factorises(spark):
     assert flat.count() == 2 * 2 * 2
     assert (r.query_cnt_3m_2, r.query_loan_cnt_3m_2, r.query_card_cnt_3m_2) == (8.0, 4.0, 4.0)
     assert (r.query_loanmanage_24m_2, r.query_selfquery_cnt_1m_2) == (9, 5)
+
+
+def test_left_join_one_to_one_equals_join_chain(spark):
+    from pitwise.functions.joins import left_join_one_to_one
+
+    base = frame(spark, "cust_ids string, t double", [("a", 1.0), ("b", 2.0), ("c", None)])
+    p1 = frame(spark, "cust_ids string, x double, y bigint", [("a", 0.5, 3), ("z", 9.0, 9), ("c", None, None)])
+    p2 = frame(spark, "cust_ids string, `7w` double", [("b", float("nan")), ("a", 1.5)])
+    want = base.join(p1, "cust_ids", "left").join(p2, "cust_ids", "left")
+    got = left_join_one_to_one(base, [p1, p2])
+    assert got.columns == want.columns
+    norm = lambda rows: sorted((tuple("nan" if v != v else v for v in r) for r in rows), key=repr)
+    assert norm(got.collect()) == norm(want.collect())
