@@ -302,8 +302,9 @@ def query_counts_gen2(
     alone. A flattened row is (identity, enquiry, summary) of one document,
     so for a customer with a single latest document the count factorises:
     identity tuples x summary tuples (at least one) x the sum over distinct
-    enquiries. Only customers with several documents at the same latest
-    instant, whose rows may coincide across documents, are flattened.
+    enquiries. Only for customers with several documents at the same latest
+    instant, whose rows may coincide across documents, are the per-document
+    distinct tuples joined and deduplicated.
     """
     heads = main.select("id", "create_time")
     if censor is not None:
@@ -331,36 +332,34 @@ def query_counts_gen2(
     no_days = F.datediff(F.to_date("create_time"), F.to_date("query_date")).alias("no_days")
     maxima = ("query_loanmanage_24m", "query_selfquery_cnt_1m")
 
+    # Per-document distinct tuples of the three branches of the flattening.
+    ident = identity.select(
+        F.col("doc_id").alias("id"),
+        F.col("id_card_num").alias("cust_ids"),
+        "name",
+        "id_type",
+        "id_card_num",
+        "query_ord_code",
+        "query_reason_code",
+    ).distinct()
+    summ = _query_summary(pqo, pqo_pc05, pc05a, pc05b).withColumnRenamed("doc_id", "id").distinct()
+    recs = _query_record(poq, poq_ph01).withColumnRenamed("doc_id", "id").distinct()
+
     # -- one latest document: factorised counts ---------------------------------
     one = latest.filter(F.col("n_docs") == 1).select("id", "cust_ids", "create_time")
-    ident = (
-        identity.select(
-            F.col("doc_id").alias("id"), "name", "id_type", "id_card_num", "query_ord_code", "query_reason_code"
-        )
-        .distinct()
-        .groupBy("id", F.col("id_card_num").alias("cust_ids"))
-        .agg(F.count(F.lit(1)).alias("n_i"))
-    )
-    summ = (
-        _query_summary(pqo, pqo_pc05, pc05a, pc05b)
-        .distinct()
-        .groupBy(F.col("doc_id").alias("id"))
-        .agg(F.count(F.lit(1)).alias("n_s"), *[F.max(c).alias(c) for c in maxima])
-    )
-    recs = (
-        _query_record(poq, poq_ph01)
-        .withColumnRenamed("doc_id", "id")
-        .distinct()
-        .join(one.select("id", "create_time"), "id", "inner")
+    n_i = ident.groupBy("id", "cust_ids").agg(F.count(F.lit(1)).alias("n_i"))
+    per_s = summ.groupBy("id").agg(F.count(F.lit(1)).alias("n_s"), *[F.max(c).alias(c) for c in maxima])
+    per_r = (
+        recs.join(one.select("id", "create_time"), "id", "inner")
         .select("id", no_days, "query_reason")
         .groupBy("id")
         .agg(*[flag_sum(cond).alias(name) for name, cond in specs])
     )
     mult = F.col("n_i") * F.greatest(F.coalesce(F.col("n_s"), F.lit(0)), F.lit(1))
     single = (
-        one.join(ident, ["id", "cust_ids"], "inner")
-        .join(summ, "id", "left")
-        .join(recs, "id", "left")
+        one.join(n_i, ["id", "cust_ids"], "inner")
+        .join(per_s, "id", "left")
+        .join(per_r, "id", "left")
         .select(
             "cust_ids",
             *[(F.coalesce(F.col(name), F.lit(0.0)) * mult).cast("double").alias(f"{name}_2") for name, _ in specs],
@@ -369,11 +368,18 @@ def query_counts_gen2(
         )
     )
 
-    # -- tied documents: count distinct flattened rows ----------------------------
-    tied = latest.filter(F.col("n_docs") > 1).select("id", "cust_ids")
-    sub = main.join(tied, "id", "inner")
-    flat = report_flatten(sub, pqo, pqo_pc05, pc05a, pc05b, poq, poq_ph01, identity, carry=("cust_ids",))
-    rows = flat.filter(F.col("id_card_num") == F.col("cust_ids")).select("*", no_days)
+    # -- tied documents: distinct rows across the documents ----------------------
+    # Identity rows must carry the customer's id; a document without enquiry
+    # or summary rows contributes a null one, as the left joins do.
+    tied = latest.filter(F.col("n_docs") > 1).select("id", "cust_ids", "create_time")
+    rows = (
+        tied.join(ident, ["id", "cust_ids"], "inner")
+        .join(recs, "id", "left")
+        .join(summ, "id", "left")
+        .select("cust_ids", *FLAT_COLUMNS)
+        .distinct()
+        .select("*", no_days)
+    )
     several = rows.groupBy("cust_ids").agg(
         *[flag_sum(cond).alias(f"{name}_2") for name, cond in specs],
         F.max("query_loanmanage_24m").alias("query_loanmanage_24m_2"),
