@@ -148,3 +148,33 @@ def test_applications_have_no_time_bound(spark):
 
 def test_fixture_censor_is_mid_month():
     assert CENSOR.endswith("10:30:00") and not CENSOR[8:10] == "01"
+
+
+# The 66 columns of the wide feature row, by group.
+FEATURE_ROW = (
+    ["cust_ids", "time_censor"]
+    + ["credit_pay_ratio_all", "credit_pay_ratio_max", "credit_pay_amount_ratio_all"]
+    + ["credit_pay_amount_ratio_max", "credit_pay_amount_ratio_this_month"]
+    + ["merchant_order_cnt", "merchant_order_amt_avg", "merchant_order_credit_pay_amt_avg", "rxd_pay_amt_ratio"]
+    + ["LOGIN_POST_all", "E0906_all", "E0506_avg", "LOGIN_POST_avg", "E0406_avg", "E0906_avg", "E0418_avg"]
+    + ["E0129_avg", "E0428_avg", "E0424_avg", "E0425_avg", "E0434_avg", "7days_device_cnt_more_than4"]
+    + ["all_good_cnt", "all_bad_cnt", "xfd_good_cnt", "xfd_bad_cnt", "all_odds_ratio", "xfd_odds_ratio"]
+    + ["query_cnt_3m", "query_cnt_6m", "query_cnt_12m", "query_loan_cnt_3m", "query_loan_cnt_6m"]
+    + ["query_loan_cnt_12m", "query_card_cnt_3m", "query_card_cnt_12m", "query_loanmanage_24m", "query_selfquery_1m"]
+    + ["xfd_apply_amt_cum", "xfd_int_pay_sum", "xfd_principal_pay_ratio"]
+    + ["settled_loan_cnt_ratio_1y", "settled_loan_amount_ratio_1y", "lag2_loan_card_time_diff_min"]
+    + ["month_machine_finger_loan_use_device_cnt_max", "month_machine_finger_loan_use_city_cnt_max"]
+    + ["od10_dummy", "overdue_record_new_dummy"]
+    + ["last_apply_amount", "last_apply_rate", "last_apply_term", "all_xfd_loan_cnt"]
+    + ["suc_cnt", "fail_cnt", "p_sum", "s_f_rate", "rxd_principal_pay_cum"]
+    + ["dow", "id_num", "id_head_1", "hr", "age", "good_ratio", "bad_ratio"]
+)
+
+
+def test_feature_row_has_the_66_columns(job):
+    assert len(FEATURE_ROW) == len(set(FEATURE_ROW)) == 66
+    assert sorted(job.features.columns) == sorted(FEATURE_ROW)
+    final = job.final.columns
+    assert set(final) - set(FEATURE_ROW) == {"credit_age", "credit_quota"}
+    extra = set(job.applications.columns) - set(FEATURE_ROW)
+    assert extra == {"loan_no", "loan_apply_amount", "loan_apply_rate", "loan_apply_term", "loan_apply_time"}
