@@ -492,3 +492,16 @@ def test_left_join_one_to_one_equals_join_chain(spark):
     assert got.columns == want.columns
     norm = lambda rows: sorted((tuple("nan" if v != v else v for v in r) for r in rows), key=repr)
     assert norm(got.collect()) == norm(want.collect())
+
+
+def test_flatten_keeps_documents_with_missing_branches(spark):
+    # d2 has no summary, no enquiries and no identity: one null-padded row.
+    t = datetime(2020, 6, 1)
+    main, (pqo, pqo_pc05, pc05a, pc05b, poq, ph01, ident) = _gen2(
+        spark, [("d1", t, "c")], [("d1", datetime(2020, 5, 1), "org1", "2")]
+    )
+    main2 = main.unionByName(frame(spark, "id string, report_code string, create_time timestamp", [("d2", "Rd2", t)]))
+    rows = op.report_flatten(main2, pqo, pqo_pc05, pc05a, pc05b, poq, ph01, ident).collect()
+    assert len(rows) == 2
+    bare = [r for r in rows if r.id_card_num is None]
+    assert len(bare) == 1 and bare[0].query_date is None and bare[0].query_loanmanage_24m is None
