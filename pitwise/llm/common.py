@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -47,6 +49,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per context.
+
+    What ``--py-files`` does, for sessions that were started without it.
+    """
+    import pitwise
+
+    name = "pitwise-shipped.zip"
+    context = spark.sparkContext
+    if name not in context._python_includes:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(pitwise.__file__)))
+        target = os.path.join(tempfile.mkdtemp(prefix="pitwise-ship-"), name[: -len(".zip")])
+        context.addPyFile(shutil.make_archive(target, "zip", root, "pitwise"))
+
+
 def word_array(text: Column) -> Column:
     """The words of a text in order; none for null or white space only."""
     parts = F.split(text, SPACES)

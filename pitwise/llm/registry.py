@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitwise.llm import packing, secrets, token_counts
-from pitwise.llm.common import table, tokenizer_path
+from pitwise.llm import mixing, near_dedup, packing, quality, secrets, token_counts
+from pitwise.llm.common import ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,16 +24,40 @@ def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(found)
 
 
+def op3_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.digest(near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=4))
+
+
+def op5_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+def op7_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(mixing.mix(table(spark, sf_dir, "documents")))
+
+
 def op9_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
 
 
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "op1_cost_balanced_packing": op1_cost_balanced_packing,
-        "op2_secret_ledger": op2_secret_ledger,
-        "op9_heap_token_counts": op9_heap_token_counts,
-    }
+    own = [
+        op1_cost_balanced_packing,
+        op2_secret_ledger,
+        op3_min_max_hash,
+        op5_decision_list,
+        op7_splitting_tree_mix,
+        op9_heap_token_counts,
+    ]
+    return {q.__name__: _shipped(q) for q in own}
 
 
 def oracle_sql() -> dict[str, str]:
