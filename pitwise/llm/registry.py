@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitwise.llm import mixing, near_dedup, packing, quality, secrets, token_counts
+from pitwise.llm import lattice_lm, mixing, near_dedup, packing, quality, secrets, template, token_counts, vantage
 from pitwise.llm.common import ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: The vocabulary of operators 1 and 9.
 BYTE_BPE = "byte_bpe_50k.json"
+#: The pieces of operator 6.
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,14 +30,26 @@ def op3_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.digest(near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=4))
 
 
+def op4_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op5_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
+def op6_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score_documents(table(spark, sf_dir, "documents"), tokenizer_path(PIECES))
+
+
 def op7_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+def op8_template_deduction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
 
@@ -53,8 +67,11 @@ def queries() -> dict[str, Query]:
         op1_cost_balanced_packing,
         op2_secret_ledger,
         op3_min_max_hash,
+        op4_vantage_trees,
         op5_decision_list,
+        op6_subword_lattice,
         op7_splitting_tree_mix,
+        op8_template_deduction,
         op9_heap_token_counts,
     ]
     return {q.__name__: _shipped(q) for q in own}
