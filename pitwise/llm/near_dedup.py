@@ -242,12 +242,13 @@ def _rare_pairs(left: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, class_id, component_id, kept`` per row of ``docs``.
+    """``doc_id, n_shingles, class_id, component_id, group_id, key, kept`` per row.
 
     Documents are linked if their sets of ``k``-word shingles have
     ``100 * intersection >= percent * union``. ``component_id`` is the
     smallest id that links reach, the row's own included; ``class_id`` names
-    the set; ``kept`` is whether ``doc_id`` is ``component_id``.
+    the set, ``group_id`` the component, ``key`` the row's id and text;
+    ``kept`` is whether ``doc_id`` is ``component_id``.
 
     Null, empty and wordless texts have no shingles, no class and no links:
     their component is their own id. A row with a null id takes part and gets
@@ -291,14 +292,30 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     grouped = sizes.join(labels, F.col("cls") == F.col("v"), "left").withColumn("label", F.coalesce("label", "cls"))
     smallest = grouped.groupBy("label").agg(F.min("rep").alias("component_id"))
-    by_class = grouped.select("cls", "label").join(smallest, "label").select(F.col("cls").alias("c"), "component_id")
+    by_class = grouped.select("cls", "label").join(smallest, "label").select(F.col("cls").alias("c"), "label", "component_id")
     # Rows without a class look for their own key, which spreads them.
     out = signed.drop("bands").join(by_class, F.coalesce("cls", "key") == F.col("c"), "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"), component.alias("component_id"), "key")
+    group = F.coalesce("label", "key").alias("group_id")
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"), component.alias("component_id"), group, "key")
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def deduplicated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates.
+
+    That of the smallest id (a null id only if there is no other), then of
+    the smallest key. Rows without words are in no group and all stay.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, k=k, percent=percent)
+    best = F.min_by("key", F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
+    stay = found.where("class_id is not null").groupBy("group_id").agg(best.alias("__stays")).select("__stays")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    has_word = text.rlike(r"[^\x20\x09-\x0D]")
+    keyed = docs.where(has_word).withColumn("__key", F.xxhash64(F.col(id_col).cast("long"), text)).dropDuplicates(["__key"])
+    return keyed.join(stay, F.col("__key") == F.col("__stays")).select(*docs.columns).union(docs.where(~has_word))
+
+
 def _random_flips(n: int) -> np.ndarray:
     return np.random.default_rng(11).integers(-(1 << 62), 1 << 62, n)
 

@@ -58,7 +58,7 @@ def _holds(rule: Rule) -> Column:
 
 def _left(text: Column, outside: str) -> Column:
     """The number of characters of ``text`` without the runs of ``outside``."""
-    return F.length(F.regexp_replace(text, outside, "")).cast("long")
+    return F.length(F.regexp_replace(text, outside, ""))
 
 
 def _repeat_words(words: Column, hashes: Column) -> Column:
@@ -82,11 +82,11 @@ def _repeat_words(words: Column, hashes: Column) -> Column:
 
     # transform over one element binds the sorted pairs, so they are made once
     exact = F.get(F.transform(F.array(pairs), covered), 0)
-    return F.when((n >= 4) & (F.size(F.array_distinct(hashes)) < F.size(hashes)), exact).otherwise(0).cast("long")
+    return F.when((n >= 4) & (F.size(F.array_distinct(hashes)) < F.size(hashes)), exact).otherwise(0)
 
 
-def text_stats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and the counts that the rules use, one row per row of ``docs``.
+def text_stats(docs: DataFrame, *, text_col: str = "text", keep: list[Column]) -> DataFrame:
+    """``keep`` and the counts that the rules use, one row per row of ``docs``.
 
     Words are separated by spaces and the ASCII controls 9-13. A null or empty
     text has 0 everywhere. Lines are split at line feeds; only lines with a
@@ -94,7 +94,7 @@ def text_stats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
-        F.col(id_col).alias("doc_id"),
+        F.struct(*keep).alias("keep"),
         text.alias("text"),
         F.filter(F.split(text, SPACES), lambda w: w != "").alias("words"),
         F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
@@ -103,19 +103,20 @@ def text_stats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     first = F.when(F.size(words) > 2, F.slice(words, F.lit(1), F.greatest(F.size(words) - 2, F.lit(0)))).otherwise(F.array().cast("array<string>"))
     hashes = F.transform(first, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
     rows = rows.withColumn("hashes", hashes)
-    return rows.select(
-        "doc_id",
-        F.size(words).cast("long").alias("n_words"),
-        _left(t, r"[\x20\x09-\x0D]++").alias("word_chars"),
-        _left(t, r"[^#*$%&|<>]++").alias("n_symbols"),
-        F.size("lines").cast("long").alias("n_lines"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        _repeat_words(words, F.col("hashes")).alias("n_repeat_words"),
-        F.size(F.array_distinct(words)).cast("long").alias("n_distinct_words"),
-        _left(t, r"[^\p{Lu}]++").alias("n_upper"),
-        _left(t, r"[^0-9]++").alias("n_digits"),
-        _left(t, r"[^!]++").alias("n_exclaims"),
-    )
+    counts = {
+        "n_words": F.size(words),
+        "word_chars": _left(t, r"[\x20\x09-\x0D]++"),
+        "n_symbols": _left(t, r"[^#*$%&|<>]++"),
+        "n_lines": F.size("lines"),
+        "n_dup_lines": F.size("lines") - F.size(F.array_distinct("lines")),
+        "n_repeat_words": _repeat_words(words, F.col("hashes")),
+        "n_distinct_words": F.size(F.array_distinct(words)),
+        "n_upper": _left(t, r"[^\p{Lu}]++"),
+        "n_digits": _left(t, r"[^0-9]++"),
+        "n_exclaims": _left(t, r"[^!]++"),
+    }
+    # A generated row, so that a filter on a count does not count again.
+    return rows.select("keep", F.inline(F.array(F.struct(*[c.cast("long").alias(k) for k, c in counts.items()]))))
 
 
 def with_features(stats: DataFrame) -> DataFrame:
@@ -145,8 +146,9 @@ def learn_rules(
     each class. A rule grows by the term of highest information gain until it
     covers no kept row; it is cut back to the prefix with the best balance on
     the pruning rows and accepted if its precision there is at least
-    ``least_precision`` with ``least_covered`` rows or more on both parts;
-    the first that fails ends the list. No labels or one class only: no rules.
+    ``least_precision`` with ``least_covered`` rows or more on both parts.
+    After a rule that fails, another first feature is tried; the list ends
+    when none is left. No labels or one class only: no rules.
     All labelled rows count; the driver sees counts by feature and bin only.
     """
     names = list(FEATURES)
@@ -170,8 +172,11 @@ def learn_rules(
         at = lambda i: F.get("bins", F.lit(i))
         return reduce(lambda a, b: a & b, [at(i) <= k if below else at(i) > k for i, below, k in rule], F.lit(True))
 
-    def best_term(left: DataFrame, rule):
-        """The term of highest gain on the growing rows that ``rule`` covers."""
+    def best_term(left: DataFrame, rule, tried: set[int]):
+        """The term of highest gain on the growing rows that ``rule`` covers.
+
+        A first term is of a feature that no failed rule began with.
+        """
         cells = left.where(~F.col("prune") & holds(rule)).select("reject", F.posexplode("bins").alias("i", "bin"))
         counts = [[[0, 0] for _ in range(len(b) + 1)] for b in bounds]
         for r in cells.groupBy("i", "bin", "reject").count().collect():
@@ -179,6 +184,8 @@ def learn_rules(
         p0, n0 = (sum(c[k] for c in counts[0]) for k in (0, 1))
         found = None
         for i, own in enumerate(counts):
+            if not rule and i in tried:
+                continue
             p = n = 0
             for k in range(len(own) - 1):
                 p, n = p + own[k][0], n + own[k][1]
@@ -189,10 +196,10 @@ def learn_rules(
                         found = (gain, (i, below, k), b)
         return found
 
-    rules, left = [], binned
+    rules, left, tried = [], binned, set()
     while len(rules) < max_rules:
         rule: tuple[tuple[int, bool, int], ...] = ()
-        while len(rule) < max_terms and (found := best_term(left, rule)):
+        while len(rule) < max_terms and (found := best_term(left, rule, tried)):
             rule = (*rule, found[1])
             if not found[2]:
                 break
@@ -204,9 +211,10 @@ def learn_rules(
         score = [(got[2 * k] - got[2 * k + 1]) / (got[2 * k] + got[2 * k + 1]) if got[2 * k] >= least_covered else -1.0 for k in range(len(rule))]
         k = max(range(len(rule)), key=lambda k: (score[k], -k))
         if score[k] < 2 * least_precision - 1:
-            break
+            tried.add(rule[0][0])
+            continue
         rules.append(tuple(Term(names[i], below, bounds[i][b]) for i, below, b in prefixes[k]))
-        left = left.where(~holds(prefixes[k]))
+        left, tried = left.where(~holds(prefixes[k])), set()
     return rules
 
 
@@ -218,6 +226,24 @@ def first_rule(rules: list[Rule]) -> Column:
     return F.lit(None).cast("int") if out is None else out.otherwise(None).cast("int")
 
 
+def learn(stats: DataFrame, labels: DataFrame) -> list[Rule]:
+    """The rules from ``stats`` (``doc_id``, counts, features) and ``labels`` (``doc_id``, ``quality``)."""
+    marks = labels.select(F.col("doc_id").alias("__id"), (F.col("quality") == 0).alias("reject")).where("reject is not null")
+    return learn_rules(stats.join(marks, F.col("doc_id") == F.col("__id")))
+
+
+def decided(stats: DataFrame, rules: list[Rule], *, min_words: int = 50) -> DataFrame:
+    """``stats`` with ``base_failed``, ``rule`` (the first that holds) and ``kept``."""
+    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    out = stats.withColumn("base_failed", failed).withColumn("rule", first_rule(rules))
+    return out.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+
+
+def _staged_stats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    own = with_features(text_stats(docs, text_col=text_col, keep=[F.col(id_col).alias("doc_id")]))
+    return staged(own.select("keep.doc_id", *[c for c in own.columns if c != "keep"]), "text-stats")
+
+
 def judge(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50) -> DataFrame:
     """``doc_id``, the counts, ``base_failed``, ``rule`` and ``kept`` per row of ``docs``.
 
@@ -226,15 +252,21 @@ def judge(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     rest. ``labels`` has ``doc_id`` and ``quality`` (0: reject, null: not
     used); a document that two labels name counts twice. Rows with a null id
     are judged, but can have no label. An empty table gives an empty result.
-    The counts are written to the shared folder once, so that texts are read
-    in one pass for learning and judging.
+    The counts are written to the shared folder, so texts are read once.
     """
-    stats = staged(with_features(text_stats(docs, id_col=id_col, text_col=text_col)), "text-stats")
-    marks = labels.select(F.col("doc_id").alias("__id"), (F.col("quality") == 0).alias("reject")).where("reject is not null")
-    rules = learn_rules(stats.join(marks, F.col("doc_id") == F.col("__id")))
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    judged = stats.withColumn("base_failed", failed).withColumn("rule", first_rule(rules))
-    return judged.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+    stats = _staged_stats(docs, id_col, text_col)
+    return decided(stats, learn(stats, labels), min_words=min_words)
+
+
+def filtered(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns.
+
+    The counts are taken twice, once to learn and once beside the text, so
+    that no text is shuffled.
+    """
+    rules = learn(_staged_stats(docs, id_col, text_col), labels)
+    stats = with_features(text_stats(docs, text_col=text_col, keep=[F.col(c) for c in docs.columns]))
+    return decided(stats, rules, min_words=min_words).where("kept").select("keep.*")
 
 
 def digest(judged: DataFrame) -> DataFrame:
