@@ -1,0 +1,111 @@
+"""Operators 1 and 9 against the tokenizers library."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from pitwise.llm import bpe, packing, token_counts
+from pitwise.llm.common import tokenizer_path
+from tests.llm.helpers import SF, by_id, docs_frame
+
+PATH = tokenizer_path("byte_bpe_50k.json")
+ODD = [None, "", " ", "\n\n  x", "a<|endoftext|>b", "<|endoftext|>", "naïve café 東京 \U0001f600 ՘ ꟎ x", "'s'll 123 $$$", "x" * 5000, "ab " * 4000]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def ids_of(library, text):
+    return library.encode(text or "", add_special_tokens=False).ids
+
+
+def test_encoder_and_counter_agree_with_the_library_on_every_character(library):
+    points = [c for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    texts = [f"x{chr(c)}1 {chr(c)}{chr(c)} y\n!{chr(c)}'" for c in points]
+    enc, counter = bpe.encoder(PATH), bpe.heap_counter(PATH)
+    for text, got in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert enc.encode(text, allowed_special="all") == got.ids
+        assert counter.count(text) == len(got.ids)
+
+
+def test_merging_equals_the_library_on_random_bytes(library):
+    rng = random.Random(3)
+    counter = bpe.HeapCounter(PATH)
+    for _ in range(300):
+        text = "".join(rng.choice("aabcetn  hs'\n0é") for _ in range(rng.randrange(60)))
+        assert counter.count(text) == len(ids_of(library, text))
+
+
+def test_counts_of_odd_texts_repeated_rows_and_null_ids(spark, library):
+    rows = [*enumerate(ODD), (1, ""), (None, "abc")]
+    out = token_counts.count_tokens(docs_frame(spark, rows).withColumnRenamed("lang", "n_tokens"), PATH).collect()
+    assert len(out) == len(rows)
+    want = sorted((i or -1, len((t or "").encode()), len(ids_of(library, t))) for i, t in rows)
+    assert sorted((r.doc_id or -1, r.n_bytes, r.n_tokens) for r in out) == want
+    assert all(r.over_limit == (r.n_tokens > 512) for r in out)
+
+
+def test_counts_of_the_table(spark, library):
+    from pitwise.llm.registry import queries
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in queries()["op9_heap_token_counts"](spark, SF).collect():
+        assert (r.n_bytes, r.n_tokens) == (len(texts[r.doc_id].encode()), len(ids_of(library, texts[r.doc_id])))
+
+
+def check_packing(pieces, ids, capacity):
+    for doc_id, own in by_id(pieces).items():
+        at = 0
+        for p in sorted(own, key=lambda p: p.start):
+            part = ids[doc_id][at : at + p.length]
+            assert (p.start, p.doc_tokens) == (at, len(ids[doc_id]))
+            assert p.ids_crc32 == zlib.crc32(np.array(part, "<u4").tobytes())
+            at += p.length
+        assert at == len(ids[doc_id])
+    for own in by_id(pieces, "sequence_id").values():
+        at = 0
+        for p in sorted(own, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= capacity
+    assert {p.doc_id for p in pieces} == set(ids)
+
+
+def test_packing_of_the_table_is_an_exact_round_trip(spark, library):
+    from pitwise.llm.registry import queries
+
+    pieces = queries()["op1_cost_balanced_packing"](spark, SF).collect()
+    ids = {r.doc_id: [*ids_of(library, r.text), 1] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    check_packing(pieces, ids, 2048)
+    total = sum(map(len, ids.values()))
+    assert len({p.sequence_id for p in pieces}) == -(-total // 2048)  # one block: no sequence too many
+
+
+def test_packing_of_odd_texts_and_kept_ids(spark, library):
+    rows = list(enumerate(ODD))
+    pieces = packing.pack_documents(docs_frame(spark, rows), PATH, capacity=64, block_docs=3, keep_ids=True).collect()
+    ids = {i: [*ids_of(library, t), 1] for i, t in rows}
+    check_packing(pieces, ids, 64)
+    for p in pieces:
+        assert np.frombuffer(p.ids, "<u2").tolist() == ids[p.doc_id][p.start : p.start + p.length]
+
+
+def test_packing_of_repeated_rows_null_ids_and_an_empty_table(spark):
+    rows = [(7, "same text")] * 40 + [(None, "x y z")]
+    pieces = packing.pack_documents(docs_frame(spark, rows), PATH, capacity=16, block_docs=8).collect()
+    assert sum(p.length for p in pieces if p.doc_id == 7) == 40 * 3
+    assert sum(p.length for p in pieces if p.doc_id is None) > 1
+    assert packing.pack_documents(docs_frame(spark, []), PATH).count() == 0
+
+
+def test_documents_go_in_descending_order_to_the_cheapest_sequence():
+    placed, cost = packing.assign([9, 6, 5, 3, 1], 12, width=1)
+    assert [p[3] for p in placed] == [0, 1, 1, 0, 1]  # 9 | 6 5 | 3 to the only one with room | 1
+    assert max(cost) - min(cost) < 60
+    placed, _ = packing.assign([7, 7, 7], 11, width=1)  # 21 tokens, two sequences: the last is cut
+    assert sorted(p[2] for p in placed) == [3, 4, 7, 7]
