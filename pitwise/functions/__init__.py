@@ -1,7 +1,7 @@
 """Scalar helpers: time parsing, safe ratios, fixed values."""
 
 from pitwise.functions import codes
-from pitwise.functions.exprs import flag_sum, money_sum, ratio
+from pitwise.functions.exprs import flag_sum, no_money, ratio
 from pitwise.functions.time import (
     as_compact_day,
     as_instant,
@@ -14,7 +14,7 @@ from pitwise.functions.time import (
 __all__ = [
     "codes",
     "flag_sum",
-    "money_sum",
+    "no_money",
     "ratio",
     "as_compact_day",
     "as_instant",

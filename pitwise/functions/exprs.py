@@ -18,26 +18,9 @@ def flag_sum(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1.0)).otherwise(F.lit(0.0)))
 
 
-def money_sum(cond: Column | None, amount: Column) -> Column:
-    """Exact decimal sum of ``amount`` over rows where ``cond`` holds.
-
-    Sums stay decimal so the result does not depend on row order; callers
-    cast to double once, at the end.
-    """
-    value = amount if cond is None else F.when(cond, amount).otherwise(F.lit(0).cast(amount_type()))
-    return F.sum(value)
-
-
-def amount_type() -> str:
-    return "decimal(18,2)"
-
-
-def to_double(c: Column) -> Column:
-    return c.cast("double")
-
-
-def isin_not_null(c: Column, values: Iterable) -> Column:
-    return c.isin(list(values))
+def no_money() -> Column:
+    """Zero as money."""
+    return F.lit(0).cast("decimal(18,2)")
 
 
 def not_equal_all(c: Column, values: Iterable) -> Column:

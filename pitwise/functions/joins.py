@@ -8,51 +8,19 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_SPLIT = 2_000_000
-MAX_SPLITS = 4096
 
-
-def left_join_hot_right(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    rows_per_split: int = ROWS_PER_SPLIT,
-    max_splits: int = MAX_SPLITS,
-) -> DataFrame:
+def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``left LEFT JOIN right USING (keys)`` for a right side whose keys may be hot.
 
     Adaptive execution splits a skewed partition only on the preserved side
-    of an outer join, so a key holding a large share of ``right`` would be
-    one task. Keys with more than ``rows_per_split`` right rows are hot: each
-    gets ``ceil(rows / rows_per_split)`` splits, a right row of a hot key goes
-    to split ``hash(row) % splits``, the left row is repeated once per split,
-    and the join runs on (keys, split). Null-padded rows of empty splits of a
-    hot key are dropped, so the result is exactly the left join.
-
-    The hot-key table is broadcast: there are at most
-    ``rows(right) / rows_per_split`` hot keys (each has more rows than that),
-    a bound that holds whatever the data. Each side is shuffled once, ``left``
-    is read once, and the split is a deterministic hash, so retried tasks
-    reproduce it.
+    of an outer join, but on either side of an inner one. So the matches are
+    an inner join, and the rows without a match an anti join against the
+    distinct keys; both shuffle ``left`` alike, and that shuffle is reused.
     """
     keys = list(keys)
-    n_splits = F.least(F.lit(max_splits), F.ceil(F.col("_n") / F.lit(rows_per_split)))
-    hot = F.broadcast(
-        right.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > rows_per_split)
-        .select(*keys, n_splits.cast("int").alias("_k"))
-    )
-    split = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in right.columns]), F.col("_k")).cast("int")
-    r = right.join(hot, keys, "left").select(
-        *[F.col(f"`{c}`") for c in right.columns],
-        F.coalesce(split, F.lit(0)).alias("_s"),
-        F.lit(True).alias("_m"),
-    )
-    reps = F.sequence(F.lit(0), F.coalesce(F.col("_k"), F.lit(1)) - 1)
-    l = left.join(hot, keys, "left").select("*", F.explode(reps).alias("_s"))
-    out = l.join(r, keys + ["_s"], "left").filter(F.col("_k").isNull() | F.col("_m").isNotNull())
-    return out.drop("_k", "_s", "_m")
+    matched = left.join(right, keys)
+    alone = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def left_join_one_to_one(base: DataFrame, parts: Sequence[DataFrame], key: str = "cust_ids") -> DataFrame:
@@ -63,12 +31,16 @@ def left_join_one_to_one(base: DataFrame, parts: Sequence[DataFrame], key: str =
     buffer per join all holding memory at once. Here every input is packed
     into one struct column, the inputs are unioned, and one aggregation per
     key picks each input's (single) struct: one shuffle, one spillable
-    aggregate, and only rows of ``base`` are kept.
+    aggregate, and only rows of ``base`` are kept. A key that an input has
+    twice is an error when the rows are read.
     """
     packed = [base.select(key, F.struct(*[F.col(f"`{c}`") for c in base.columns if c != key]).alias("_p0"))]
     for i, p in enumerate(parts, start=1):
         packed.append(p.select(key, F.struct(*[F.col(f"`{c}`") for c in p.columns if c != key]).alias(f"_p{i}")))
     names = [f"_p{i}" for i in range(len(packed))]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
-    picked = union.groupBy(key).agg(*[F.max(n).alias(n) for n in names]).filter(F.col("_p0").isNotNull())
+    most = F.greatest(*[F.count(n) for n in names])
+    picked = union.groupBy(key).agg(*[F.max(n).alias(n) for n in names], most.alias("_most"))
+    repeated = F.raise_error(F.concat(F.lit(f"more than one row of an input has {key} "), F.col(key))).cast("boolean")
+    picked = picked.filter(F.when(F.col("_most") > 1, repeated).otherwise(F.col("_p0").isNotNull()))
     return picked.select(key, *[f"{n}.*" for n in names])

@@ -8,7 +8,8 @@ so no feature ever compares times as text.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+import re
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,9 +42,11 @@ def as_instant(df: DataFrame, name: str) -> Column:
 
 
 def as_compact_day(df: DataFrame, name: str) -> Column:
-    """``yyyyMMdd`` text (or any time type) -> ``date``."""
+    """``yyyyMMdd`` text or number (or any time type) -> ``date``."""
     dtype = df.schema[name].dataType
     c = F.col(name)
+    if isinstance(dtype, T.IntegralType):
+        return F.try_to_date(c.cast("string"), "yyyyMMdd")
     if isinstance(dtype, T.StringType):
         return F.try_to_date(F.trim(c), "yyyyMMdd")
     if isinstance(dtype, T.DateType):
@@ -51,16 +54,52 @@ def as_compact_day(df: DataFrame, name: str) -> Column:
     return as_instant(df, name).cast("date")
 
 
-def instant_literal(value: str | datetime | date) -> Column:
-    """A censor time given by the caller as a timestamp literal.
+_GIVEN_DATE = re.compile(r"(\d{4})[.-](\d{1,2})[.-](\d{1,2})(?:[ T](.+))?")
+
 
-    Strings are parsed in the session time zone, like every other time.
+def as_datetime(value: str | datetime | date) -> datetime:
+    """A time given by the caller; raises ``ValueError`` if it is none.
+
+    Text may be dashed or dotted and may have an offset; then, as with an
+    aware ``datetime``, it names an instant. Without one it is a time of the
+    session zone.
     """
     if isinstance(value, datetime):
-        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
-    elif isinstance(value, date):
-        value = value.isoformat()
-    return parse_instant_text(F.lit(str(value)))
+        return value
+    if isinstance(value, date):
+        return datetime(value.year, value.month, value.day)
+    m = _GIVEN_DATE.fullmatch(str(value).strip())
+    if not m:
+        raise ValueError(f"not a time: {value!r}")
+    day = f"{m[1]}-{int(m[2]):02d}-{int(m[3]):02d}"
+    return datetime.fromisoformat(f"{day}T{m[4]}" if m[4] else day)
+
+
+def instant_literal(value: str | datetime | date) -> Column:
+    """A time given by the caller as a timestamp literal; see ``as_datetime``."""
+    t = as_datetime(value)
+    if t.tzinfo is not None:
+        return F.timestamp_micros(F.lit((t - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)))
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+
+
+def scan_bound(df: DataFrame, name: str, before: str | datetime | date) -> Column | None:
+    """A bound on the stored column that Parquet can use; it keeps every row before ``before``.
+
+    Typed times are compared with a day to spare for zone differences; text,
+    dashed or dotted, begins with the year, so it is compared with the next.
+    """
+    dtype = df.schema[name].dataType
+    later = as_datetime(before) + timedelta(days=2)
+    if isinstance(dtype, T.StringType):
+        return F.col(name) < F.lit(f"{later.year + 1:04d}")
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.col(name) < F.lit(later.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    if isinstance(dtype, T.TimestampType):
+        return F.col(name) < instant_literal(before)
+    if isinstance(dtype, T.DateType):
+        return F.col(name) < F.lit(later.date().isoformat()).cast("date")
+    return None
 
 
 def epoch_days(ts: Column) -> Column:

@@ -11,6 +11,7 @@ from pitwise.operators.events import device_burst_7d, event_code_rates, monthly_
 from pitwise.operators.loans import (
     last_loan_profile,
     loan_history_counts,
+    loan_outcomes,
     overdue_flag_any,
     overdue_flag_strict,
     principal_pay_ratio,
@@ -21,6 +22,7 @@ from pitwise.operators.ratios import credit_pay_ratios, spend_summary
 from pitwise.operators.reports import (
     gen2_documents,
     generation_merge,
+    latest_documents,
     latest_report,
     latest_report_normalised,
     loan_settlement_ratios,
@@ -45,9 +47,11 @@ __all__ = [
     "gen2_documents",
     "generation_merge",
     "last_loan_profile",
+    "latest_documents",
     "latest_report",
     "latest_report_normalised",
     "loan_history_counts",
+    "loan_outcomes",
     "loan_settlement_ratios",
     "min_gap_lag2",
     "monthly_device_city_peak",

@@ -27,7 +27,8 @@ def before_censor(ts: Column, censor: Censor) -> Column | None:
     return None if censor is None else ts < instant_literal(censor)
 
 
-def _prefilter(df: DataFrame, ts: str, censor: Censor) -> DataFrame:
+def prefilter(df: DataFrame, ts: str, censor: Censor) -> DataFrame:
+    """``df`` before the censor, when one is known."""
     cond = before_censor(F.col(ts), censor)
     return df if cond is None else df.filter(cond)
 
@@ -89,7 +90,7 @@ def device_events_asof(
         & (F.length("account_no") == account_length)
         & F.col("account_no").isNotNull()
     ).withColumnRenamed("account_no", "acct_no")
-    ev = _prefilter(ev, "pay_time", censor)
+    ev = prefilter(ev, "pay_time", censor)
     out = (
         accounts.select("acct_no", "cust_ids", "time_censor")
         .join(ev, "acct_no", "inner")
@@ -128,7 +129,7 @@ def order_payments_asof(
         & F.col("pay_order_id").isNotNull()
         & F.col("pay_time").isNotNull()
     )
-    o = _prefilter(o, "pay_time", censor).distinct()
+    o = prefilter(o, "pay_time", censor).distinct()
     ln = lines.select(
         "merchant_order_id",
         "pay_channel_name",

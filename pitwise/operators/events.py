@@ -59,43 +59,39 @@ def device_burst_7d(
     A missing device id counts as one device, ``unknown``. Events with no
     time are ignored. One row per customer with events before the censor.
 
-    Exact and without per-customer arrays: a device is active at time t when
-    it has an event in [t - W, t]. Each event opens the half-open piece
-    [e, min(e + W + 1us, next event of that device)); the pieces of one device
-    are disjoint and cover exactly its active times, so a running sum of +1 /
-    -1 over all pieces of a customer is its number of active devices.
-
-    The sweep runs per (customer, W-wide time bucket): every event is sent
-    to its own bucket and the next one, so bucket g sees all events that can
-    be active in it. Counts there never exceed the true count and equal it at
-    events of bucket g, so the maximum over buckets is exact. A customer's
-    history is thereby split into buckets of two weeks of events each.
-    Repeated events need no dedup: the earlier copy's piece is empty.
+    Exact and without per-customer arrays. Time is cut into buckets of one
+    window W. Within a bucket a device's events are less than W apart, so it
+    is active from the first of them until W after the last: one aggregated
+    row per (customer, device, bucket) is enough. That piece is cut off where
+    the device's next piece begins, so a device's pieces are disjoint, and a
+    running sum of +1 / -1 over the pieces of a customer is its number of
+    active devices.
+
+    The sweep runs per (customer, bucket): every piece is sent to its own
+    bucket and the next one, so bucket g sees all pieces that can be active
+    in it. Counts there never exceed the true count and equal it at events of
+    bucket g, so the maximum over buckets is exact.
     """
     width = days * MICROS_PER_DAY
-    e = (
+    us = F.unix_micros("pay_time")
+    pieces = (
         events.filter(F.col("pay_time").isNotNull() & (F.col("pay_time") < F.col("time_censor")))
-        .select(
+        .groupBy(
             "cust_ids",
             F.coalesce(F.col("device_id"), F.lit(codes.UNKNOWN_DEVICE)).alias("dev"),
-            F.unix_micros("pay_time").alias("us"),
+            F.floor(us / F.lit(width)).alias("g"),
         )
+        .agg(F.min(us).alias("first"), F.max(us).alias("last"))
+    )
+    nxt = F.lead("first").over(Window.partitionBy("cust_ids", "dev").orderBy("g"))
+    stop = F.col("last") + F.lit(width + 1)
+    end = F.least(stop, F.coalesce(nxt, stop))
+    edge = lambda t, d: F.struct(t.alias("t"), F.lit(d).alias("d"))
+    edges = (
+        pieces.select("cust_ids", "g", "first", end.alias("end"))
+        .select("cust_ids", F.explode(F.array("g", F.col("g") + 1)).alias("g"), "first", "end")
+        .select("cust_ids", "g", F.inline(F.array(edge(F.col("first"), 1), edge(F.col("end"), -1))))
     )
-    bucket = F.floor(F.col("us") / F.lit(width))
-    e = e.select("*", F.explode(F.array(bucket, bucket + 1)).alias("g")).repartition("cust_ids", "g")
-    nxt = F.lead("us").over(Window.partitionBy("cust_ids", "g", "dev").orderBy("us"))
-    stop = F.col("us") + F.lit(width + 1)
-    e = e.select("cust_ids", "g", "us", F.least(stop, F.coalesce(nxt, stop)).alias("end"))
-    edges = e.select(
-        "cust_ids",
-        "g",
-        F.explode(
-            F.array(
-                F.struct(F.col("us").alias("t"), F.lit(1).alias("d")),
-                F.struct(F.col("end").alias("t"), F.lit(-1).alias("d")),
-            )
-        ).alias("edge"),
-    ).select("cust_ids", "g", "edge.t", "edge.d")
     sweep = Window.partitionBy("cust_ids", "g").orderBy("t", "d").rowsBetween(Window.unboundedPreceding, 0)
     active = edges.select("cust_ids", F.sum("d").over(sweep).alias("active"))
     return active.groupBy("cust_ids").agg(

@@ -6,14 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitwise.functions import codes
-from pitwise.functions.exprs import flag_sum, ratio
-from pitwise.functions.time import day_start
-from pitwise.operators.asof import Censor, before_censor
+from pitwise.functions.exprs import flag_sum, no_money, ratio
+from pitwise.functions.time import as_datetime, day_start
+from pitwise.operators.asof import Censor, prefilter
 from pitwise.operators.sweep import coverage_totals
 
-def _dec0() -> Column:
-    return F.lit(0).cast("decimal(18,2)")
-
 
 def is_xfd() -> Column:
     """The consumer-loan product; null codes make it false."""
@@ -29,15 +26,10 @@ def valid_loans(loans: DataFrame) -> DataFrame:
     return loans.filter(F.col("loan_time").isNotNull() & (F.length("cust_ids") > 0))
 
 
-def _prefilter(df: DataFrame, ts: str, censor: Censor) -> DataFrame:
-    cond = before_censor(F.col(ts), censor)
-    return df if cond is None else df.filter(cond)
-
-
 # --- D10 -------------------------------------------------------------------
 
 
-def _loan_outcomes(loans: DataFrame, overdue: DataFrame, repayments: DataFrame) -> DataFrame:
+def loan_outcomes(loans: DataFrame, overdue: DataFrame, repayments: DataFrame) -> DataFrame:
     """Each valid loan row with its first overdue day and first repayment."""
     base = valid_loans(loans).filter(F.col("loan_no").isNotNull()).select(
         "cust_ids",
@@ -112,23 +104,18 @@ def _history_points(d: DataFrame, keys: list[str]) -> DataFrame:
 _HISTORY = ["d_any", "d_good", "d_bad", "d_xgood", "d_xbad"]
 
 
-def loan_history_counts(
-    loans: DataFrame,
-    overdue: DataFrame,
-    repayments: DataFrame,
-    bucket_days: int = 1,
-) -> DataFrame:
+def loan_history_counts(outcomes: DataFrame, bucket_days: int = 1) -> DataFrame:
     """Over all pairs (loan, earlier loan of the same customer, other
     loan number), how many earlier loans were good / bad at the later loan's
     time, for all loans and for the consumer-loan product; smoothed odds.
 
-    No cohort and no censor: every customer in ``loans`` with at least one
-    such pair gets a row. Pairs are never materialised: the counts are
+    ``outcomes`` are those of ``loan_outcomes``. No cohort and no censor:
+    every customer with at least one such pair gets a row. Pairs are never materialised: the counts are
     coverage sums of a sweep (``sweep.coverage_totals``). Pairs of rows that
     share a loan number are excluded by running the same sweep over the
     rare repeated loan numbers only and subtracting.
     """
-    d = _loan_outcomes(loans, overdue, repayments)
+    d = outcomes
     totals = coverage_totals(_history_points(d, ["cust_ids"]), ["cust_ids"], _HISTORY, bucket_days)
     repeated = d.groupBy("cust_ids", "loan_no").count().filter(F.col("count") > 1).drop("count")
     same = coverage_totals(
@@ -175,15 +162,15 @@ def repaid_by_censor(
         )
         .select("loan_no", "principal", "interest", "status", "apply_time", "debit_time")
     )
-    rep = _prefilter(rep, "apply_time", censor).distinct()
+    rep = prefilter(rep, "apply_time", censor).distinct()
     paid = (
         rep.join(xfd, "loan_no", "inner")
         .join(cohort.select("cust_ids", "time_censor"), "cust_ids", "inner")
         .filter(F.col("apply_time") < F.col("time_censor"))
         .groupBy("cust_ids")
         .agg(
-            F.sum(F.coalesce(F.col("interest"), _dec0())).alias("i_sum"),
-            F.sum(F.coalesce(F.col("principal"), _dec0())).alias("p_sum"),
+            F.sum(F.coalesce(F.col("interest"), no_money())).alias("i_sum"),
+            F.sum(F.coalesce(F.col("principal"), no_money())).alias("p_sum"),
         )
     )
     return cohort.select("cust_ids").join(paid, "cust_ids", "left").select(
@@ -206,12 +193,19 @@ def principal_pay_ratio(cohort: DataFrame, loans: DataFrame, repaid: DataFrame)
     sums = (
         cohort.select("cust_ids", "time_censor")
         .join(applied, "cust_ids", "inner")
-        .filter(F.col("loan_time") < F.col("time_censor"))
         .groupBy("cust_ids")
-        .agg(F.sum("loan_amount").cast("double").alias("amt"))
+        .agg(
+            F.sum(F.when(F.col("loan_time") < F.col("time_censor"), F.col("loan_amount")).otherwise(no_money()))
+            .cast("double")
+            .alias("amt"),
+            F.lit(True).alias("applied"),
+        )
     )
+    # No loan is 0.0, as is one after the censor; only earlier loans without
+    # an amount give null.
+    amount = F.when(F.col("applied"), F.col("amt")).otherwise(F.lit(0.0))
     cum = cohort.select("cust_ids").join(sums, "cust_ids", "left").select(
-        "cust_ids", F.coalesce(F.col("amt"), F.lit(0.0)).alias("xfd_apply_amt_cum")
+        "cust_ids", amount.alias("xfd_apply_amt_cum")
     )
     out = cum.join(repaid, "cust_ids", "left")
     return out.select(
@@ -239,13 +233,13 @@ def repay_outcome_rates(
 
     One row per cohort customer with at least one such repayment.
     """
-    ln = _prefilter(valid_loans(loans).select("loan_no", "cust_ids", "loan_time"), "loan_time", censor).distinct()
+    ln = prefilter(valid_loans(loans).select("loan_no", "cust_ids", "loan_time"), "loan_time", censor).distinct()
     rp = repayments.filter(
         F.col("apply_time").isNotNull()
         & F.col("status").isNotNull()
         & F.col("status").isin(codes.REPAY_OK, codes.REPAY_FAIL)
     ).select("loan_no", "principal", "status", "apply_time")
-    rp = _prefilter(rp, "apply_time", censor).distinct()
+    rp = prefilter(rp, "apply_time", censor).distinct()
     ok = F.col("status") == codes.REPAY_OK
     agg = (
         cohort.select("cust_ids", "time_censor")
@@ -257,7 +251,7 @@ def repay_outcome_rates(
         .agg(
             flag_sum(ok).alias("suc_cnt"),
             flag_sum(F.col("status") == codes.REPAY_FAIL).alias("fail_cnt"),
-            F.sum(F.when(ok, F.coalesce(F.col("principal"), _dec0())).otherwise(_dec0())).cast("double").alias("p_sum"),
+            F.sum(F.when(ok, F.coalesce(F.col("principal"), no_money())).otherwise(no_money())).cast("double").alias("p_sum"),
         )
     )
     return agg.select(
@@ -279,6 +273,7 @@ def overdue_flag_strict(
     overdue: DataFrame,
     min_days: float = codes.OVERDUE_STRICT_DAYS,
     lead_days: float = codes.OVERDUE_STRICT_LEAD_DAYS,
+    censor: Censor = None,
 ) -> DataFrame:
     """1.0 for customers with a non-consumer loan overdue by more than
     ``min_days`` days whose overdue started on a day more than ``lead_days``
@@ -288,7 +283,7 @@ def overdue_flag_strict(
     cohort join, so the join carries one row per customer.
     """
     other = valid_loans(loans).filter(_not_xfd_strict()).select("loan_no", "cust_ids")
-    starts = overdue.filter(F.col("overdue_days") > min_days).select(
+    starts = prefilter(overdue.filter(F.col("overdue_days") > min_days), "start_date", censor).select(
         "loan_no", day_start(F.col("start_date")).alias("t1")
     )
     first = starts.join(other, "loan_no", "inner").groupBy("cust_ids").agg(F.min("t1").alias("t1"))
@@ -309,12 +304,15 @@ def _not_xfd_strict() -> Column:
     )
 
 
-def overdue_flag_any(cohort: DataFrame, loans: DataFrame, overdue: DataFrame) -> DataFrame:
+def overdue_flag_any(cohort: DataFrame, loans: DataFrame, overdue: DataFrame, censor: Censor = None) -> DataFrame:
     """1.0 for customers with a loan that has a positive-day overdue
     record dated before the censor's day. Only flagged customers get a row.
     """
     every = valid_loans(loans).select("loan_no", "cust_ids")
     recs = overdue.filter(F.col("overdue_days") > 0.0).select("loan_no", "stat_date")
+    if censor is not None:
+        # A day to spare: the censor may be an instant of another zone.
+        recs = recs.filter(F.col("stat_date") <= F.date_add(F.lit(as_datetime(censor).date()), 1))
     first = recs.join(every, "loan_no", "inner").groupBy("cust_ids").agg(F.min("stat_date").alias("d1"))
     hit = cohort.select("cust_ids", "time_censor").join(first, "cust_ids", "inner").filter(
         F.col("d1") < F.to_date("time_censor")
@@ -341,7 +339,7 @@ def last_loan_profile(cohort: DataFrame, loans: DataFrame, censor: Censor = None
             F.col("loan_no").alias("ln"), "cust_ids", "loan_time", "loan_term", "loan_rate", "loan_amount"
         )
     )
-    xfd = _prefilter(xfd, "loan_time", censor).distinct()
+    xfd = prefilter(xfd, "loan_time", censor).distinct()
     before = cohort.select("cust_ids", "time_censor").join(xfd, "cust_ids", "inner").filter(
         F.col("loan_time") < F.col("time_censor")
     )

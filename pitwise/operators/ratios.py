@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitwise.functions import codes
-from pitwise.functions.exprs import ratio
+from pitwise.functions.exprs import no_money, ratio
 from pitwise.functions.time import trunc_period
 
 
@@ -33,13 +33,18 @@ def credit_pay_ratios(payments: DataFrame, period: str = "month") -> DataFrame:
         trunc_period(F.col("pay_time"), period).alias("pay_month"),
         trunc_period(F.col("time_censor"), period).alias("censor_month"),
     )
-    credit = F.coalesce(F.col("is_credit"), F.lit(False))
-    zero = F.lit(0).cast("decimal(18,2)")
-    monthly = p.groupBy("cust_ids", "pay_month").agg(
-        F.count_distinct(F.when(credit, F.col("pay_order_id"))).alias("m_credit_n"),
-        F.count_distinct(F.when(~credit, F.col("pay_order_id"))).alias("m_other_n"),
-        F.sum(F.when(credit, F.col("amount")).otherwise(zero)).alias("m_credit_amt"),
-        F.sum(F.when(~credit, F.col("amount")).otherwise(zero)).alias("m_other_amt"),
+    p = p.withColumn("is_credit", F.coalesce("is_credit", F.lit(False)))
+    # One row per payment id and kind first: its rows combine before the
+    # shuffle, and counting ids is then counting rows.
+    per_id = p.groupBy("cust_ids", "pay_month", "is_credit", "pay_order_id").agg(
+        F.sum("amount").alias("amt"), F.min("censor_month").alias("censor_month")
+    )
+    credit = F.col("is_credit")
+    monthly = per_id.groupBy("cust_ids", "pay_month").agg(
+        F.count(F.when(credit, F.col("pay_order_id"))).alias("m_credit_n"),
+        F.count(F.when(~credit, F.col("pay_order_id"))).alias("m_other_n"),
+        F.sum(F.when(credit, F.col("amt")).otherwise(no_money())).alias("m_credit_amt"),
+        F.sum(F.when(~credit, F.col("amt")).otherwise(no_money())).alias("m_other_amt"),
         F.min("censor_month").alias("censor_month"),
     )
     m_ratio = ratio(F.col("m_credit_n"), F.col("m_credit_n") + F.col("m_other_n"))
@@ -66,14 +71,13 @@ def spend_summary(payments: DataFrame) -> DataFrame:
     """
     credit = F.coalesce(F.col("pay_type").contains(codes.CREDIT_PAY_MARK), F.lit(False))
     rxd = F.coalesce(F.col("pay_channel_name").contains(codes.RXD_CHANNEL_MARK), F.lit(False))
-    zero = F.lit(0).cast("decimal(18,2)")
     agg = payments.groupBy("cust_ids").agg(
         F.count_distinct("merchant_order_id").alias("merchant_order_cnt"),
         F.sum("amount").cast("double").alias("amt"),
         F.count("amount").alias("amt_n"),
-        F.sum(F.when(credit, F.col("amount")).otherwise(zero)).cast("double").alias("credit_amt"),
+        F.sum(F.when(credit, F.col("amount")).otherwise(no_money())).cast("double").alias("credit_amt"),
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(rxd, F.col("amount")).otherwise(zero)).cast("double").alias("rxd_amt"),
+        F.sum(F.when(rxd, F.col("amount")).otherwise(no_money())).cast("double").alias("rxd_amt"),
     )
     return agg.select(
         "cust_ids",

@@ -12,13 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitwise.functions import codes
-from pitwise.functions.exprs import flag_sum, not_equal_all, ratio
-from pitwise.functions.joins import left_join_hot_right
-from pitwise.functions.time import instant_literal
+from pitwise.functions.exprs import flag_sum, no_money, not_equal_all, ratio
+from pitwise.functions.joins import left_join_many
+from pitwise.functions.time import as_datetime, instant_literal
 from pitwise.operators.asof import Censor
 
-def _dec0() -> Column:
-    return F.lit(0).cast("decimal(18,2)")
 
 GEN1_COLUMNS = (
     "query_cnt_3m",
@@ -91,25 +89,26 @@ def query_counts_gen1(
 
     Every enquiry row counts once per distinct summary row of the report
     (the definition joins the two). That product is computed, not
-    materialised: enquiries are counted per (report, day, reason) first and
-    multiplied by the report's summary row count.
+    materialised: a report's enquiries are counted and multiplied by its
+    summary row count. Enquiries and summaries of other reports go at the
+    join, before anything is counted.
     """
     rep = latest.select("cust_ids", "report_sn", F.to_date("report_create_time").alias("report_day"))
-    per_day = queries.groupBy(
-        "report_id", F.to_date("querydate").alias("qday"), "queryreason"
-    ).agg(F.count(F.lit(1)).alias("n"))
-    j = rep.join(per_day, rep["report_sn"] == per_day["report_id"], "inner").withColumn(
+    q = queries.select("report_id", F.to_date("querydate").alias("qday"), "queryreason")
+    j = rep.join(q, rep["report_sn"] == q["report_id"], "inner").withColumn(
         "no_days", F.datediff("report_day", "qday")
     )
     specs = _window_specs(F.col("queryreason"), F.lit(codes.REASON_LOAN), F.lit(codes.REASON_CARD), windows)
     # Inner join then aggregate (a report with very many enquiries stays
     # splittable); reports without enquiries count 0 after the left join.
     sums = j.groupBy("cust_ids").agg(
-        *[F.sum(F.when(cond, F.col("n")).otherwise(F.lit(0))).alias(name) for name, cond in specs]
+        *[F.count(F.when(cond, F.lit(1))).alias(name) for name, cond in specs]
     )
     counts = rep.select("cust_ids", "report_sn").join(sums, "cust_ids", "left")
+    own = latest.select(F.col("report_sn").alias("report_id")).distinct()
     s = (
         summary.select("report_id", "lastmonthquery_selfquery", "last2yearquery_loanmanage")
+        .join(own, "report_id")
         .distinct()
         .groupBy("report_id")
         .agg(
@@ -133,8 +132,14 @@ def query_counts_gen1(
 # --- D16 -------------------------------------------------------------------
 
 
-def _query_summary(pqo, pqo_pc05, pc05a, pc05b) -> DataFrame:
-    a = pqo.select("id", "doc_id")
+def _of_docs(header: DataFrame, docs: DataFrame | None) -> DataFrame:
+    """``id, doc_id`` of a branch's headers, of ``docs`` (distinct ids) only."""
+    h = header.select("id", "doc_id")
+    return h if docs is None else h.join(docs.select(F.col("id").alias("doc_id")), "doc_id").select("id", "doc_id")
+
+
+def _query_summary(pqo, pqo_pc05, pc05a, pc05b, docs: DataFrame | None = None) -> DataFrame:
+    a = _of_docs(pqo, docs)
     a1 = pqo_pc05.select(F.col("id").alias("pc05_id"), "pqo_id")
     a2 = pc05a.select(
         F.col("pqo_pc05_id").alias("a_pc05_id"),
@@ -153,7 +158,7 @@ def _query_summary(pqo, pqo_pc05, pc05a, pc05b) -> DataFrame:
         F.col("pc05bs06").alias("query_loanmanage_24m"),
     )
     return (
-        a.join(a1, a["id"] == a1["pqo_id"], "left")
+        left_join_many(a, a1.withColumnRenamed("pqo_id", "id"), ["id"])
         .join(a2, F.col("pc05_id") == F.col("a_pc05_id"), "left")
         .join(a3, F.col("pc05_id") == F.col("b_pc05_id"), "left")
         .select(
@@ -172,8 +177,8 @@ def _query_summary(pqo, pqo_pc05, pc05a, pc05b) -> DataFrame:
     )
 
 
-def _query_record(poq, poq_ph01) -> DataFrame:
-    a = poq.select("id", "doc_id")
+def _query_record(poq, poq_ph01, docs: DataFrame | None = None) -> DataFrame:
+    a = _of_docs(poq, docs)
     a1 = poq_ph01.select(
         F.col("poq_id").alias("id"),
         F.col("ph010r01").alias("query_date"),
@@ -181,7 +186,7 @@ def _query_record(poq, poq_ph01) -> DataFrame:
         F.col("ph010q02").alias("query_org"),
         F.col("ph010q03").alias("query_reason"),
     )
-    return left_join_hot_right(a, a1, ["id"]).select(
+    return left_join_many(a, a1, ["id"]).select(
         "doc_id", "query_date", "management_org_type", "query_org", "query_reason"
     )
 
@@ -214,8 +219,6 @@ def gen2_documents(doc: DataFrame, min_create: str = codes.GEN2_MIN_CREATE) -> D
 
     Not deduplicated: every consumer is insensitive to repeated headers.
     """
-    from pitwise.functions.time import instant_literal
-
     return (
         doc.filter(F.col("create_time") >= instant_literal(min_create))
         .select("id", "report_code", "create_time")
@@ -272,7 +275,7 @@ def report_flatten(
     qr = _query_record(poq, poq_ph01).withColumnRenamed("doc_id", "id")
     rq = identity.withColumnRenamed("doc_id", "id")
     flat = main.join(qs, "id", "left")
-    flat = left_join_hot_right(flat, qr, ["id"])  # many enquiries per document
+    flat = left_join_many(flat, qr, ["id"])  # many enquiries per document
     flat = flat.join(rq, "id", "left")
     return flat.select(*FLAT_COLUMNS, *carry).distinct()
 
@@ -280,9 +283,37 @@ def report_flatten(
 # --- D17 -------------------------------------------------------------------
 
 
+def latest_documents(cohort: DataFrame, main: DataFrame, identity: DataFrame, censor: Censor = None) -> DataFrame:
+    """``id, cust_ids, create_time, n_docs``: each customer's gen-2 documents
+    of the latest time before the censor; ``n_docs`` of them are tied.
+
+    Found from headers and identity units alone. The documents at that time
+    come from an equi join on (id, time), which spreads one customer's
+    documents over partitions; tied ones are counted, not sorted.
+    """
+    heads = main.select("id", "create_time")
+    if censor is not None:
+        heads = heads.filter(F.col("create_time") < instant_literal(censor))
+    links = heads.join(identity.select(F.col("doc_id").alias("id"), "id_card_num"), "id", "inner")
+    cands = cohort.select("cust_ids", "time_censor").join(
+        links, F.col("cust_ids") == F.col("id_card_num"), "inner"
+    ).filter(F.col("create_time") < F.col("time_censor"))
+    tmax = cands.groupBy("cust_ids").agg(F.max("create_time").alias("t_max"))
+    latest = (
+        links.join(
+            tmax,
+            (F.col("id_card_num") == F.col("cust_ids")) & (F.col("create_time") == F.col("t_max")),
+            "inner",
+        )
+        .select("id", "cust_ids", "create_time")
+        .distinct()
+    )
+    n_docs = latest.groupBy("cust_ids").agg(F.count(F.lit(1)).alias("n_docs"))
+    return latest.join(n_docs, "cust_ids").select("id", "cust_ids", "create_time", "n_docs")
+
+
 def query_counts_gen2(
-    cohort: DataFrame,
-    main: DataFrame,
+    latest: DataFrame,
     pqo: DataFrame,
     pqo_pc05: DataFrame,
     pc05a: DataFrame,
@@ -291,59 +322,39 @@ def query_counts_gen2(
     poq_ph01: DataFrame,
     identity: DataFrame,
     windows: tuple[int, int, int] = codes.QUERY_WINDOWS,
-    censor: Censor = None,
 ) -> DataFrame:
     """The D15 counts on a customer's latest gen-2 report before the
-    censor, with reason codes 2 (loan) and 3 (card); all reports of that
+    censor (``latest``, of ``latest_documents``), with reason codes 2 (loan) and 3 (card); all reports of that
     latest time count (ties kept). Counted over distinct flattened rows, so
     equal enquiries collapse.
 
-    The latest time per customer is found from headers and identity units
-    alone. A flattened row is (identity, enquiry, summary) of one document,
+    Every branch is joined to the latest documents before anything is made
+    distinct. A flattened row is (identity, enquiry, summary) of one document,
     so for a customer with a single latest document the count factorises:
     identity tuples x summary tuples (at least one) x the sum over distinct
     enquiries. Only for customers with several documents at the same latest
     instant, whose rows may coincide across documents, are the per-document
     distinct tuples joined and deduplicated.
     """
-    heads = main.select("id", "create_time")
-    if censor is not None:
-        heads = heads.filter(F.col("create_time") < instant_literal(censor))
-    links = heads.join(identity.select(F.col("doc_id").alias("id"), "id_card_num"), "id", "inner")
-    cands = cohort.select("cust_ids", "time_censor").join(
-        links, F.col("cust_ids") == F.col("id_card_num"), "inner"
-    ).filter(F.col("create_time") < F.col("time_censor"))
-    tmax = cands.groupBy("cust_ids").agg(F.max("create_time").alias("t_max"))
-    # Documents at the latest time: an equi join of the links on (id, time),
-    # which spreads one customer's documents over partitions.
-    latest = (
-        links.join(
-            tmax,
-            (F.col("id_card_num") == F.col("cust_ids")) & (F.col("create_time") == F.col("t_max")),
-            "inner",
-        )
-        .select("id", "cust_ids", "create_time")
-        .distinct()
-    )
-    # Documents tied at one customer's latest time (a handful per customer).
-    latest = latest.withColumn("n_docs", F.count(F.lit(1)).over(Window.partitionBy("cust_ids")))
     reason = F.col("query_reason").try_cast("int")
     specs = _window_specs(reason, F.lit(codes.GEN2_REASON_LOAN), F.lit(codes.GEN2_REASON_CARD), windows)
     no_days = F.datediff(F.to_date("create_time"), F.to_date("query_date")).alias("no_days")
     maxima = ("query_loanmanage_24m", "query_selfquery_cnt_1m")
 
-    # Per-document distinct tuples of the three branches of the flattening.
-    ident = identity.select(
-        F.col("doc_id").alias("id"),
-        F.col("id_card_num").alias("cust_ids"),
-        "name",
-        "id_type",
-        "id_card_num",
-        "query_ord_code",
-        "query_reason_code",
-    ).distinct()
-    summ = _query_summary(pqo, pqo_pc05, pc05a, pc05b).withColumnRenamed("doc_id", "id").distinct()
-    recs = _query_record(poq, poq_ph01).withColumnRenamed("doc_id", "id").distinct()
+    # Per-document distinct tuples of the three branches of the flattening,
+    # of the latest documents only.
+    docs = latest.select("id").distinct()
+    ident = (
+        latest.select("id", "cust_ids")
+        .join(
+            identity.select(F.col("doc_id").alias("id"), "name", "id_type", "id_card_num", "query_ord_code", "query_reason_code"),
+            "id",
+        )
+        .filter(F.col("id_card_num") == F.col("cust_ids"))
+        .distinct()
+    )
+    summ = _query_summary(pqo, pqo_pc05, pc05a, pc05b, docs).withColumnRenamed("doc_id", "id").distinct()
+    recs = _query_record(poq, poq_ph01, docs).withColumnRenamed("doc_id", "id").distinct()
 
     # -- one latest document: factorised counts ---------------------------------
     one = latest.filter(F.col("n_docs") == 1).select("id", "cust_ids", "create_time")
@@ -447,6 +458,7 @@ def loan_settlement_ratios(
     lookback_days: int = codes.SETTLEMENT_LOOKBACK_DAYS,
     excluded_types: tuple[str, ...] = codes.EXCLUDED_LOAN_TYPES,
     settled: str = codes.SETTLED,
+    censor: Censor = None,
 ) -> DataFrame:
     """Bureau loans opened within ``lookback_days`` of the censor
     (excluded types left out): settled share by distinct count (0.0 when
@@ -454,8 +466,14 @@ def loan_settlement_ratios(
 
     "Repaid" prorates a loan without status that ends after the censor:
     amount per period times the whole number of periods left, as defined.
+    It is summed as decimals per number of periods, and these few sums in
+    order, so it does not depend on the order of rows.
     """
     loans = report_loans
+    if censor is not None:
+        # When all customers share a censor, the look-back reaches the scan.
+        first_day = F.date_sub(F.lit(as_datetime(censor).date()), lookback_days + 1)
+        loans = loans.filter(F.col("start_date") >= first_day.cast("timestamp"))
     base = latest.select("cust_ids", "report_sn", "censor")
     # Inner join: rows without a loan fail the date filter below anyway.
     j = base.join(loans, base["report_sn"] == loans["report_id"], "inner").select(
@@ -482,16 +500,25 @@ def loan_settlement_ratios(
     periods_left = (
         ratio(F.datediff(F.to_date("end_date"), censor_day), F.col("loan_days")) * F.col("period")
     ).try_cast("int")
-    repaid = ratio(F.col("loan_amount"), F.col("period")) * periods_left
+    open_end = status.isNull() & (F.to_date("end_date") > censor_day)
     agg = j.groupBy("cust_ids").agg(
         F.count_distinct(F.when(status == settled, F.col("loan_id"))).alias("settled_n"),
         F.count_distinct(F.when(status != settled, F.col("loan_id"))).alias("open_n"),
-        F.sum(F.when(status == settled, F.col("loan_amount")).otherwise(_dec0())).cast("double").alias("settled_amt"),
-        F.sum(
-            F.when(status.isNull() & (F.to_date("end_date") > censor_day), repaid).otherwise(F.lit(0.0))
-        ).alias("repaid_amt"),
+        F.sum(F.when(status == settled, F.col("loan_amount")).otherwise(no_money())).cast("double").alias("settled_amt"),
         F.sum("loan_amount").cast("double").alias("total_amt"),
     )
+    by_period = (
+        j.filter(open_end)
+        .groupBy("cust_ids", "period")
+        .agg(F.sum((F.col("loan_amount") * periods_left).cast("decimal(38,2)")).cast("double").alias("amt"))
+        .select("cust_ids", "period", ratio(F.col("amt"), F.col("period")).alias("repaid"))
+        .filter(F.col("repaid").isNotNull())
+    )
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("period", "repaid"))), lambda s: s["repaid"])
+    repaid = by_period.groupBy("cust_ids").agg(
+        F.aggregate(in_order, F.lit(0.0), lambda a, x: a + x).alias("repaid_amt")
+    )
+    agg = agg.join(repaid, "cust_ids", "left").withColumn("repaid_amt", F.coalesce("repaid_amt", F.lit(0.0)))
     return agg.select(
         "cust_ids",
         F.coalesce(ratio(F.col("settled_n"), F.col("settled_n") + F.col("open_n")), F.lit(0.0)).alias(

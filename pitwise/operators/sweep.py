@@ -42,7 +42,9 @@ def coverage_totals(
     """
     keys = list(keys)
     width = bucket_days * MICROS_PER_DAY
-    p = points.withColumn("bucket", F.floor(F.col("t") / F.lit(width)))
+    # Rows of one instant, however many, become one before they are sorted.
+    sums = [F.sum(c).alias(c) for c in ("q", *measures)]
+    p = points.groupBy(*keys, "t", "kind").agg(*sums).withColumn("bucket", F.floor(F.col("t") / F.lit(width)))
     local = Window.partitionBy(*keys, "bucket").orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0)
     running = p.select(
         *keys,

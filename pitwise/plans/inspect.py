@@ -12,9 +12,12 @@ import sys
 from pyspark.sql import DataFrame
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
-_SCAN = re.compile(
-    r"FileScan parquet .*?Location: \w+(?:\(\d+ paths?\))?\s?\[([^\]]*)\].*?PushedFilters: \[(.*?)\], ReadSchema: (struct<.*?>)$"
-)
+_SCAN = re.compile(r"FileScan parquet (.*)")
+_PART = {
+    "table": re.compile(r"Location: [^\[]*\[[^\]]*?([^/\],]*?)(?:[\],]|\.\.\.)"),
+    "pushed": re.compile(r"PushedFilters: \[(.*?)\](?:, ReadSchema|$)"),
+    "read": re.compile(r"ReadSchema: (struct<.*)"),
+}
 
 
 def physical_plan(df: DataFrame) -> str:
@@ -28,8 +31,8 @@ def plan_summary(df: DataFrame) -> dict:
     for line in plan.splitlines():
         m = _SCAN.search(line.strip())
         if m:
-            table = m.group(1).split(",")[0].rsplit("/", 1)[-1]
-            scans.append({"table": table, "read": m.group(3), "pushed": m.group(2)})
+            found = {k: p.search(m.group(1)) for k, p in _PART.items()}
+            scans.append({k: f.group(1) if f else "" for k, f in found.items()})
     return {
         "exchanges": plan.count("Exchange "),
         "sort_merge_joins": plan.count("SortMergeJoin"),
@@ -43,7 +46,7 @@ def plan_summary(df: DataFrame) -> dict:
 
 def main(argv: list[str]) -> None:
     sys.path.insert(0, ".")
-    import __spark_entry__ as entry
+    from pitwise.plans import registry
     from pitwise.plans.session import local_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
@@ -54,7 +57,7 @@ def main(argv: list[str]) -> None:
     print("| query | exchanges | SMJ | aggregates | windows | scans | forbidden nodes |")
     print("|---|---|---|---|---|---|---|")
     details = []
-    for name, q in entry.queries().items():
+    for name, q in registry.queries().items():
         s = plan_summary(q(spark, sf_dir))
         print(
             f"| {name} | {s['exchanges']} | {s['sort_merge_joins']} | {s['aggregates']} | {s['windows']} | "

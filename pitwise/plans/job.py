@@ -17,19 +17,22 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pitwise import operators as op
 from pitwise.functions import codes
+from pitwise.functions.time import instant_literal
 from pitwise.sources.inputs import Inputs
 
 
 @dataclass(frozen=True)
 class JobParams:
     # The censor of every cohort row. Without a caller-supplied cohort it
-    # defines the cohort (D1); it is also the scan-side bound of the facts.
+    # defines the cohort (D1); with one it must not be before any row's.
     censor: str | None
     amount_cap: float = codes.AMOUNT_CAP
     loan_use_period: str = "month"
@@ -41,8 +44,11 @@ class FeatureJob:
     """All stages of the job over one set of inputs.
 
     ``cohort`` may be given as a DataFrame ``(cust_ids, time_censor)`` with a
-    censor per customer (point-in-time features per application, say); then
-    ``params.censor`` must be None, or the common censor of every row.
+    censor per customer. Features are keyed by customer, so a customer must
+    be in it once: for several censors of one customer run one job each. The
+    cohort is read once to check this, that no censor is null, and for the
+    first and last censor, which bound the scans. ``params.censor`` may be
+    None; one before the last censor is refused.
     """
 
     def __init__(
@@ -60,8 +66,34 @@ class FeatureJob:
         self.materialize = materialize
         self.run_id = run_id or uuid.uuid4().hex[:12]
         self._given_cohort = cohort
-        # Scan-side bound, valid only when every cohort row shares it.
-        self.censor = params.censor
+        # Scan-side bounds: no row's censor is after the one or before the other.
+        self.censor = self.first_censor = params.censor
+        if cohort is not None:
+            self.first_censor, self.censor = self._checked(cohort)
+
+    def _checked(self, cohort: DataFrame) -> tuple[datetime | None, datetime | None]:
+        """The first and last censor of ``cohort``; raises if it breaks the contract."""
+        t = F.col("time_censor")
+        per_customer = cohort.groupBy("cust_ids").agg(
+            F.count(F.lit(1)).alias("n"), F.count(t).alias("known"), F.min(t).alias("first"), F.max(t).alias("last")
+        )
+        got = per_customer.agg(
+            F.max("n").alias("most"),
+            F.coalesce(F.sum(F.col("n") - F.col("known")), F.lit(0)).alias("unknown"),
+            F.unix_micros(F.min("first")).alias("first"),
+            F.unix_micros(F.max("last")).alias("last"),
+            F.unix_micros(F.lit(None).cast("timestamp") if self.p.censor is None else instant_literal(self.p.censor)).alias("given"),
+        ).first()
+        if (got["most"] or 0) > 1:
+            raise ValueError("the cohort has a customer twice; features are keyed by cust_ids")
+        if got["unknown"]:
+            raise ValueError(f"the cohort has {got['unknown']} rows without a censor")
+        if got["last"] is None:
+            return None, None
+        if got["given"] is not None and got["given"] < got["last"]:
+            raise ValueError("params.censor is before a censor of the cohort")
+        epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
+        return epoch + timedelta(microseconds=got["first"]), epoch + timedelta(microseconds=got["last"])
 
     # -- materialisation ------------------------------------------------------
 
@@ -76,6 +108,9 @@ class FeatureJob:
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
+    def _before(self, name: str, column: str) -> DataFrame:
+        return self.inputs.before(name, column, self.censor)
+
     # -- D1-D4 ----------------------------------------------------------------
 
     @cached_property
@@ -90,14 +125,14 @@ class FeatureJob:
 
     @cached_property
     def device_events(self) -> DataFrame:
-        return op.device_events_asof(self.accounts, self.inputs["device_events"], censor=self.censor)
+        return op.device_events_asof(self.accounts, self._before("device_events", "pay_time"), censor=self.censor)
 
     @cached_property
     def device_events_raw(self) -> DataFrame:
         """As-of events without the row dedup; for duplicate-insensitive uses."""
         return self._stage(
             "device_events",
-            op.device_events_asof(self.accounts, self.inputs["device_events"], censor=self.censor, dedupe=False),
+            op.device_events_asof(self.accounts, self._before("device_events", "pay_time"), censor=self.censor, dedupe=False),
         )
 
     @cached_property
@@ -106,7 +141,7 @@ class FeatureJob:
             "payments",
             op.order_payments_asof(
                 self.accounts,
-                self.inputs["orders"],
+                self._before("orders", "pay_time"),
                 self.inputs["order_lines"],
                 amount_cap=self.p.amount_cap,
                 censor=self.censor,
@@ -131,24 +166,29 @@ class FeatureJob:
     def burst(self) -> DataFrame:
         return op.device_burst_7d(self.device_events_raw)
 
+    @cached_property
+    def event_features(self) -> DataFrame:
+        """The event rates with the burst flag, one row per customer."""
+        return self.event_rates.join(self.burst, "cust_ids", "left")
+
     @cached_property
     def device_peak(self) -> DataFrame:
         return op.monthly_device_city_peak(self.device_events_raw, period=self.p.loan_use_period)
 
     # -- D10-D13, D22-D24 -----------------------------------------------------
 
+    @cached_property
+    def loan_outcomes(self) -> DataFrame:
+        i = self.inputs
+        return self._stage("loan_outcomes", op.loan_outcomes(i["loans"], i["overdue"], i["repayments"]))
+
     @cached_property
     def history(self) -> DataFrame:
-        return op.loan_history_counts(
-            self.inputs["loans"],
-            self.inputs["overdue"],
-            self.inputs["repayments"],
-            bucket_days=self.p.history_bucket_days,
-        )
+        return op.loan_history_counts(self.loan_outcomes, bucket_days=self.p.history_bucket_days)
 
     @cached_property
     def repaid(self) -> DataFrame:
-        return op.repaid_by_censor(self.cohort, self.inputs["loans"], self.inputs["repayments"], censor=self.censor)
+        return op.repaid_by_censor(self.cohort, self.inputs["loans"], self._before("repayments", "apply_time"), censor=self.censor)
 
     @cached_property
     def xfd(self) -> DataFrame:
@@ -157,26 +197,28 @@ class FeatureJob:
     @cached_property
     def repay_outcomes(self) -> DataFrame:
         return op.repay_outcome_rates(
-            self.cohort, self.inputs["loans"], self.inputs["repayments"], censor=self.censor
+            self.cohort, self._before("loans", "loan_time"), self._before("repayments", "apply_time"), censor=self.censor
         )
 
     @cached_property
     def od_strict(self) -> DataFrame:
-        return op.overdue_flag_strict(self.cohort, self.inputs["loans"], self.inputs["overdue"])
+        return op.overdue_flag_strict(
+            self.cohort, self.inputs["loans"], self._before("overdue", "start_date"), censor=self.censor
+        )
 
     @cached_property
     def od_any(self) -> DataFrame:
-        return op.overdue_flag_any(self.cohort, self.inputs["loans"], self.inputs["overdue"])
+        return op.overdue_flag_any(self.cohort, self.inputs["loans"], self.inputs["overdue"], censor=self.censor)
 
     @cached_property
     def last_loan(self) -> DataFrame:
-        return op.last_loan_profile(self.cohort, self.inputs["loans"], censor=self.censor)
+        return op.last_loan_profile(self.cohort, self._before("loans", "loan_time"), censor=self.censor)
 
     # -- D14-D21 --------------------------------------------------------------
 
     @cached_property
     def latest_report(self) -> DataFrame:
-        return self._stage("latest_report", op.latest_report(self.cohort, self.inputs["reports"], censor=self.censor))
+        return self._stage("latest_report", op.latest_report(self.cohort, self._before("reports", "report_create_time"), censor=self.censor))
 
     @cached_property
     def gen1_counts(self) -> DataFrame:
@@ -201,9 +243,14 @@ class FeatureJob:
     def report_flat(self) -> DataFrame:
         return op.report_flatten(self.gen2_main, *self._gen2_tree())
 
+    @cached_property
+    def latest_documents(self) -> DataFrame:
+        latest = op.latest_documents(self.cohort, self.gen2_main, self.gen2_identity, censor=self.censor)
+        return self._stage("latest_documents", latest)
+
     @cached_property
     def gen2_counts(self) -> DataFrame:
-        return op.query_counts_gen2(self.cohort, self.gen2_main, *self._gen2_tree(), censor=self.censor)
+        return op.query_counts_gen2(self.latest_documents, *self._gen2_tree())
 
     @cached_property
     def bureau(self) -> DataFrame:
@@ -212,12 +259,14 @@ class FeatureJob:
     @cached_property
     def latest_report_normalised(self) -> DataFrame:
         return self._stage(
-            "latest_report_normalised", op.latest_report_normalised(self.cohort, self.inputs["reports"], censor=self.censor)
+            "latest_report_normalised", op.latest_report_normalised(self.cohort, self._before("reports", "report_create_time"), censor=self.censor)
         )
 
     @cached_property
     def settlement(self) -> DataFrame:
-        return op.loan_settlement_ratios(self.latest_report_normalised, self.inputs["report_loans"])
+        return op.loan_settlement_ratios(
+            self.latest_report_normalised, self.inputs["report_loans"], censor=self.first_censor
+        )
 
     @cached_property
     def card_gap(self) -> DataFrame:
@@ -261,20 +310,29 @@ class FeatureJob:
 
     # -- sinks ----------------------------------------------------------------
 
-    # Stages written by ``write``: the feature tables the job publishes.
+    # Stages written by ``write``, each after those it reads: the step tables
+    # and feature tables that the job publishes.
     PUBLISHED = (
         "cohort",
+        "accounts",
+        "device_events",
+        "payments",
         "pay_ratios",
         "spend",
         "event_rates",
         "burst",
+        "event_features",
         "device_peak",
         "history",
         "xfd",
         "repay_outcomes",
+        "latest_report",
+        "gen1_counts",
+        "gen2_counts",
         "bureau",
         "settlement",
         "card_gap",
+        "assembled",
         "features",
         "applications",
         "final",
@@ -285,16 +343,21 @@ class FeatureJob:
 
         ``target`` is a directory (``<target>/<stage>`` in ``fmt``) or, with
         ``fmt="table"``, a table-name prefix (``<target><stage>`` via
-        ``saveAsTable``). Each write is one Spark job over the stage's plan.
+        ``saveAsTable``). A written stage is read back where later ones use
+        it, so nothing is computed twice.
         """
+        spark = self.inputs["credits"].sparkSession
         out = {}
         for name in stages:
             df = getattr(self, name)
             if fmt == "table":
                 dest = f"{target}{name}"
                 df.write.mode("overwrite").saveAsTable(dest)
+                written = spark.table(dest)
             else:
                 dest = f"{target.rstrip('/')}/{name}"
                 df.write.mode("overwrite").format(fmt).save(dest)
+                written = spark.read.schema(df.schema).format(fmt).load(dest)
+            self.__dict__[name] = written
             out[name] = dest
         return out

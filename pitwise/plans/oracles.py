@@ -14,9 +14,22 @@ are integer sums cast to double; every ratio guards its divisor with
 
 from __future__ import annotations
 
-from pitwise.functions import codes
 from pitwise.sources import fixture
 
+# Fixed values of the definitions, written out here and not shared with the
+# operators, so that a wrong value on either side shows.
+RXD_CHANNEL_MARK = "任性贷"
+EVENT_TOTAL_CODES = ("LOGIN_POST", "E0906")
+EVENT_RATE_CODES = ("E0506", "LOGIN_POST", "E0406", "E0906", "E0418", "E0129", "E0428", "E0424", "E0425", "E0434")
+QUERY_WINDOWS = (90, 180, 365)
+REASON_LOAN = "贷款审批"
+REASON_CARD = "信用卡审批"
+GEN2_REASON_LOAN = 2
+GEN2_REASON_CARD = 3
+EXCLUDED_LOAN_TYPES = ("个人汽车贷款", "个人商用房（包括商住两用）贷款", "个人住房贷款")
+SETTLED = "结清"
+SETTLEMENT_LOOKBACK_DAYS = 365
+
 C = f"TIMESTAMP '{fixture.CENSOR}'"
 DAY_US = 86_400_000_000
 XFD = "partner_no = '10' AND product_no = 'RXD' AND quota_type = '02'"
@@ -71,7 +84,7 @@ JOIN (SELECT DISTINCT buyer_user_no, merchant_order_id, amount, pay_time, pay_or
       WHERE amount < {fixture.AMOUNT_CAP} AND length(buyer_user_no) = 19 AND pay_order_id IS NOT NULL) o
   ON o.buyer_user_no = a.acct_no
 JOIN (SELECT merchant_order_id, pay_channel_name, pay_type,
-             CASE WHEN contains(pay_channel_name, {_q(codes.RXD_CHANNEL_MARK)}) THEN 1 ELSE 0 END AS is_rxd_pay
+             CASE WHEN contains(pay_channel_name, {_q(RXD_CHANNEL_MARK)}) THEN 1 ELSE 0 END AS is_rxd_pay
       FROM in_order_lines) l
   ON l.merchant_order_id = o.merchant_order_id
 WHERE o.pay_time < a.time_censor AND o.pay_time IS NOT NULL""",
@@ -97,7 +110,7 @@ FROM (SELECT cust_ids, date_trunc('month', pay_time) AS pay_month,
       FROM payments GROUP BY 1, 2) m
 GROUP BY cust_ids""",
 )
-_RXD = f"coalesce(contains(pay_channel_name, {_q(codes.RXD_CHANNEL_MARK)}), false)"
+_RXD = f"coalesce(contains(pay_channel_name, {_q(RXD_CHANNEL_MARK)}), false)"
 cte(
     "d6",
     ("payments",),
@@ -115,11 +128,11 @@ cte(
     "d7",
     ("events_asof",),
     "SELECT cust_ids, "
-    + ", ".join(f"{c} AS {c}_all" for c in codes.EVENT_TOTAL_CODES)
+    + ", ".join(f"{c} AS {c}_all" for c in EVENT_TOTAL_CODES)
     + ", "
-    + ", ".join(f"{c} / {_span} AS {c}_avg" for c in codes.EVENT_RATE_ORDER)
+    + ", ".join(f"{c} / {_span} AS {c}_avg" for c in EVENT_RATE_CODES)
     + " FROM (SELECT cust_ids, "
-    + ", ".join(f"{_cnt(f'event_code = {_q(c)}')} AS {c}" for c in codes.EVENT_CODES)
+    + ", ".join(f"{_cnt(f'event_code = {_q(c)}')} AS {c}" for c in EVENT_RATE_CODES)
     + ", min(pay_time) AS first_ts, max(time_censor) AS censor_ts FROM (SELECT DISTINCT acct_no, cust_ids, "
     "time_censor, pay_time, event_code, device_id FROM events_asof WHERE pay_time < time_censor) e "
     "GROUP BY cust_ids) g",
@@ -147,37 +160,30 @@ FROM (SELECT cust_ids, acct_no, date_trunc('{fixture.LOAN_USE_PERIOD}', pay_time
 GROUP BY cust_ids""",
 )
 
-_GOOD = (
-    "((od_rec IS NULL AND pt IS NOT NULL AND pt < t0) OR "
-    "(od_rec IS NOT NULL AND od_rec > CAST(t0 AS DATE) AND pt IS NOT NULL AND pt < t0))"
-)
-_BAD = "(od_rec IS NOT NULL AND od_rec <= CAST(t0 AS DATE))"
+# Of an earlier loan, as seen from a later one taken at an instant: overdue by
+# that day, or repaid before that instant and not (yet) overdue.
+_OVERDUE = "coalesce(first_overdue <= CAST(seen_at AS DATE), false)"
+_GOOD = f"(coalesce(first_paid < seen_at, false) AND NOT {_OVERDUE})"
 cte(
     "d10",
     ("in_loans", "in_overdue", "in_repayments"),
-    f"""SELECT cust_ids, all_good_cnt, all_bad_cnt, xfd_good_cnt, xfd_bad_cnt,
-  all_bad_cnt / (all_good_cnt + all_bad_cnt + 0.1) AS all_odds_ratio,
+    f"""WITH taken AS (
+  SELECT cust_ids, loan_no, loan_time, coalesce({XFD}, false) AS consumer FROM in_loans WHERE {VALID_LOAN}
+), outcome AS (
+  SELECT t.*,
+    (SELECT min(stat_date) FROM in_overdue o WHERE o.loan_no = t.loan_no) AS first_overdue,
+    (SELECT min(apply_time) FROM in_repayments r WHERE r.loan_no = t.loan_no AND r.status = '200') AS first_paid
+  FROM taken t
+), pairs AS (
+  SELECT earlier.*, later.loan_time AS seen_at
+  FROM taken later JOIN outcome earlier USING (cust_ids)
+  WHERE earlier.loan_no <> later.loan_no AND earlier.loan_time < later.loan_time
+)
+SELECT *, all_bad_cnt / (all_good_cnt + all_bad_cnt + 0.1) AS all_odds_ratio,
   xfd_bad_cnt / (xfd_good_cnt + xfd_bad_cnt + 0.1) AS xfd_odds_ratio
-FROM (
-  SELECT l.cust_ids,
-    {_cnt(_GOOD)} AS all_good_cnt, {_cnt(_BAD)} AS all_bad_cnt,
-    {_cnt(f"{_GOOD} AND is_xfd = 1.0")} AS xfd_good_cnt, {_cnt(f"{_BAD} AND is_xfd = 1.0")} AS xfd_bad_cnt
-  FROM (SELECT cust_ids, loan_no, loan_time AS t0 FROM in_loans WHERE {VALID_LOAN}) l
-  JOIN (SELECT a.cust_ids, a.loan_no AS ln, a.loan_time AS t1, a.is_xfd, od.od_rec, pay.pt
-        FROM (SELECT cust_ids, loan_no, loan_time,
-                     CASE WHEN {XFD} THEN 1.0 ELSE 0.0 END AS is_xfd
-              FROM in_loans WHERE {VALID_LOAN}) a
-        LEFT JOIN (SELECT loan_no, min(stat_date) AS od_rec
-                   FROM (SELECT DISTINCT loan_no, start_date, stat_date FROM in_overdue) GROUP BY loan_no) od
-          ON od.loan_no = a.loan_no
-        LEFT JOIN (SELECT loan_no, min(apply_time) AS pt
-                   FROM (SELECT DISTINCT loan_no, status, apply_time FROM in_repayments)
-                   WHERE loan_no IS NOT NULL AND apply_time IS NOT NULL AND status = '200'
-                   GROUP BY loan_no) pay
-          ON pay.loan_no = a.loan_no) d
-    ON d.cust_ids = l.cust_ids
-  WHERE d.ln <> l.loan_no AND d.t1 < l.t0
-  GROUP BY l.cust_ids) s""",
+FROM (SELECT cust_ids, {_cnt(_GOOD)} AS all_good_cnt, {_cnt(_OVERDUE)} AS all_bad_cnt,
+        {_cnt(f"consumer AND {_GOOD}")} AS xfd_good_cnt, {_cnt(f"consumer AND {_OVERDUE}")} AS xfd_bad_cnt
+      FROM pairs GROUP BY cust_ids) counted""",
 )
 cte(
     "d11",
@@ -250,7 +256,7 @@ JOIN (SELECT c.cust_ids, max(r.report_sn) AS id
 
 
 def _window_counts(reason: str, loan: str, card: str, suffix: str) -> str:
-    w3, w6, w12 = codes.QUERY_WINDOWS
+    w3, w6, w12 = QUERY_WINDOWS
     parts = [
         (f"no_days <= {w3}", "query_cnt_3m"),
         (f"no_days <= {w6}", "query_cnt_6m"),
@@ -267,7 +273,7 @@ def _window_counts(reason: str, loan: str, card: str, suffix: str) -> str:
 cte(
     "d15",
     ("d14", "in_report_queries", "in_report_summary"),
-    f"""SELECT cust_ids, {_window_counts("queryreason", _q(codes.REASON_LOAN), _q(codes.REASON_CARD), "1")},
+    f"""SELECT cust_ids, {_window_counts("queryreason", _q(REASON_LOAN), _q(REASON_CARD), "1")},
   max(last2yearquery_loanmanage) AS query_loanmanage_24m_1,
   max(lastmonthquery_selfquery) AS query_selfquery_1m_1,
   count(DISTINCT lastmonthquery_selfquery) AS uq
@@ -324,7 +330,7 @@ cte(
     "d17",
     ("cohort", "flat"),
     f"""SELECT cust_ids,
-  {_window_counts("TRY_CAST(query_reason AS INTEGER)", str(codes.GEN2_REASON_LOAN), str(codes.GEN2_REASON_CARD), "2")},
+  {_window_counts("TRY_CAST(query_reason AS INTEGER)", str(GEN2_REASON_LOAN), str(GEN2_REASON_CARD), "2")},
   max(query_loanmanage_24m) AS query_loanmanage_24m_2,
   max(query_selfquery_cnt_1m) AS query_selfquery_cnt_1m_2
 FROM (SELECT lab.*, date_diff('day', CAST(lab.query_date AS DATE), CAST(lab.create_time AS DATE)) AS no_days
@@ -368,31 +374,37 @@ JOIN (SELECT DISTINCT cert_no, report_create_time, report_sn FROM in_reports) b
   ON b.cert_no = g.cert_no AND b.report_create_time = g.rt
 GROUP BY g.cust_ids""",
 )
-_EXCL = " AND ".join(f"loan_type <> {_q(t)}" for t in codes.EXCLUDED_LOAN_TYPES)
-_SETTLED = _q(codes.SETTLED)
+_EXCL = " AND ".join(f"loan_type <> {_q(t)}" for t in EXCLUDED_LOAN_TYPES)
+_SETTLED = _q(SETTLED)
+_RECENT = f"""SELECT DISTINCT * FROM (
+    SELECT d.cust_ids, cl.loan_id, cl.start_date, cl.org_type, cl.organname, cl.loan_amount, cl.loan_type,
+           cl.period, cl.payment_method, cl.end_date, cl.account_status, d.censor,
+           date_diff('day', CAST(cl.start_date AS DATE), CAST(cl.end_date AS DATE)) AS loan_days
+    FROM d19 d LEFT JOIN (SELECT DISTINCT * FROM in_report_loans) cl ON cl.report_id = d.report_sn) j
+  WHERE CAST(start_date AS DATE) >= CAST(censor AS DATE) - {SETTLEMENT_LOOKBACK_DAYS} AND {_EXCL}"""
+# Whole periods left of a loan without status that ends after the censor.
+_PERIODS_LEFT = (
+    "CAST(trunc(CAST(date_diff('day', CAST(censor AS DATE), CAST(end_date AS DATE)) AS DOUBLE)"
+    " / nullif(loan_days, 0) * period) AS INTEGER)"
+)
 cte(
     "d20",
     ("d19", "in_report_loans"),
-    f"""SELECT cust_ids,
+    f"""SELECT g.cust_ids,
   coalesce(CAST(sn AS DOUBLE) / nullif(CAST(sn + onn AS DOUBLE), 0), 0.0) AS settled_loan_cnt_ratio_1y,
-  (samt + ramt) / nullif(tamt, 0) AS settled_loan_amount_ratio_1y
+  (samt + coalesce(ramt, 0.0)) / nullif(tamt, 0) AS settled_loan_amount_ratio_1y
 FROM (SELECT cust_ids,
         count(DISTINCT CASE WHEN account_status = {_SETTLED} THEN loan_id END) AS sn,
         count(DISTINCT CASE WHEN account_status <> {_SETTLED} THEN loan_id END) AS onn,
         CAST(sum(CASE WHEN account_status = {_SETTLED} THEN loan_amount ELSE 0 END) AS DOUBLE) AS samt,
-        sum(CASE WHEN account_status IS NULL AND CAST(end_date AS DATE) > CAST(censor AS DATE)
-                 THEN (CAST(loan_amount AS DOUBLE) / nullif(period, 0))
-                      * CAST(trunc(CAST(date_diff('day', CAST(censor AS DATE), CAST(end_date AS DATE)) AS DOUBLE)
-                                   / nullif(loan_days, 0) * period) AS INTEGER)
-                 ELSE CAST(0.0 AS DOUBLE) END) AS ramt,
         CAST(sum(loan_amount) AS DOUBLE) AS tamt
-      FROM (SELECT DISTINCT * FROM (
-              SELECT d.cust_ids, cl.loan_id, cl.start_date, cl.org_type, cl.organname, cl.loan_amount, cl.loan_type,
-                     cl.period, cl.payment_method, cl.end_date, cl.account_status, d.censor,
-                     date_diff('day', CAST(cl.start_date AS DATE), CAST(cl.end_date AS DATE)) AS loan_days
-              FROM d19 d LEFT JOIN (SELECT DISTINCT * FROM in_report_loans) cl ON cl.report_id = d.report_sn) j
-            WHERE CAST(start_date AS DATE) >= CAST(censor AS DATE) - {codes.SETTLEMENT_LOOKBACK_DAYS} AND {_EXCL}) f
-      GROUP BY cust_ids) g""",
+      FROM ({_RECENT}) f GROUP BY cust_ids) g
+LEFT JOIN (SELECT cust_ids, sum(amt / period ORDER BY period) AS ramt
+           FROM (SELECT cust_ids, period, CAST(sum(loan_amount * {_PERIODS_LEFT}) AS DOUBLE) AS amt
+                 FROM ({_RECENT}) f2
+                 WHERE account_status IS NULL AND CAST(end_date AS DATE) > CAST(censor AS DATE)
+                 GROUP BY cust_ids, period) p
+           WHERE period <> 0 AND amt IS NOT NULL GROUP BY cust_ids) r ON r.cust_ids = g.cust_ids""",
 )
 cte(
     "d21",

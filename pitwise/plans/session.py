@@ -28,26 +28,6 @@ RECOMMENDED = {
 }
 
 
-def scale_settings(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
-    """Settings for a cluster run over ``input_bytes`` of input.
-
-    Scan splits and shuffle partitions target ``partition_bytes`` each, so a
-    task's share fits executor memory at any input size; adaptive execution
-    then coalesces small partitions and splits skewed ones from measured
-    sizes. For 100 TB at 256 MB this starts from about 400,000 shuffle
-    partitions.
-    """
-    parts = max(200, -(-input_bytes // partition_bytes))
-    return {
-        **RECOMMENDED,
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
-    }
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "pitwise") -> SparkSession:
     """A local session for tests and benchmarks with the recommended settings.
 
@@ -69,14 +49,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint directory; a temporary one only if unset."""
+    """The session's checkpoint directory.
+
+    A local session without one gets a temporary folder; a cluster must name
+    a shared one, since its executors do not see the driver's folders.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    path = tempfile.mkdtemp(prefix="pitwise-ckpt-", dir="/tmp")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a directory that all executors share")
+    path = tempfile.mkdtemp(prefix="pitwise-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
-    try:
-        spark.conf.set("spark.checkpoint.dir", path)
-    except Exception:  # core setting; the context already knows the folder
-        pass
-    return path
+    return spark.sparkContext.getCheckpointDir()

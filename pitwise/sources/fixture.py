@@ -37,8 +37,9 @@ EVENT_SHIFT_DAYS = 9131
 # Order totals in the test data run to 500,000; the cap keeps most of them.
 AMOUNT_CAP = 400_000
 GEN2_MIN_CREATE = "1996-01-01"
-# The test events span one month, so device peaks use days, not months.
-LOAN_USE_PERIOD = "day"
+# Two thirds of the events are moved back by a month or two more, so device
+# peaks have several calendar months to choose from.
+LOAN_USE_PERIOD = "month"
 
 RAW_TABLES = ("customer", "orders", "lineitem", "events")
 
@@ -77,7 +78,6 @@ class Adapter:
     source: str
     # (alias, expression) or (alias, spark expression, duckdb expression)
     columns: tuple
-    where: str | None = None
 
     def _exprs(self, engine: str) -> list[str]:
         out = []
@@ -90,14 +90,11 @@ class Adapter:
 
     def spark(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         df = spark.read.parquet(f"{sf_dir}/{self.source}.parquet")
-        if self.where:
-            df = df.filter(self.where)
         return df.selectExpr(*self._exprs("spark"))
 
     def duckdb_cte(self) -> str:
-        where = f" WHERE {self.where}" if self.where else ""
         cols = ", ".join(self._exprs("duckdb"))
-        return f"in_{self.logical} AS (SELECT {cols} FROM {self.source}{where})"
+        return f"in_{self.logical} AS (SELECT {cols} FROM {self.source})"
 
 
 _ORDER_KEY = "cast(o_orderkey as string)"
@@ -120,11 +117,10 @@ ADAPTERS = {
             "credits_alt",
             "customer",
             (
-                ("card_no", _id18("c_custkey")),
+                ("card_no", f"CASE WHEN c_acctbal > 5000 THEN {_id18('c_custkey')} END"),
                 ("credit_date", "cast(date '1996-01-01' + cast(c_custkey % 1500 as int) as timestamp)"),
                 ("credit_quota", "c_acctbal"),
             ),
-            where="c_acctbal > 5000",
         ),
         Adapter(
             "members",
@@ -139,12 +135,17 @@ ADAPTERS = {
                     "account_no",
                     "concat('62', cast(1 + event_id % 4 as string), lpad(cast(user_id as string), 16, '0'))",
                 ),
-                ("pay_time", f"cast(ts as timestamp) - INTERVAL {EVENT_SHIFT_DAYS} DAY"),
+                (
+                    "pay_time",
+                    f"cast(ts as timestamp) - INTERVAL {EVENT_SHIFT_DAYS} DAY - (event_id % 3) * INTERVAL 30 DAY",
+                ),
                 (
                     "event_code",
-                    "CASE event_type WHEN 'view' THEN 'LOGIN_POST' WHEN 'click' THEN 'E0418' "
-                    "WHEN 'purchase' THEN 'E0406' WHEN 'error' THEN 'E0906' "
-                    "WHEN 'signup' THEN 'E0506' END",
+                    "CASE WHEN user_id % 2 = event_id % 2 THEN CASE event_type WHEN 'view' THEN 'LOGIN_POST' "
+                    "WHEN 'click' THEN 'E0418' WHEN 'purchase' THEN 'E0406' WHEN 'error' THEN 'E0906' "
+                    "WHEN 'signup' THEN 'E0506' END ELSE CASE event_type WHEN 'view' THEN 'E0129' "
+                    "WHEN 'click' THEN 'E0428' WHEN 'purchase' THEN 'E0424' WHEN 'error' THEN 'E0425' "
+                    "WHEN 'signup' THEN 'E0434' END END",
                 ),
                 (
                     "device_id",
@@ -188,7 +189,7 @@ ADAPTERS = {
                 ("loan_no", _ORDER_KEY),
                 ("cust_ids", _id18("o_custkey")),
                 ("loan_time", _ts("o_orderdate")),
-                ("loan_amount", _money("o_totalprice")),
+                ("loan_amount", f"CASE WHEN o_custkey % 11 > 0 THEN {_money('o_totalprice')} END"),
                 ("loan_term", "cast(3 * (1 + o_orderkey % 4) as double)"),
                 ("loan_rate", "cast(5 + o_orderkey % 10 as double) / 100"),
                 ("partner_no", "CASE WHEN o_orderstatus = 'F' THEN '10' ELSE '20' END"),
@@ -200,7 +201,7 @@ ADAPTERS = {
             "overdue",
             "lineitem",
             (
-                ("loan_no", "cast(l_orderkey as string)"),
+                ("loan_no", "CASE WHEN l_returnflag = 'R' THEN cast(l_orderkey as string) END"),
                 ("start_date", _ts("l_shipdate")),
                 (
                     "stat_date",
@@ -208,7 +209,6 @@ ADAPTERS = {
                 ),
                 ("overdue_days", "l_quantity - 45"),
             ),
-            where="l_returnflag = 'R'",
         ),
         Adapter(
             "repayments",
@@ -298,12 +298,13 @@ ADAPTERS = {
             ),
         ),
         Adapter("pqo", "orders", (("id", "concat('Q', cast(o_orderkey as string))"), ("doc_id", _ORDER_KEY))),
+        # A document has up to two summaries: its first two lines.
         Adapter(
             "pqo_pc05",
-            "orders",
+            "lineitem",
             (
-                ("id", "concat('C', cast(o_orderkey as string))"),
-                ("pqo_id", "concat('Q', cast(o_orderkey as string))"),
+                ("id", "concat('C', cast(l_orderkey as string), '-', cast(l_linenumber as string))"),
+                ("pqo_id", "CASE WHEN l_linenumber <= 2 THEN concat('Q', cast(l_orderkey as string)) END"),
             ),
         ),
         Adapter(
@@ -311,7 +312,7 @@ ADAPTERS = {
             "orders",
             (
                 ("id", "concat('A', cast(o_orderkey as string))"),
-                ("pqo_pc05_id", "concat('C', cast(o_orderkey as string))"),
+                ("pqo_pc05_id", "concat('C', cast(o_orderkey as string), '-1')"),
                 ("pc05aq01", "o_orderpriority"),
                 ("pc05ar01", _ts("o_orderdate")),
                 ("pc05ad01", "o_orderstatus"),
@@ -320,16 +321,16 @@ ADAPTERS = {
         ),
         Adapter(
             "pc05b",
-            "orders",
+            "lineitem",
             (
-                ("id", "concat('B', cast(o_orderkey as string))"),
-                ("pqo_pc05_id", "concat('C', cast(o_orderkey as string))"),
-                ("pc05bs01", "o_orderkey % 3"),
-                ("pc05bs02", "o_orderkey % 4"),
-                ("pc05bs03", "o_custkey % 5"),
-                ("pc05bs04", "o_custkey % 6"),
-                ("pc05bs05", "o_orderkey % 5"),
-                ("pc05bs06", "o_custkey % 11"),
+                ("id", "concat('B', cast(l_orderkey as string), '-', cast(l_linenumber as string))"),
+                ("pqo_pc05_id", "concat('C', cast(l_orderkey as string), '-', cast(l_linenumber as string))"),
+                ("pc05bs01", "l_orderkey % 3"),
+                ("pc05bs02", "l_orderkey % 4"),
+                ("pc05bs03", "l_suppkey % 5"),
+                ("pc05bs04", "l_suppkey % 6"),
+                ("pc05bs05", "l_partkey % 5"),
+                ("pc05bs06", "l_partkey % 11"),
             ),
         ),
         Adapter("poq", "orders", (("id", "concat('P', cast(o_orderkey as string))"), ("doc_id", _ORDER_KEY))),

@@ -9,9 +9,11 @@ input read by several features is one scan in each plan that uses it.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pitwise.functions.time import scan_bound
 from pitwise.sources.schemas import SPECS, conform
 
 Loader = Callable[[], DataFrame]
@@ -32,6 +34,21 @@ class Inputs:
             self._cache[name] = conform(self._loaders[name](), SPECS[name])
         return self._cache[name]
 
+    def before(self, name: str, column: str, censor: str | datetime | date | None) -> DataFrame:
+        """Input ``name`` with a bound on the stored ``column`` that the scan can use.
+
+        Rows at or after ``censor`` may remain; the caller compares typed times.
+        """
+        key = f"{name}<{censor}"
+        if censor is None or name not in self._loaders:
+            return self[name]
+        if key not in self._cache:
+            df = self._loaders[name]()
+            stored = {c.lower(): c for c in df.columns}.get(column.lower())
+            bound = scan_bound(df, stored, censor) if stored else None
+            self._cache[key] = conform(df if bound is None else df.filter(bound), SPECS[name])
+        return self._cache[key]
+
     def __contains__(self, name: str) -> bool:
         return name in self._loaders
 

@@ -108,7 +108,7 @@ def main(argv: list[str]) -> int:
     import __spark_entry__ as entry
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    names = argv[1:] or list(entry.queries())
+    names = argv[1:] or list(entry.oracle_sql())
     spark = local_session(8)
     con = duck(sf_dir)
     bad = 0

@@ -107,6 +107,6 @@ def test_loan_history_matches_pairwise_definition(spark, bucket_days):
     pdf = frame(spark, REPAY, [(no, None, None, "200", p, None) for no, p in pay_rows])
     got = {
         r.cust_ids: (r.all_good_cnt, r.all_bad_cnt, r.xfd_good_cnt, r.xfd_bad_cnt)
-        for r in op.loan_history_counts(ldf, odf, pdf, bucket_days=bucket_days).collect()
+        for r in op.loan_history_counts(op.loan_outcomes(ldf, odf, pdf), bucket_days=bucket_days).collect()
     }
     assert got == _history_reference([(no, c, t, x) for no, c, t, x in loans], od_day, paid)

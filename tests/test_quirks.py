@@ -164,7 +164,7 @@ def test_overdue_on_the_later_loans_day_counts_as_before(spark):
     )
     overdue = frame(spark, OVERDUE, [("L1", datetime(2020, 3, 1), date(2020, 3, 5), 5.0)])
     repay = frame(spark, REPAY, [])
-    r = op.loan_history_counts(loans, overdue, repay).first()
+    r = op.loan_history_counts(op.loan_outcomes(loans, overdue, repay)).first()
     assert (r.all_good_cnt, r.all_bad_cnt) == (0.0, 1.0)
 
 
@@ -180,7 +180,7 @@ def test_good_needs_repayment_before_and_overdue_after(spark):
     )
     overdue = frame(spark, OVERDUE, [("L1", datetime(2020, 3, 1), date(2020, 3, 10), 2.0)])
     repay = frame(spark, REPAY, [("L1", None, None, "200", datetime(2020, 1, 15), None)])
-    r = op.loan_history_counts(loans, overdue, repay).first()
+    r = op.loan_history_counts(op.loan_outcomes(loans, overdue, repay)).first()
     # (L2, L1): repaid before L2, overdue after L2's day -> good (also xfd good)
     # (L3, L1): overdue before L3 -> bad (also xfd bad); (L3, L2): nothing
     assert (r.all_good_cnt, r.all_bad_cnt, r.xfd_good_cnt, r.xfd_bad_cnt) == (1.0, 1.0, 1.0, 1.0)
@@ -191,13 +191,13 @@ def test_rows_sharing_a_loan_number_do_not_pair(spark):
     # The same loan number twice, at two times: the pair is excluded.
     loans = frame(spark, LOANS, [_loan("L1", "c", datetime(2020, 1, 1)), _loan("L1", "c", datetime(2020, 2, 1))])
     overdue = frame(spark, OVERDUE, [("L1", datetime(2019, 12, 1), date(2019, 12, 1), 2.0)])
-    assert op.loan_history_counts(loans, overdue, frame(spark, REPAY, [])).count() == 0
+    assert op.loan_history_counts(op.loan_outcomes(loans, overdue, frame(spark, REPAY, []))).count() == 0
     loans2 = frame(
         spark,
         LOANS,
         [_loan("L1", "c", datetime(2020, 1, 1)), _loan("L1", "c", datetime(2020, 2, 1)), _loan("L2", "c", datetime(2020, 3, 1))],
     )
-    r = op.loan_history_counts(loans2, overdue, frame(spark, REPAY, [])).first()
+    r = op.loan_history_counts(op.loan_outcomes(loans2, overdue, frame(spark, REPAY, []))).first()
     assert r.all_bad_cnt == 2.0  # L2 with each L1 row
 
 
@@ -324,7 +324,7 @@ def test_gen2_collapses_equal_enquiries_and_keeps_tied_reports(spark):
     ]
     main, tree = _gen2(spark, docs, records)
     cohort = frame(spark, COHORT, [("c", CENSOR)])
-    r = op.query_counts_gen2(cohort, main, *tree).first()
+    r = op.query_counts_gen2(op.latest_documents(cohort, main, tree[-1]), *tree).first()
     assert r.query_cnt_3m_2 == 3.0
     assert r.query_loan_cnt_3m_2 == 2.0
     assert r.query_card_cnt_12m_2 == 0.0
@@ -424,8 +424,8 @@ def test_no_consumer_loans_gives_loan_count_one(spark):
     import __spark_entry__ as entry
 
     df = entry.queries()["feature_assembly"](spark, "/root/testdata/sf0.001")
-    rows = df.select("last_apply_amount", "all_xfd_loan_cnt").collect()
-    assert all(r.all_xfd_loan_cnt == 1.0 for r in rows if r.last_apply_amount is None)
+    rows = df.select("last_apply_term", "all_xfd_loan_cnt").collect()
+    assert all(r.all_xfd_loan_cnt == 1.0 for r in rows if r.last_apply_term is None)
     assert any(r.all_xfd_loan_cnt > 1.0 for r in rows)
 
 
@@ -440,14 +440,14 @@ def test_principal_ratio_without_applications(spark):
 # --- hot right-side keys ----------------------------------------------------------
 
 
-def test_left_join_hot_right_equals_left_join(spark):
-    from pitwise.functions.joins import left_join_hot_right
+def test_left_join_many_equals_left_join(spark):
+    from pitwise.functions.joins import left_join_many
 
     left = frame(spark, "k string, a int", [("hot", 1), ("cold", 2), ("none", 3), (None, 4), ("hot", 5)])
-    right_rows = [("hot", i, f"v{i % 7}") for i in range(500)] + [("cold", 1, "x"), ("cold", 1, "x"), (None, 9, "n")]
+    right_rows = [("hot", i, f"v{i % 7}") for i in range(500)] + [("hot", 0, "same")] * 500 + [("cold", 1, "x"), ("cold", 1, "x"), (None, 9, "n")]
     right = frame(spark, "k string, b int, c string", right_rows)
     want = sorted(map(tuple, left.join(right, ["k"], "left").collect()), key=str)
-    got_df = left_join_hot_right(left, right, ["k"], rows_per_split=40)
+    got_df = left_join_many(left, right, ["k"])
     assert got_df.columns == ["k", "a", "b", "c"]
     assert sorted(map(tuple, got_df.collect()), key=str) == want
 
@@ -474,7 +474,7 @@ def test_gen2_single_document_count_factorises(spark):
     )
     ident = op.report_identity(prh, pa01, pa01b)
     cohort = frame(spark, COHORT, [("c", CENSOR)])
-    r = op.query_counts_gen2(cohort, main, pqo, pqo_pc05, pc05a, pc05b, poq, ph01, ident).first()
+    r = op.query_counts_gen2(op.latest_documents(cohort, main, ident), pqo, pqo_pc05, pc05a, pc05b, poq, ph01, ident).first()
     flat = op.report_flatten(main, pqo, pqo_pc05, pc05a, pc05b, poq, ph01, ident)
     assert flat.count() == 2 * 2 * 2
     assert (r.query_cnt_3m_2, r.query_loan_cnt_3m_2, r.query_card_cnt_3m_2) == (8.0, 4.0, 4.0)
