@@ -20,9 +20,13 @@ from pyspark.sql import functions as F
 from pitwise.llm.common import staged
 
 #: Vectors per shard, queries per block, and vectors per leaf.
-SHARD, BLOCK, LEAF = 1024, 512, 16
+SHARD, BLOCK, LEAF = 1024, 512, 64
 #: Chords are compared with this slack, above their rounding error.
 SLACK = 1e-7
+#: Rounding error that cosines of one pair may differ by.
+ROUNDING = 1e-12
+#: The id in a place that no neighbour holds.
+NOBODY = np.iinfo("int64").max
 
 TREE = "dim int, shard long, rows binary, ids binary, vectors binary, bounds binary"
 PACKED = "dim int, block long, rows binary, ids binary, vectors binary"
@@ -35,12 +39,25 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 
 def cosines(a: np.ndarray, a_norm: np.ndarray, b: np.ndarray, b_norm: np.ndarray) -> np.ndarray:
-    """All pairs' cosines; a pair's value does not depend on the others."""
-    return (a[:, None, :] * b[None, :, :]).sum(axis=2) / (a_norm[:, None] * b_norm[None, :])
+    """All pairs' cosines, up to rounding that depends on the others."""
+    return (a @ b.T) / (a_norm[:, None] * b_norm[None, :])
+
+
+def exact_cosines(a: np.ndarray, a_norm: np.ndarray, b: np.ndarray, b_norm: np.ndarray) -> np.ndarray:
+    """The cosines of ``a[i]`` and ``b[i]``; a pair's value does not depend on the others."""
+    return _dots(a, b) / (a_norm * b_norm)
+
+
+def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row by row products, added up component by component in order."""
+    out = np.zeros(len(a))
+    for i in range(a.shape[1]):
+        out += a[:, i] * b[:, i]
+    return out
 
 
 def _norms(m: np.ndarray) -> np.ndarray:
-    return np.sqrt((m * m).sum(axis=1))
+    return np.sqrt(_dots(m, m))
 
 
 def _chord(cos: np.ndarray) -> np.ndarray:
@@ -83,21 +100,32 @@ class Search:
         self.t, self.q, self.k, self.factor = tree, queries, k, factor
         n = len(queries["rows"])
         self.cos = np.full((n, k), -np.inf)
-        self.ids = np.full((n, k), np.iinfo("int64").max)
+        self.ids = np.full((n, k), NOBODY)
         self.t_norm, self.q_norm = _norms(tree["vectors"]), _norms(queries["vectors"])
 
     def offer(self, active: np.ndarray, start: int, end: int) -> np.ndarray:
-        """Hold what is nearer among the vectors ``start`` to ``end``; their cosines."""
-        cos = cosines(self.q["vectors"][active], self.q_norm[active], self.t["vectors"][start:end], self.t_norm[start:end])
+        """Hold what is nearer among the vectors ``start`` to ``end``; all their cosines, roughly.
+
+        Pairs that may be among the nearest are computed again on their own,
+        so equal vectors have equal cosines wherever they are met.
+        """
+        q, q_norm, v, v_norm = self.q["vectors"][active], self.q_norm[active], self.t["vectors"][start:end], self.t_norm[start:end]
+        rough = cosines(q, q_norm, v, v_norm)
         own = self.q["rows"][active][:, None] == self.t["rows"][None, start:end]
-        ids = np.broadcast_to(self.t["ids"][start:end], cos.shape)
-        all_cos = np.concatenate([self.cos[active], np.where(own, -np.inf, cos)], axis=1)
-        all_ids = np.concatenate([self.ids[active], np.where(own, np.iinfo("int64").max, ids)], axis=1)
-        by_id = np.argsort(all_ids, axis=1, kind="stable")
-        all_cos, all_ids = np.take_along_axis(all_cos, by_id, 1), np.take_along_axis(all_ids, by_id, 1)
-        best = np.argsort(-all_cos, axis=1, kind="stable")[:, : self.k]
-        self.cos[active], self.ids[active] = np.take_along_axis(all_cos, best, 1), np.take_along_axis(all_ids, best, 1)
-        return cos
+        may = (rough >= self.cos[active, -1:] - ROUNDING) & ~own
+        rows = np.flatnonzero(may.any(axis=1))
+        if len(rows):
+            i, j = np.nonzero(may[rows])
+            cos = np.full((len(rows), end - start), -np.inf)
+            cos[i, j] = exact_cosines(q[rows[i]], q_norm[rows[i]], v[j], v_norm[j])
+            ids = np.where(cos > -np.inf, self.t["ids"][None, start:end], NOBODY)
+            held = active[rows]
+            cos, ids = np.concatenate([self.cos[held], cos], axis=1), np.concatenate([self.ids[held], ids], axis=1)
+            by_id = np.argsort(ids, axis=1, kind="stable")
+            cos, ids = np.take_along_axis(cos, by_id, 1), np.take_along_axis(ids, by_id, 1)
+            best = np.argsort(-cos, axis=1, kind="stable")[:, : self.k]
+            self.cos[held], self.ids[held] = np.take_along_axis(cos, best, 1), np.take_along_axis(ids, best, 1)
+        return rough
 
     def near(self, active: np.ndarray, bound: np.ndarray) -> np.ndarray:
         worst = self.cos[active, -1]
