@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pitwise.llm.common import staged
 
 #: 64 permutations give 128 values in 32 bands of 4: a pair of similarity 0.8
-#: is missed by all bands with a chance of (1 - 0.8 ** 4) ** 32 = 4e-13.
+#: shares no band with a chance of (1 - 0.8 ** 4) ** 32 = 5e-8.
 PERMUTATIONS, BAND = 64, 4
 
 #: Texts are shingled about so many bytes at a time.
@@ -93,7 +93,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 def band_keys(signed: np.ndarray) -> np.ndarray:
     """A 64-bit key per band, with the band's number in it."""
-    bands = signed.reshape(len(signed), -1, BAND)
+    bands = signed.reshape(len(signed), 2 * PERMUTATIONS // BAND, BAND)
     keys = np.broadcast_to(np.arange(bands.shape[1], dtype=np.uint64), bands.shape[:2])
     for i in range(BAND):
         keys = _mix(keys * _ODD + bands[:, :, i])
@@ -155,22 +155,25 @@ def _similar(n_both: Column, n_a: Column, n_b: Column, percent: int) -> Column:
     return 100 * n_both >= percent * (n_a + n_b - n_both)
 
 
-def _links(pairs: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets are as similar as asked."""
-    for side in "ab":
-        pairs = pairs.join(sizes.select(F.col("cls").alias(side), F.col("n").alias(f"n_{side}")), side)
-    smaller, larger = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    pairs = pairs.where(100 * smaller >= percent * larger)
+def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` (with sizes ``n_a, n_b``) whose sets are as similar as asked."""
     for side in "ab":
         pairs = pairs.join(sets.select(F.col("cls").alias(side), F.col("shingles").alias(f"s_{side}")), side)
     both = pairs.withColumn("n_both", _common("s_a", "s_b"))
     return both.where(_similar(F.col("n_both"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
-def _pairs_with(members: DataFrame, hubs: list[str]) -> DataFrame:
-    """Distinct pairs ``a < b`` of a member and each of its bucket's hubs."""
-    pairs = [members.where(F.col("cls") != F.col(h)).select(F.least("cls", h).alias("a"), F.greatest("cls", h).alias("b")) for h in hubs]
-    return reduce(DataFrame.union, pairs).distinct()
+def _pairs_with(members: DataFrame, hubs: list[str], sizes: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs ``a < b`` of a member and each of its bucket's hubs, with sizes.
+
+    Sets whose sizes alone rule a link out are left out.
+    """
+    pairs = [members.where(F.col("cls") != F.col(h)).select("cls", "n", F.col(h).alias("hub")) for h in hubs]
+    pairs = reduce(DataFrame.union, pairs).distinct().join(sizes.select(F.col("cls").alias("hub"), F.col("n").alias("n_hub")), "hub")
+    pairs = pairs.where(100 * F.least("n", "n_hub") >= percent * F.greatest("n", "n_hub"))
+    first = F.col("cls") < F.col("hub")
+    sized = [F.when(first, F.col(x)).otherwise(F.col(y)) for x, y in (("n", "n_hub"), ("n_hub", "n"))]
+    return pairs.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b"), sized[0].alias("n_a"), sized[1].alias("n_b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -192,10 +195,8 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.select("v", "label")
 
 
-def _relabelled(members: DataFrame, labels: DataFrame | None, links: DataFrame) -> DataFrame:
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``v, label`` after ``links``, given those before, for classes with links."""
-    if labels is None:
-        return components(links)
     old = labels.select(F.col("v").alias("x"), F.col("label").alias("y"))
     for side in "ab":
         links = links.join(old, F.col(side) == F.col("x"), "left").withColumn(side, F.coalesce("y", side)).drop("x", "y")
@@ -208,15 +209,15 @@ def _relabelled(members: DataFrame, labels: DataFrame | None, links: DataFrame)
 def _undecided(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets that hold several components and untested pairs.
 
-    In a bucket of up to three classes every pair has a hub in it.
+    In a bucket of two classes the one pair has the hub in it.
     """
-    known = members.join(labels, F.col("cls") == F.col("v"), "left").withColumn("label", F.coalesce("label", "cls")).select("bucket", "cls", "label")
+    known = members.join(labels, F.col("cls") == F.col("v"), "left").withColumn("label", F.coalesce("label", "cls")).select("bucket", "cls", "n", "label")
     mixed = known.groupBy("bucket").agg(F.count("*").alias("size"), F.min("label").alias("l0"), F.max("label").alias("l1"))
-    mixed = mixed.where("size > 3 and l0 != l1").select("bucket")
+    mixed = mixed.where("size > 2 and l0 != l1").select("bucket")
     return staged(known.join(mixed, "bucket"), "undecided")
 
 
-def _rare_pairs(left: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _rare_pairs(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of different labels that share a rare shingle, as similar sets must.
 
     With shingles ordered by how many of these sets hold them, sets of ``n``
@@ -224,10 +225,10 @@ def _rare_pairs(left: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int
     places of the first shared one bound the intersection. Only members
     outside their bucket's largest component look for partners.
     """
-    parts = left.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    largest = parts.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
+    parts = left.groupBy("bucket", "label").agg(F.count("*").alias("size"))
+    largest = parts.groupBy("bucket").agg(F.max_by("label", F.struct("size", "label")).alias("main"))
     seeking = left.join(largest, "bucket").where("label != main").select("cls").distinct().withColumn("seeks", F.lit(True))
-    own = left.select("cls", "label").distinct().join(sizes.select("cls", "n"), "cls").join(seeking, "cls", "left")
+    own = left.select("cls", "n", "label").distinct().join(seeking, "cls", "left")
     tokens = staged(own.join(sets, "cls").select("cls", "label", "n", "seeks", F.explode("shingles").alias("s")), "tokens")
     rarity = tokens.groupBy("s").agg(F.count("*").alias("df"))
     place = F.row_number().over(W.partitionBy("cls").orderBy("df", "s"))
@@ -238,7 +239,9 @@ def _rare_pairs(left: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int
     most = 1 + F.least(F.col("nx") - F.col("ix"), F.col("ny") - F.col("iy"))
     possible = (F.col("lx") != F.col("ly")) & _similar(most, F.col("nx"), F.col("ny"), percent)
     found = x.join(y, (x["s"] == y["s"]) & possible)
-    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    first = F.col("x") < F.col("y")
+    sized = [F.when(first, F.col(x)).otherwise(F.col(y)) for x, y in (("nx", "ny"), ("ny", "nx"))]
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), sized[0].alias("n_a"), sized[1].alias("n_b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -265,30 +268,30 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     classes = signed.where("cls is not null")
     one = classes.groupBy("cls").agg(F.min("key").alias("key"), F.min("doc_id").alias("rep"), F.first("n").alias("n"))
     sizes = staged(one, "classes")
-    firsts = classes.join(sizes.select("cls", "key"), ["cls", "key"], "left_semi").select("cls", "bands")
-    exploded = firsts.select(F.explode("bands").alias("bucket"), "cls")
+    firsts = classes.join(sizes.select("cls", "key"), ["cls", "key"], "left_semi").select("cls", "n", "bands")
+    exploded = firsts.select(F.explode("bands").alias("bucket"), "cls", "n")
     shared = exploded.groupBy("bucket").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi")
-    members = staged(exploded.join(shared, "bucket").distinct(), "members")
+    members = staged(exploded.join(shared.select("bucket", "lo"), "bucket").distinct(), "members")
 
     wanted = members.select("cls").distinct().join(sizes.select("cls", "key"), "cls")
     texts = rows.select("key", "text").join(wanted, "key")
     sets = staged(texts.mapInPandas(_sets(k), "cls long, shingles array<long>").dropDuplicates(["cls"]), "sets")
 
-    links = staged(_links(_pairs_with(members, ["lo", "hi"]), sizes, sets, percent), "links")
+    links = staged(_links(_pairs_with(members, ["lo"], sizes, percent), sets, percent), "links")
     labels = components(links)
     left = _undecided(members, labels)
     if not left.isEmpty():
-        # Four more hubs per bucket: the smallest after flipping some bits.
-        seeds = [int(x) for x in _random_flips(4)]
+        # Two more hubs per bucket: the smallest after flipping some bits.
+        seeds = [int(x) for x in _random_flips(2)]
         flipped = [F.min(F.col("cls").bitwiseXOR(F.lit(s))).bitwiseXOR(F.lit(s)).alias(f"h{i}") for i, s in enumerate(seeds)]
         hubs = left.groupBy("bucket").agg(*flipped)
-        pairs = _pairs_with(left.join(hubs, "bucket"), [f"h{i}" for i in range(len(seeds))])
-        links = staged(_links(_apart(pairs, labels), sizes, sets, percent), "links")
-        labels = _relabelled(members, labels, links)
+        pairs = _pairs_with(left.join(hubs, "bucket"), [f"h{i}" for i in range(len(seeds))], sizes, percent)
+        links = staged(_links(_apart(pairs, labels), sets, percent), "links")
+        labels = _relabelled(labels, links)
         left = _undecided(members, labels)
         if not left.isEmpty():
-            links = staged(_links(_rare_pairs(left, sizes, sets, percent), sizes, sets, percent), "links")
-            labels = _relabelled(members, labels, links)
+            links = staged(_links(_rare_pairs(left, sets, percent), sets, percent), "links")
+            labels = _relabelled(labels, links)
 
     grouped = sizes.join(labels, F.col("cls") == F.col("v"), "left").withColumn("label", F.coalesce("label", "cls"))
     smallest = grouped.groupBy("label").agg(F.min("rep").alias("component_id"))
@@ -325,7 +328,7 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     for side in "ab":
         own = labels.select(F.col("v").alias(side), F.col("label").alias(f"l_{side}"))
         pairs = pairs.join(own, side, "left").withColumn(f"l_{side}", F.coalesce(f"l_{side}", side))
-    return pairs.where("l_a != l_b").select("a", "b")
+    return pairs.where("l_a != l_b").drop("l_a", "l_b")
 
 
 def digest(found: DataFrame) -> DataFrame:
