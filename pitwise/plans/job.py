@@ -16,6 +16,7 @@ invented here.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 from functools import cached_property
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from pitwise import operators as op
 from pitwise.functions import codes
 from pitwise.functions.time import instant_literal
+from pitwise.plans.session import ensure_checkpoint_dir
 from pitwise.sources.inputs import Inputs
 
 
@@ -101,9 +103,7 @@ class FeatureJob:
         if not self.materialize:
             return df
         spark = df.sparkSession
-        root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-        if not root:
-            raise RuntimeError("materialize=True needs spark.checkpoint.dir (a shared directory)")
+        root = ensure_checkpoint_dir(spark)
         path = f"{root.rstrip('/')}/pitwise/{self.run_id}/{name}"
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
@@ -111,6 +111,26 @@ class FeatureJob:
     def _before(self, name: str, column: str) -> DataFrame:
         return self.inputs.before(name, column, self.censor)
 
+    def _write_shared(self) -> None:
+        """Write the stages that several features read, those of one depth at a time.
+
+        They do not depend on each other, so their Spark jobs run side by
+        side and fill the cluster together.
+        """
+        if not self.materialize:
+            return
+        shared = (
+            "device_events_raw",
+            "payments",
+            "loan_outcomes",
+            "latest_report",
+            "latest_report_normalised",
+            "latest_documents",
+        )
+        for names in (("cohort",), ("accounts",), shared):
+            with ThreadPoolExecutor(len(names)) as pool:
+                list(pool.map(lambda name: getattr(self, name), names))
+
     # -- D1-D4 ----------------------------------------------------------------
 
     @cached_property
@@ -276,6 +296,7 @@ class FeatureJob:
 
     @cached_property
     def assembled(self) -> DataFrame:
+        self._write_shared()
         return self._stage(
             "assembled",
             op.feature_assembly(
