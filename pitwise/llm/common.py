@@ -64,12 +64,6 @@ def ship(spark: SparkSession) -> None:
         context.addPyFile(shutil.make_archive(target, "zip", root, "pitwise"))
 
 
-def word_array(text: Column) -> Column:
-    """The words of a text in order; none for null or white space only."""
-    parts = F.split(text, SPACES)
-    return F.coalesce(F.filter(parts, lambda w: w != ""), F.array().cast("array<string>"))
-
-
 def word_count(text: Column) -> Column:
     """The number of words of a text; 0 for null."""
     n = F.size(F.split(text, SPACES))

@@ -229,7 +229,15 @@ def score_documents(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_
     base = F.log10((F.col("train") + 0.5) / F.lit(floor))
     scored = staged(scored.select("word", "n", (F.col("train") > 0).cast("long").alias("known"), base.alias("base"), "log10"), "word-scores")
 
-    top = scored.orderBy(F.desc("n"), "word").limit(COMMON)
+    # The commonest words, by levels of eight to a doubling of the count: as
+    # many whole levels as COMMON words fill, so no task sends more.
+    level = F.floor(F.log2(F.col("n")) * 8)
+    room, lowest = COMMON, math.inf
+    for r in scored.groupBy(level.alias("level")).agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():
+        if r["words"] > room:
+            break
+        room, lowest = room - r["words"], r["level"]
+    top = scored.where(level >= lowest) if lowest < math.inf else scored.limit(0)
     end = (int(ends > 0), math.log10((ends + 0.5) / floor), lattice.end / LN10)
     common = spark.sparkContext.broadcast(
         ({r["word"].encode(): (r["known"], r["base"], r["log10"]) for r in top.collect()}, end)

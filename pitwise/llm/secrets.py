@@ -12,7 +12,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitwise.llm.common import staged
@@ -135,7 +136,24 @@ def find_secrets(
     return found.withColumn("secrets", F.coalesce("__secrets", empty)).drop("__blob", "__secrets"), new
 
 
-def redacted(text, spans):
+def find_with_ledger(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES, *, text_col: str = "text") -> DataFrame:
+    """``find_secrets`` against the ledger at ``path``, to which new rows are added.
+
+    The first run begins the ledger; later ones scan only what is new.
+    """
+    spark = docs.sparkSession
+    try:
+        ledger = spark.read.schema(FINDINGS).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        ledger = None
+    found, new = find_secrets(docs, ledger, rules, text_col=text_col)
+    new.write.mode("append").parquet(path)
+    return found
+
+
+def redacted(text: Column, spans: Column) -> Column:
     """``text`` with each of ``spans`` (sorted by start) replaced by ``[KIND]``.
 
     Overlapping spans are replaced once, as far as the furthest end reaches.

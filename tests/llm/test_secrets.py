@@ -71,6 +71,15 @@ def test_only_unseen_pairs_are_scanned_and_findings_reach_all_paths(spark):
     assert got == {1: (1, 0), 4: (0, 1), 5: (0, 0)}
 
 
+def test_a_ledger_on_disk_grows_by_what_is_new(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    first, second = docs_frame(spark, [(1, "token=abcdefgh")]), docs_frame(spark, [(2, "token=abcdefgh"), (3, "x")])
+    for df, blobs in ((first, 1), (second, 2), (second, 2)):
+        found = secrets.find_with_ledger(df, path)
+        assert [len(r.secrets) for r in found.orderBy("doc_id").collect()] == [1, 0][: df.count()]
+        assert spark.read.parquet(path).count() == blobs * len(secrets.RULES)
+
+
 def test_a_new_rule_version_is_scanned_again_and_replaces_the_old(spark):
     docs = docs_frame(spark, [(1, "password=abcdefgh"), (2, "password=abcd")])
     _, ledger = secrets.find_secrets(docs, rules=secrets.BASE)
