@@ -29,7 +29,7 @@ def test_query_matches_oracle(spark, con, name):
     r = compare(spark, name, SF, con)
     assert r["cols_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
-    assert r["match"], r
+    assert r["exact"], r
 
 
 def test_entry_smoke(spark):
