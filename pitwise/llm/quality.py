@@ -65,17 +65,20 @@ def _repeat_words(words: Column, hashes: Column) -> Column:
     """Words within windows of three words that the text holds twice or more.
 
     ``hashes`` has a hash per window. Without two equal hashes there is no
-    repeated window; else the windows themselves are compared, by sorting.
+    repeated window; else the windows are sorted by hash, and neighbours of
+    one hash are compared word by word.
     """
     n = F.size(words)
-    pairs = F.array_sort(F.transform(hashes, lambda h, i: F.struct(F.concat_ws(" ", F.slice(words, i + 1, 3)).alias("w"), i.alias("i"))))
+    pairs = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
     def starts(pairs: Column) -> Column:
-        def twice(p, k):
-            before = F.coalesce(F.get(pairs, k - 1)["w"] == p["w"], F.lit(False))
-            return before | F.coalesce(F.get(pairs, k + 1)["w"] == p["w"], F.lit(False))
+        def same(p, q):
+            equal = F.slice(words, p["i"] + 1, 3) == F.slice(words, q["i"] + 1, 3)
+            return F.when(p["h"] == q["h"], equal).otherwise(False)
 
-        return F.transform(F.filter(pairs, twice), lambda p: p["i"])
+        return F.transform(
+            F.filter(pairs, lambda p, k: same(p, F.get(pairs, k - 1)) | same(p, F.get(pairs, k + 1))), lambda p: p["i"]
+        )
 
     def covered(pairs: Column) -> Column:
         return F.size(F.array_distinct(F.flatten(F.transform(starts(pairs), lambda i: F.array(i, i + 1, i + 2)))))
@@ -99,21 +102,24 @@ def text_stats(docs: DataFrame, *, text_col: str = "text", keep: list[Column]) -
         F.filter(F.split(text, SPACES), lambda w: w != "").alias("words"),
         F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
     )
-    words, t = F.col("words"), F.col("text")
+    words = F.col("words")
+    # What the character counts look at, taken out of the text in one pass.
+    rows = rows.withColumn("marks", F.regexp_replace("text", r"[^#*$%&|<>!0-9\p{Lu}]++", ""))
+    marks = F.col("marks")
     first = F.when(F.size(words) > 2, F.slice(words, F.lit(1), F.greatest(F.size(words) - 2, F.lit(0)))).otherwise(F.array().cast("array<string>"))
     hashes = F.transform(first, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
     rows = rows.withColumn("hashes", hashes)
     counts = {
         "n_words": F.size(words),
-        "word_chars": _left(t, r"[\x20\x09-\x0D]++"),
-        "n_symbols": _left(t, r"[^#*$%&|<>]++"),
+        "word_chars": F.length(F.array_join(words, "")),
+        "n_symbols": _left(marks, r"[^#*$%&|<>]++"),
         "n_lines": F.size("lines"),
         "n_dup_lines": F.size("lines") - F.size(F.array_distinct("lines")),
         "n_repeat_words": _repeat_words(words, F.col("hashes")),
         "n_distinct_words": F.size(F.array_distinct(words)),
-        "n_upper": _left(t, r"[^\p{Lu}]++"),
-        "n_digits": _left(t, r"[^0-9]++"),
-        "n_exclaims": _left(t, r"[^!]++"),
+        "n_upper": _left(marks, r"[^\p{Lu}]++"),
+        "n_digits": _left(marks, r"[^0-9]++"),
+        "n_exclaims": _left(marks, r"[^!]++"),
     }
     # A generated row, so that a filter on a count does not count again.
     return rows.select("keep", F.inline(F.array(F.struct(*[c.cast("long").alias(k) for k, c in counts.items()]))))
