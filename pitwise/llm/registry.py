@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitwise.llm import lattice_lm, mixing, near_dedup, packing, quality, secrets, sql, template, token_counts, vantage
+from pitwise.llm import lattice_lm, mixing, near_dedup, packing, preference, quality, secrets, sql, template, token_counts, vantage
 from pitwise.llm.common import ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,11 @@ def op9_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
 
 
+def op10_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference.swapped_replies(table(spark, sf_dir, "conversations"))
+    return preference.digest(preference.format_pairs(pairs))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -73,10 +78,16 @@ def queries() -> dict[str, Query]:
         op7_splitting_tree_mix,
         op8_template_deduction,
         op9_heap_token_counts,
+        op10_preference_formatting,
     ]
     return {q.__name__: _shipped(q) for q in own}
 
 
 def oracle_sql() -> dict[str, str]:
     """Of the others, the tests hold the results against brute force."""
-    return {"op2_secret_ledger": sql.SECRETS, "op3_min_max_hash": sql.NEAR_DUPLICATES, "op4_vantage_trees": sql.NEAREST}
+    return {
+        "op2_secret_ledger": sql.SECRETS,
+        "op3_min_max_hash": sql.NEAR_DUPLICATES,
+        "op4_vantage_trees": sql.NEAREST,
+        "op10_preference_formatting": sql.PREFERENCES,
+    }

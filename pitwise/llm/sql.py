@@ -81,3 +81,46 @@ WITH usable AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
 """
+
+#: Operator 10. A side's turns after the common prefix are rendered with
+#: running lengths, by joins and windows over single turns.
+PREFERENCES = """
+WITH turns AS (
+  SELECT conv_id AS id, role, text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i
+  FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations) WHERE conv_id IS NOT NULL
+), ends AS (
+  SELECT id, coalesce(max(i) FILTER (role = 'assistant'), 0) AS last FROM turns GROUP BY id
+), chosen AS (
+  SELECT t.* FROM turns t JOIN ends e USING (id) WHERE last = 0 OR i <= last
+), rejected AS (
+  SELECT t.* FROM turns t JOIN ends e USING (id) WHERE last = 0 OR i < last
+  UNION ALL
+  SELECT e.id, o.role, o.text, e.last FROM ends e JOIN ends f ON f.id = xor(e.id, 1) JOIN turns o ON o.id = f.id AND o.i = f.last
+  WHERE e.last > 0
+), apart AS (
+  SELECT coalesce(c.id, r.id) AS id, min(coalesce(c.i, r.i)) AS parted FROM chosen c FULL JOIN rejected r ON c.id = r.id AND c.i = r.i
+  WHERE c.id IS NULL OR r.id IS NULL OR c.role IS DISTINCT FROM r.role OR c.text IS DISTINCT FROM r.text GROUP BY 1
+), sides AS (
+  SELECT e.id, s.side, s.i, s.role, coalesce(a.parted, 2147483647) AS parted,
+    concat('<|im_start|>', coalesce(s.role, 'unknown'), chr(10)) AS head,
+    concat(replace(coalesce(s.text, ''), '<|', '< |'), '<|im_end|>') AS body
+  FROM ends e
+  JOIN (SELECT *, 'c' AS side FROM chosen UNION ALL SELECT *, 'r' AS side FROM rejected) s ON s.id = e.id
+  LEFT JOIN apart a ON a.id = e.id
+), placed AS (
+  SELECT *, length(head) + coalesce(sum(length(head) + length(body) + 1) OVER (
+    PARTITION BY id, side, i >= parted ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
+  FROM sides
+), joined AS (
+  SELECT id, side, count(*) FILTER (i < parted) AS n,
+    string_agg(concat(head, body, chr(10)), '' ORDER BY i) FILTER (i < parted) AS prompt,
+    string_agg(concat(head, body, chr(10)), '' ORDER BY i) FILTER (i >= parted) AS rest,
+    string_agg(concat(CAST(begins AS BIGINT), ':', CAST(begins + length(body) AS BIGINT)), ',' ORDER BY i)
+      FILTER (i >= parted AND role = 'assistant') AS spans
+  FROM placed GROUP BY id, side
+)
+SELECT e.id AS pair_id, coalesce(c.n, 0) AS prefix_turns, coalesce(c.prompt, '') AS prompt, coalesce(c.rest, '') AS chosen,
+  coalesce(r.rest, '') AS rejected, coalesce(c.spans, '') AS chosen_spans, coalesce(r.spans, '') AS rejected_spans
+FROM ends e LEFT JOIN joined c ON c.id = e.id AND c.side = 'c' LEFT JOIN joined r ON r.id = e.id AND r.side = 'r'
+"""
