@@ -138,7 +138,7 @@ def mix(
     whole ``times`` times, 0 to ``most``, so ``taken`` is ``times * size``;
     ``shards`` has an entry ``shard, place`` for each time, ``place`` being its
     order within the shard. A source's taken words differ from its target by
-    less than the smallest document that the last block has left over.
+    at most half the smallest document that the last block has left over.
 
     Documents without words are never taken. Rows of equal id, source and
     size are told apart by ``copy``, from 1. Null sources are one source,
@@ -182,7 +182,13 @@ def mix(
         more = F.struct((acc["room"] - d["size"]).alias("room"), F.concat(acc["taken"], F.array(d)).alias("taken"))
         return F.when(d["size"] <= acc["room"], more).otherwise(acc)
 
-    chosen = inside.select(F.col("source").alias("s"), F.col("block").alias("b"), F.aggregate("docs", start, fit, lambda a: a["taken"]).alias("chosen"))
+    def nearest_end(acc):
+        """One more, the smallest left, if going beyond the target is nearer to it."""
+        left = F.filter("docs", lambda d: ~F.array_contains(acc["taken"], d))
+        smallest = F.array_min(F.transform(left, lambda d: F.struct(d["size"].alias("size"), d.alias("d"))))
+        return F.when(smallest["size"] < 2 * acc["room"], F.concat(acc["taken"], F.array(smallest["d"]))).otherwise(acc["taken"])
+
+    chosen = inside.select(F.col("source").alias("s"), F.col("block").alias("b"), F.aggregate("docs", start, fit, nearest_end).alias("chosen"))
     blocks = blocks.join(chosen, same_block, "left").drop("s", "b")
 
     # A source's drawn blocks are numbered: all of them once per whole pass,
