@@ -28,9 +28,9 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by their kind in brackets; every document stays."""
+    """Secrets, private keys to their last line, are replaced by their kind in brackets; every document stays."""
     ship(spark)
-    found, _ = secrets.find_secrets(docs)
+    found, _ = secrets.find_secrets(docs, rules=secrets.WHOLE)
     clean = found.withColumn("text", secrets.redacted(F.col("text"), F.col("secrets")))
     changed = F.when(F.size("secrets") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return clean.withColumn("n_chars", changed).select(*docs.columns)

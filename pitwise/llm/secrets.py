@@ -47,8 +47,26 @@ ADDED = (
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
     Rule("prefixed", 1, r"(?:ghp|gho|ghs|ghu|ghr|glpat|xoxb|xoxp|sk_live)[_-][A-Za-z0-9_-]+", 20),
 )
+#: The rules of the query, whose SQL holds the same patterns.
 RULES = BASE + ADDED
 
+_KEY_END = r"-----END\x20[A-Z ]*PRIVATE KEY-----"
+#: Between the lines of a key: white space, escaped line ends and marks of quoting.
+_KEY_GAP = r"""\s|\\[nrt]|["'`,>#|*\\]|<br\s*/?>"""
+_KEY_HEADER = r"Proc-Type:\s*\d,[A-Z]+|DEK-Info:\s*[A-Z0-9-]+,[0-9A-Fa-f]+"
+#: A private key from its first line to its last. Without an end it reaches to
+#: the last base64 line: 16 characters or more, and a short one that ends them.
+PRIVATE_KEY = Rule(
+    "pem",
+    2,
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+    rf"(?:(?:{_KEY_GAP}|{_KEY_HEADER}|[A-Za-z0-9+/=]++)*+{_KEY_END}"
+    rf"|(?:(?:(?:{_KEY_GAP}|\+\s)*+(?:{_KEY_HEADER}|[A-Za-z0-9+/]{{16,}}+={{0,2}}))++"
+    rf"(?:(?:{_KEY_GAP})++(?:(?:[A-Za-z0-9+/]{{4}})*+(?:[A-Za-z0-9+/]{{2}}==|[A-Za-z0-9+/]{{3}}=)|(?:[A-Za-z0-9+/]{{4}})++(?![^\r\n\\])|[A-Za-z0-9+/]++=*\Z))?)?)",
+)
+#: The rules for text that is to be clean of secrets: with whole private keys.
+WHOLE = tuple(PRIVATE_KEY if r.kind == "pem" else r for r in RULES)
+
 FINDINGS = "blob string, kind string, version int, spans array<struct<start:int,end:int>>"
 
 

@@ -49,6 +49,24 @@ def test_secret_stage_redacts_and_keeps_all(results):
             assert r.text == before[i].text
 
 
+def test_secret_stage_redacts_whole_private_keys(spark):
+    line = "MIIEpAIBAAKCAQEA7x+/" + "Ab3/" * 11
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    key = f"{head}\n{line}\n{line}\nQUJDRA==\n"
+    texts = [
+        f"a\n{key}{end}\nThe rest",
+        f"a\n{key}The rest, with no end",
+        f"a\n{key}{end}\n".replace("\n", "\\n") + '"',
+        f"a\n{key}{end}\nThe rest".replace("\n", " "),
+        f"{head}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0AF3\n\n{line}\n{end}\nz",
+        f"the line {head} begins a key",
+    ]
+    want = ["a\n[PEM]\nThe rest", "a\n[PEM]\nThe rest, with no end", 'a\\n[PEM]\\n"', "a [PEM] The rest", "[PEM]\nz", "the line [PEM] begins a key"]
+    out = {r.doc_id: r for r in corpus_pipeline.secret_scan(spark, docs_frame(spark, list(enumerate(texts))), SF).collect()}
+    assert [out[i].text for i in range(len(texts))] == want
+    assert all(r.n_chars == len(r.text) for r in out.values())
+
+
 def test_mixing_stage(results):
     sizes, largest, taken, copies = {}, {}, {}, {}
     for r in results[3].collect():
