@@ -1,4 +1,4 @@
-"""Training-data operators: ten independent operators and their queries.
+"""Training-data operators: independent operators and their queries.
 
 Nothing else in the library imports this subpackage. ``registry`` holds the
 queries over the test tables; each operator module has its own general

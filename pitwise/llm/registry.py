@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitwise.llm import lattice_lm, mixing, near_dedup, packing, preference, quality, secrets, sql, template, token_counts, vantage
+from pitwise.llm import (
+    four_russians,
+    lattice_lm,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    preference,
+    quality,
+    secrets,
+    spelling,
+    sql,
+    template,
+    token_counts,
+    vantage,
+)
 from pitwise.llm.common import ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +74,18 @@ def op10_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.digest(preference.format_pairs(pairs))
 
 
+def op11_pivotal_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), rate=97)
+
+
+def op12_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return four_russians.hard_negatives(four_russians.shifted_labels(table(spark, sf_dir, "embeddings")))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -79,6 +106,9 @@ def queries() -> dict[str, Query]:
         op8_template_deduction,
         op9_heap_token_counts,
         op10_preference_formatting,
+        op11_pivotal_grams,
+        op12_four_russians,
+        op13_line_dedup,
     ]
     return {q.__name__: _shipped(q) for q in own}
 
@@ -90,4 +120,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_min_max_hash": sql.NEAR_DUPLICATES,
         "op4_vantage_trees": sql.NEAREST,
         "op10_preference_formatting": sql.PREFERENCES,
+        "op11_pivotal_grams": sql.SPELLING,
+        "op12_four_russians": sql.HARD_NEGATIVES,
+        "op13_line_dedup": sql.LINES,
     }

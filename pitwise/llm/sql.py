@@ -124,3 +124,91 @@ SELECT e.id AS pair_id, coalesce(c.n, 0) AS prefix_turns, coalesce(c.prompt, '')
   coalesce(r.rest, '') AS rejected, coalesce(c.spans, '') AS chosen_spans, coalesce(r.spans, '') AS rejected_spans
 FROM ends e LEFT JOIN joined c ON c.id = e.id AND c.side = 'c' LEFT JOIN joined r ON r.id = e.id AND r.side = 'r'
 """
+
+#: Operator 11. CRC-32 by its table, made from the polynomial; near words by
+#: the strings that are left when one letter is deleted.
+SPELLING = """
+WITH crc AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)
+), runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{C0}-\\x{FF}]+')) AS run FROM documents)
+  GROUP BY 1, 2
+), sums AS (
+  SELECT run, n, xor(list_reduce(
+    list_prepend(4294967295, flatten(list_transform(string_split(concat(doc_id, ':', run), ''),
+      lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, CAST(unicode(c) - 64 AS BIGINT)] END))),
+    lambda h, b: xor(h >> 8, t[(xor(h, b) & 255) + 1])), 4294967295) AS h
+  FROM runs, crc
+), spelt AS (
+  SELECT CASE WHEN h % 97 = 0 THEN concat(left(run, CAST(h % length(run) AS INTEGER)), substr(run, CAST(h % length(run) AS INTEGER) + 2))
+    ELSE run END AS word, n FROM sums
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), less AS (
+  SELECT word, n, i, concat(left(word, i - 1), substr(word, i + 1)) AS rest
+  FROM (SELECT word, n, CAST(unnest(range(1, length(word) + 1)) AS INTEGER) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY word
+), found AS (
+  SELECT w.word, CASE WHEN other_n >= 2 * w.n THEN other END AS form, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN other_n >= 2 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word
+), ways AS (
+  WITH RECURSIVE way AS (
+    SELECT word, word AS reached, 0 AS steps FROM found
+    UNION ALL
+    SELECT way.word, f.form, steps + 1 FROM way JOIN found f ON f.word = way.reached WHERE f.form IS NOT NULL
+  )
+  SELECT word, first(reached ORDER BY steps DESC) AS root FROM way GROUP BY word
+)
+SELECT f.word, form, root, n, n_near, form_n FROM found f JOIN ways w ON w.word = f.word
+"""
+
+#: Operator 12: all scores as sums of products.
+HARD_NEGATIVES = """
+WITH used AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CAST(coalesce(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])), 0) AS BIGINT) AS score
+  FROM used a JOIN used b ON a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.v) = len(b.v)
+), positives AS (
+  SELECT r, anchor_id, vec_id AS positive_id, score AS positive_score, p
+  FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS p FROM scored WHERE same) WHERE p <= 5
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.r, p.p ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s ON s.r = p.r AND NOT s.same AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+WHERE rank <= 10
+"""
+
+#: Operator 13: lines by position, put together again.
+LINES = """
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), lines AS (
+  SELECT r, doc_id, i, parts[i] AS line,
+    translate(trim(parts[i], concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM texts)
+), common AS (
+  SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), kept AS (
+  SELECT r, l.doc_id, i, line, c.key IS NOT NULL AND l.doc_id <> keeper AS lost FROM lines l LEFT JOIN common c ON c.key = l.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
+FROM kept GROUP BY r, doc_id
+"""
