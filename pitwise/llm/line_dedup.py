@@ -81,17 +81,20 @@ def dedup_lines(
     beside the two named are not read.
 
     Hot lines are counted by partial aggregation, first by line and document;
-    a line's documents meet it in an inner join, which adaptive execution may
-    split. Keys are told apart by 128 bits of MD5.
+    its documents meet the one row of the line in an inner join, which adaptive
+    execution may split. Keys are told apart by 128 bits of MD5.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("text_id", F.xxhash64("text"))
     lines = staged(rows.select("id", "text_id", "text").mapInPandas(_explode(min_chars), LINE), "line-keys")
 
-    # In a struct a null id counts as a document, and is the smallest.
-    holder = F.struct("id")
-    common = lines.groupBy("line").agg(F.count_distinct(holder).alias("docs"), F.max(holder).alias("keeper"))
-    common = common.where(F.col("docs") >= least_docs).select("line", F.col("keeper")["id"].alias("keeper"))
+    # The null id is a document, too; a line of nothing else is in one document.
+    counts = lines.groupBy("line").agg(
+        F.count_distinct("id").alias("docs"), F.max(F.col("id").isNull().cast("int")).alias("unnamed"), F.max("id").alias("keeper")
+    )
+    # Written, so that both sides of the join below are shuffled for it alone
+    # and a hot line's documents can be split.
+    common = staged(counts.where(F.col("docs") + F.col("unnamed") >= least_docs).select("line", "keeper"), "line-common")
 
     lost = lines.join(common, "line").where(~F.col("id").eqNullSafe(F.col("keeper")))
     lost = lost.groupBy("id", "text_id").agg(F.collect_set("pos").alias("lost"))
