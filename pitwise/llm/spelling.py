@@ -7,11 +7,13 @@ among them (its pivots, the cheapest pair by dynamic programming) are enough:
 of two near words, take the one whose prefix ends earlier in the order of the
 bigrams; one of its pivots is in the other's prefix.
 
-Where it is follows from where the edit is. If the edit is before the second
-pivot, everything from that pivot on is the same in both words; if not,
-everything up to the end of the first pivot is. So the position limits are
-exact: the first pivot is looked up by the beginning of the word that it ends,
-the second by the end of the word that it begins.
+Where it is follows from where the edit is, so the position limits are exact.
+If the edit is not before the second pivot, everything up to the end of the
+first pivot is the same in both words: the first pivot is looked up by the
+beginning that it ends, with the last bigram of the word. If it is, everything
+from the second pivot on is the same, and the second pivot is looked up by the
+end that it begins, with the first bigram. An edit in the last or first bigram
+itself leaves all but that bigram: these words are looked up by the rest.
 """
 
 from __future__ import annotations
@@ -33,7 +35,10 @@ RUN = re.compile(rb"(?:[a-z]+|(?:\xc3[\x80-\xbf])+)+")
 HELD = 300_000
 BATCH = 65_536
 
-KEYS = "kind string, side string, key string, word string, n long, top int, head string"
+#: What a word is looked up by, in the order in which a pair is taken: a beginning
+#: or an end at a pivot, with the bigram at the other end, or all but an end's bigram.
+HEAD, BEGIN, TAIL, END = range(4)
+KEYS = "probe boolean, key string, way int, word string, n long, top int, letters long, head int, tail int"
 
 
 def runs(text: str) -> list[bytes]:
@@ -120,30 +125,45 @@ def pivots(places: list[int], weights: list[int]) -> tuple[int, int]:
     return pair[1], pair[2]
 
 
+def letter_set(word: str) -> int:
+    """The letters of a word as 64 bits (those 64 code points apart share one); an edit changes two at most."""
+    bits = 0
+    for c in word:
+        bits |= 1 << (ord(c) & 63)
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
 def _keys(rank: dict[str, int], weight: dict[str, int]):
-    """Rows to look up (pivots) and rows to be found (prefixes)."""
+    """Rows to look up (two pivots, two ends) and rows to be found (the bigrams of the prefix, three ends each way)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple] = []
 
         def out() -> pd.DataFrame:
-            pdf = pd.DataFrame(rows, columns=["kind", "side", "key", "word", "n", "top", "head"])
+            pdf = pd.DataFrame(rows, columns=["probe", "key", "way", "word", "n", "top", "letters", "head", "tail"])
             rows.clear()
             return pdf
 
         for pdf in batches:
             for word, n in zip(pdf["word"], pdf["n"], strict=True):
-                grams = [word[i : i + 2] for i in range(len(word) - 1)]
+                size, first, last = len(word), word[:2], word[-2:]
+                grams = [word[i : i + 2] for i in range(size - 1)]
                 ranks = [rank[g] for g in grams]
                 top = sorted(ranks)[2]
                 places = [i for i, r in enumerate(ranks) if r <= top]
-                first, second = pivots(places, [weight[grams[i]] for i in places])
-                head = word[: first + 2]
-                rows.append(("pivot", "head", head, word, n, top, head))
-                rows.append(("pivot", "tail", word[second:], word, n, top, head))
+                one, two = pivots(places, [weight[grams[i]] for i in places])
+                own = (word, n, top, letter_set(word), one + 2, two)
+                # Spaces part what no word holds; the length that is looked up stands with the ends.
+                rows.append((True, f"{HEAD} {word[: one + 2]} {last}", HEAD, *own))
+                rows.append((True, f"{BEGIN} {word[:-2]} {size}", BEGIN, *own))
+                rows.append((True, f"{TAIL} {first} {word[two:]}", TAIL, *own))
+                rows.append((True, f"{END} {size} {word[2:]}", END, *own))
                 for i in places:
-                    rows.append(("prefix", "head", word[: i + 2], word, n, top, None))
-                    rows.append(("prefix", "tail", word[i:], word, n, top, None))
+                    rows.append((False, f"{HEAD} {word[: i + 2]} {last}", HEAD, *own))
+                    rows.append((False, f"{TAIL} {first} {word[i:]}", TAIL, *own))
+                for other in (size - 1, size, size + 1):
+                    rows.append((False, f"{BEGIN} {word[: other - 2]} {other}", BEGIN, *own))
+                    rows.append((False, f"{END} {other} {word[size - other + 2 :]}", END, *own))
                 if len(rows) >= BATCH:
                     yield out()
         yield out()
@@ -156,25 +176,31 @@ def near_words(words: DataFrame) -> DataFrame:
 
     Words are distinct and have five letters or more, so that three bigrams
     are never all. A pair is met from the word whose prefix ends earlier in the
-    order of the bigrams (ties: the smaller word), and by its second pivot only
-    if the beginning up to the first pivot's end differs, so it comes once.
-    The order of the bigrams is by the number of words that hold them; there
-    are as many as pairs of letters (8,100), which go to the driver.
+    order of the bigrams (ties: the smaller word), and taken on the first of
+    the ways on which it is met. The order of the bigrams is by the number of
+    words that hold them; there are as many as pairs of letters (8,100), which
+    go to the driver.
     """
     grams = words.mapInPandas(_gram_counts, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
     weight = {g.gram: g.n for g in grams}
     rank = {g: i for i, g in enumerate(sorted(weight, key=lambda g: (weight[g], g)))}
     keys = staged(words.mapInPandas(_keys(rank, weight), KEYS), "spelling-keys")
-    pivot = keys.where(F.col("kind") == "pivot").select("side", "key", "word", "n", "top", "head")
-    prefix = keys.where(F.col("kind") == "prefix")
-    prefix = prefix.select("side", "key", F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("top").alias("other_top"))
-    later = (F.col("other_top") > F.col("top")) | ((F.col("other_top") == F.col("top")) & (F.col("other") > F.col("word")))
-    close = F.abs(F.length("word") - F.length("other")) <= 1
-    once = (F.col("p.side") == "head") | ~F.startswith(F.col("other"), F.col("head"))
-    same = (F.col("p.side") == F.col("q.side")) & (F.col("p.key") == F.col("q.key"))
-    near = F.levenshtein(F.col("word"), F.col("other"), 1) == 1
-    met = pivot.alias("p").join(prefix.alias("q"), same & later & close & once & near)
-    return met.select("word", "n", "other", "other_n")
+    probe = keys.where("probe").select("key", "way", "word", "n", "top", "letters", "head", "tail")
+    found = keys.where("not probe").select(
+        "key", F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("top").alias("other_top"), F.col("letters").alias("other_letters")
+    )
+    word, other, size = F.col("word"), F.col("other"), F.length("word")
+    later = (F.col("other_top") > F.col("top")) | ((F.col("other_top") == F.col("top")) & (other > word))
+    close = (F.abs(size - F.length("other")) <= 1) & (F.bit_count(F.col("letters").bitwiseXOR(F.col("other_letters"))) <= 2)
+    near = F.levenshtein(word, other, 1) == 1
+    begins = lambda n: F.startswith(other, F.substring(word, F.lit(1), n))
+    ends = lambda start: F.endswith(other, F.substring(word, start + 1, size))
+    by_head = begins(F.col("head")) & ends(size - 2)
+    by_begin = begins(size - 2)
+    by_tail = ends(F.col("tail")) & begins(F.lit(2))
+    way = F.col("way")
+    first = (way == HEAD) | (~by_head & ((way == BEGIN) | (~by_begin & ((way == TAIL) | ~by_tail))))
+    return probe.join(found, (probe["key"] == found["key"]) & later & close & near & first).select("word", "n", "other", "other_n")
 
 
 def _roots(forms: DataFrame, most: int) -> DataFrame:
