@@ -40,7 +40,7 @@ def _cut(path: str, end_id: int, capacity: int, keep_ids: bool):
         for pdf in batches:
             rows = []
             for block, doc_id, text in zip(pdf["block"], pdf["doc_id"], pdf["text"], strict=True):
-                ids = np.array([*enc.encode(text, allowed_special="all"), end_id], dtype=dtype)
+                ids = np.array([*enc.encode(text), end_id], dtype=dtype)
                 n = len(ids)
                 for start in range(0, n, capacity):
                     part = ids[start : start + capacity]
@@ -138,7 +138,9 @@ def pack_documents(
 
     A null or empty text is a document of one token, the end; null ids come
     through as null; repeated rows are packed as so many documents; an empty
-    table gives no row. Columns of ``docs`` beside the two named are not read.
+    table gives no row. A text of any length, of white space or one letter
+    only, too, is encoded and cut in one task. Columns of ``docs`` beside the
+    two named are not read.
     """
     blocks = max(1, -(-docs.count() // block_docs))
     rows = docs.select(

@@ -29,10 +29,31 @@ def test_encoder_and_counter_agree_with_the_library_on_every_character(library):
     texts = [f"x{chr(c)}1 {chr(c)}{chr(c)} y\n!{chr(c)}'" for c in points]
     enc, counter = bpe.encoder(PATH), bpe.heap_counter(PATH)
     for text, got in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
-        assert enc.encode(text, allowed_special="all") == got.ids
+        assert enc.encode(text) == got.ids
         assert counter.count(text) == len(got.ids)
 
 
+def test_long_runs_of_white_space_are_encoded_as_by_the_library(library):
+    enc, counter = bpe.encoder(PATH), bpe.heap_counter(PATH)
+    n = bpe.LONG_SPACE
+    runs = [" " * n, "\n" * (n + 1), " \n\t" * n, "\u3000" * n, "\r\n" * n + " ", " " * (n - 1), "\x1c" * n]
+    texts = [a + r + b for r in runs for a in ("", "x", "1'", "<|endoftext|>") for b in ("", "y z", "'s", "<|endoftext|>a", "9")]
+    texts += [f"a{runs[0]}b{runs[1]}c{runs[2]}", runs[0] + "é" + runs[0]]
+    for text in texts:
+        want = ids_of(library, text)
+        assert enc.encode(text) == want and counter.count(text) == len(want)
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", "\t", " \t", "a"])
+def test_texts_of_two_million_characters(spark, library, unit):
+    text = unit * (2_000_000 // len(unit))
+    ids = {1: [*ids_of(library, text), 1], 2: [*ids_of(library, "x" + text + "y"), 1]}
+    docs = docs_frame(spark, [(1, text), (2, "x" + text + "y")])
+    check_packing(packing.pack_documents(docs, PATH).collect(), ids, 2048)
+    counts = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, PATH).collect()}
+    assert counts == {i: len(own) - 1 for i, own in ids.items()}
+
+
 def test_merging_equals_the_library_on_random_bytes(library):
     rng = random.Random(3)
     counter = bpe.HeapCounter(PATH)
@@ -48,6 +69,7 @@ def test_counts_of_odd_texts_repeated_rows_and_null_ids(spark, library):
     want = sorted((i or -1, len((t or "").encode()), len(ids_of(library, t))) for i, t in rows)
     assert sorted((r.doc_id or -1, r.n_bytes, r.n_tokens) for r in out) == want
     assert all(r.over_limit == (r.n_tokens > 512) for r in out)
+    assert token_counts.count_tokens(docs_frame(spark, []), PATH).count() == 0
 
 
 def test_counts_of_the_table(spark, library):
@@ -95,9 +117,12 @@ def test_packing_of_odd_texts_and_kept_ids(spark, library):
         assert np.frombuffer(p.ids, "<u2").tolist() == ids[p.doc_id][p.start : p.start + p.length]
 
 
-def test_packing_of_repeated_rows_null_ids_and_an_empty_table(spark):
+def test_packing_of_repeated_rows_null_ids_clashing_columns_and_an_empty_table(spark):
+    from pyspark.sql import functions as F
+
     rows = [(7, "same text")] * 40 + [(None, "x y z")]
-    pieces = packing.pack_documents(docs_frame(spark, rows), PATH, capacity=16, block_docs=8).collect()
+    df = docs_frame(spark, rows).withColumns({c: F.lit("x") for c in ("block", "__block", "start", "length", "ids", "sequence_id")})
+    pieces = packing.pack_documents(df, PATH, capacity=16, block_docs=8).collect()
     assert sum(p.length for p in pieces if p.doc_id == 7) == 40 * 3
     assert sum(p.length for p in pieces if p.doc_id is None) > 1
     assert packing.pack_documents(docs_frame(spark, []), PATH).count() == 0
