@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitwise.llm import vantage
+from pitwise.llm.common import staged
 from tests.llm.helpers import SF, by_id
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
@@ -63,6 +64,55 @@ def test_many_shards_ties_and_equal_vectors(spark, monkeypatch):
     check(vantage.nearest(frame(spark, rows)).collect(), brute(rows))
 
 
+def clustered(rng, centres, each, dim=16):
+    middle = rng.normal(size=(centres, dim)) * 3
+    return [(middle[i % centres] + rng.normal(size=dim) * 0.2).tolist() for i in range(centres * each)]
+
+
+def test_whole_shards_are_skipped_on_clustered_vectors(spark, monkeypatch):
+    monkeypatch.setattr(vantage, "SHARD", 64)
+    rng = np.random.default_rng(6)
+    visited = {}
+    for n in (16, 64):
+        rows = list(enumerate(clustered(rng, n, 64)))
+        df = frame(spark, rows)
+        want = brute(rows)
+        check(vantage.nearest(df).collect(), want)
+        shards = vantage.build_index(staged(vantage.usable(df), "test-vectors"))[2][16]
+        assert 1 << shards.levels == n
+        queries = np.array([v for i, v in rows if i % 50 == 0])
+        worst = np.array([want[i][-1][1] for i, _ in rows if i % 50 == 0])
+        visited[n] = (shards.bounds(queries) <= vantage.reach(worst)[:, None]).sum(axis=1).mean()
+    assert visited[64] < 2 * visited[16] and visited[64] < 16, visited
+
+
+def test_shards_bound_what_is_routed_to_them():
+    rng = np.random.default_rng(7)
+    sample = rng.normal(size=(600, 5))
+    shards = vantage.Shards(sample, 4)
+    vectors, queries = rng.normal(size=(500, 5)), rng.normal(size=(40, 5))
+    norm = lambda m: np.sqrt((m * m).sum(axis=1))
+    far = np.sqrt(np.maximum(0, 2 - 2 * (queries @ vectors.T) / (norm(queries)[:, None] * norm(vectors)[None])))
+    at, d = shards.route(vectors), shards.distances(vectors)
+    for s in set(at):
+        shards.least[s], shards.most[s] = d[at == s].min(axis=0), d[at == s].max(axis=0)
+    bounds = shards.bounds(queries)
+    assert set(at) <= set(range(16)) and len(set(at)) > 8
+    assert (bounds[:, at] <= far + vantage.SLACK).all() and (bounds > 0).any()
+    equal = vantage.Shards(np.ones((64, 3)), 2)  # nothing is farther than the median
+    assert set(equal.route(np.ones((5, 3)))) == {0}
+
+
+def test_relaxed_search_keeps_most_neighbours_and_several_dimensions(spark, monkeypatch):
+    monkeypatch.setattr(vantage, "SHARD", 128)
+    rng = np.random.default_rng(8)
+    rows = [(i, v) for i, v in enumerate(clustered(rng, 20, 60, dim=8) + clustered(rng, 5, 60, dim=3) + [[1.0, 2.0]] * 3)]
+    want = brute(rows)
+    got = by_id(vantage.nearest(frame(spark, rows), factor=2.0).collect(), "query_id")
+    hits = sum(len({r.vec_id for r in got[q]} & {j for j, _ in near}) for q, near in want.items())
+    assert hits >= 0.9 * sum(map(len, want.values()))
+
+
 def test_vectors_that_take_no_part(spark):
     rows = [(0, [1, 0]), (1, None), (2, []), (3, [0, 0]), (4, [1, None]), (5, [float("nan"), 1]), (6, [float("inf"), 1]), (7, [3, 4]), (8, [1, 2, 3])]
     df = frame(spark, rows + [(50, [0, 0]), (100, [1, 2, 2])]).withColumn("row", F.lit("x")).withColumn("rank", F.lit(9))
