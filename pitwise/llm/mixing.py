@@ -54,49 +54,146 @@ def targets(totals: DataFrame, *, weights: tuple[float, ...] = (3.0, 1.0, 2.0),
     return rows.select("source", "source_size", "docs", target.alias("target"))
 
 
-def split_tree(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
-    """``shard, source, start, blocks``: each of ``2 ** depth`` shards' run of drawn blocks.
+#: Chance that a double from ``uniform`` cannot tell from none, as a logarithm: 2 ** -54.
+_UNSEEN = 54 * 0.6931471805599453
+#: Runs of sources that a row of the tree holds, about: 2 ** BITS.
+BITS = 6
+
 
-    ``quotas`` has ``source`` and its number of drawn ``blocks``. A node is a
-    row with the runs of all sources. It passes half of its blocks to the
-    left: block by block, one goes left with the chance (places left) /
-    (blocks left), which is a multivariate hypergeometric draw. The levels are
-    projections of one row into two, without a shuffle.
+def hypergeometric(u: Column, total: Column, good: Column, draws: Column) -> Column:
+    """How many of ``draws`` without replacement from ``total`` are among the ``good``.
+
+    ``u`` is uniform in [0, 1). Inverse transform outwards from the mode: the
+    weights of both sides follow from the mode's by their ratios, are summed,
+    and walked again until they reach ``u`` of their sum. A side has so many
+    steps that the rest is less likely than what ``u`` can resolve (Serfling's
+    bound), about four roots of the draws, so a draw from 10 million takes some
+    thousand steps.
     """
-    run = F.struct("source", F.lit(0).cast("long").alias("start"), F.col("blocks").cast("long").alias("blocks"))
-    node = quotas.agg(F.array_sort(F.collect_list(run)).alias("runs")).select(F.lit(0).alias("node"), "runs")
-    kind = "array<struct<source:string,start:bigint,blocks:bigint>>"
-    for level in range(depth):
-        total = F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["blocks"])
-        node = node.withColumn("total", total)
-        first = F.struct(
-            F.col("total").alias("left"), F.floor((F.col("total") + 1) / 2).alias("places"), F.array().cast("array<bigint>").alias("taken")
+    low = F.greatest(F.lit(0).cast("long"), draws + good - total)
+    high = F.least(good, draws)
+    mode = F.floor((draws + 1.0) * (good + 1.0) / (total + 2.0))
+    least = F.least(draws, good, total - draws, total - good)
+    # Any of the four is the sample, by symmetry; a sample of nearly all varies little.
+    spread = least * (1.0 - (least - 1.0) / F.greatest(total, F.lit(1)))
+    reach = F.ceil(F.sqrt(F.greatest(spread, F.lit(0.0)) * (_UNSEEN / 2))) + 1
+    given = F.struct(
+        u.alias("u"),
+        total.cast("double").alias("n"),
+        good.cast("double").alias("k"),
+        draws.cast("double").alias("d"),
+        F.greatest(low, F.least(high, mode)).cast("long").alias("mode"),
+        F.least(reach, high - low).cast("long").alias("reach"),
+    )
+
+    def walk(g: Column) -> Column:
+        rest = g["n"] - g["k"] - g["d"]  # of the others that are not drawn, less the good drawn
+
+        def up(w: Column, x: Column) -> Column:
+            return w * (g["k"] - x) * (g["d"] - x) / ((x + 1.0) * (rest + x + 1.0))
+
+        def down(w: Column, x: Column) -> Column:
+            return w * x * (rest + x) / ((g["k"] - x + 1.0) * (g["d"] - x + 1.0))
+
+        def sides(a: Column, i: Column) -> list[Column]:
+            """From the weights of ``mode + i - 1`` and ``mode - i`` to the next."""
+            return [up(a["up"], g["mode"] + i - 1.0).alias("up"), down(a["down"], g["mode"] - i + 0.0).alias("down")]
+
+        begin = [F.lit(1.0).alias("up"), down(F.lit(1.0), g["mode"] + 0.0).alias("down")]
+        steps = F.sequence(F.lit(1).cast("long"), g["reach"] + 1)
+        weight = F.aggregate(
+            steps, F.struct(*begin, F.lit(0.0).alias("sum")), lambda a, i: F.struct(*sides(a, i), (a["sum"] + a["up"] + a["down"]).alias("sum")), lambda a: a["sum"]
         )
 
-        def source_draw(acc, r):
-            def block_draw(a, k):
-                u = uniform(F.lit(seed), F.lit(level), F.col("node"), r["source"], r["start"], k)
-                hit = (u * a["left"] < a["places"]).cast("long")
-                return F.struct((a["left"] - 1).alias("left"), (a["places"] - hit).alias("places"), (a["n"] + hit).alias("n"))
-
-            steps = F.when(r["blocks"] > 0, F.sequence(F.lit(1).cast("long"), r["blocks"])).otherwise(F.array().cast("array<bigint>"))
-            zero = F.struct(acc["left"].alias("left"), acc["places"].alias("places"), F.lit(0).cast("long").alias("n"))
-            end = F.aggregate(steps, zero, block_draw)
-            bound = F.transform(F.array(end), lambda e: F.struct(e["left"].alias("left"), e["places"].alias("places"), F.concat(acc["taken"], F.array(e["n"])).alias("taken")))
-            return F.get(bound, 0)
-
-        node = node.withColumn("taken", F.aggregate("runs", first, source_draw, lambda a: a["taken"]))
-        left = F.transform("runs", lambda r, i: F.struct(r["source"].alias("source"), r["start"].alias("start"), F.get("taken", i).alias("blocks")))
-        right = F.transform(
-            "runs",
-            lambda r, i: F.struct(r["source"].alias("source"), (r["start"] + F.get("taken", i)).alias("start"), (r["blocks"] - F.get("taken", i)).alias("blocks")),
+        def look(a: Column, i: Column) -> Column:
+            at = F.when(a["at"].isNotNull(), a["at"]).when(a["left"] < a["up"], g["mode"] + i - 1).when(a["left"] < a["up"] + a["down"], g["mode"] - i)
+            return F.struct(*sides(a, i), (a["left"] - a["up"] - a["down"]).alias("left"), at.alias("at"))
+
+        first = F.struct(*begin, (g["u"] * weight).alias("left"), F.lit(None).cast("long").alias("at"))
+        return F.coalesce(F.aggregate(steps, first, look, lambda a: a["at"]), g["mode"])
+
+    return F.get(F.transform(F.array(given), walk), 0)
+
+
+def _shares(parts: Column, size: str, places: Column, *seeds: Column) -> Column:
+    """The places that each entry of ``parts`` gets, an array: a multivariate hypergeometric draw.
+
+    Entry by entry, its share is drawn from the places and entries that are left.
+    """
+    total = F.aggregate(parts, F.lit(0).cast("long"), lambda a, p: a + p[size])
+    long = lambda x: x.cast("long")
+    begin = F.struct(
+        total.alias("left"), long(places).alias("places"), long(F.lit(0)).alias("last"), F.array().cast("array<bigint>").alias("taken")
+    )
+
+    def draw(a: Column, p: Column) -> Column:
+        # The last share is taken off here, so that a draw stands in one place of the expression.
+        left = a["places"] - a["last"]
+        n = hypergeometric(uniform(*seeds, p["key"]), a["left"], p[size], left)
+        taken = F.concat(a["taken"], F.array(a["last"]))
+        return F.struct((a["left"] - p[size]).alias("left"), left.alias("places"), n.alias("last"), taken.alias("taken"))
+
+    return F.aggregate(parts, begin, draw, lambda a: F.slice(F.concat(a["taken"], F.array(a["last"])), F.lit(2), F.size(a["taken"])))
+
+
+def split_tree(quotas: DataFrame, depth: int, seed: int, bits: int = BITS) -> DataFrame:
+    """``shard, source, start, blocks``: each of ``2 ** depth`` shards' run of drawn blocks.
+
+    ``quotas`` has ``source`` and its number of drawn ``blocks``. The tree's
+    rows are ``node, source`` with the source's run of blocks in that node. A
+    node passes half of its blocks to the left; how many of each source is a
+    multivariate hypergeometric draw, each number drawn at once.
+
+    A draw depends on those before it in its node, so sources meet in rows of
+    about ``2 ** bits``, dealt by a hash. With more sources than that, the rows
+    are summed to parts of so many rows, these again, up to one row a node;
+    from there places go down, part by part, to the rows. No row holds more
+    than about ``2 ** bits`` entries, and one level of the tree is one shuffle
+    per step of the sums, whatever the number of blocks.
+    """
+    bits_of = F.shiftrightunsigned(F.xxhash64("source"), 1)
+    rows = quotas.where("blocks > 0").select(
+        F.lit(0).cast("long").alias("node"), "source", F.lit(0).cast("long").alias("start"), F.col("blocks").cast("long").alias("blocks")
+    )
+    rows = rows.withColumn("hash", bits_of)
+    sources = rows.count()
+    steps = 0
+    while sources > 1 << (bits * (steps + 1)):
+        steps += 1
+
+    def part(step: int) -> Column:
+        return F.col("hash").bitwiseAND(F.lit((1 << (bits * step)) - 1)).alias("part")
+
+    for level in range(depth):
+        # Step by step, the rows that meet: at the last step a node is one row.
+        run = F.struct(F.col("source").alias("key"), F.col("start").alias("start"), F.col("blocks").alias("blocks"), F.col("hash").alias("hash"))
+        own = rows.groupBy("node", part(steps)).agg(F.array_sort(F.collect_list(run)).alias("runs"), F.sum("blocks").alias("size"))
+        sums = [own.select("node", "part", "size")]
+        for step in range(steps - 1, -1, -1):
+            below = F.struct(F.col("part").alias("key"), F.col("size").alias("blocks"))
+            upper = F.col("part").bitwiseAND(F.lit((1 << (bits * step)) - 1)).alias("upper")
+            met = sums[-1].groupBy("node", upper).agg(F.array_sort(F.collect_list(below)).alias("parts"), F.sum("size").alias("size"))
+            sums.append(met.withColumnRenamed("upper", "part"))
+        places = None
+        for step in range(steps):
+            top = sums[steps - step]
+            half = top.withColumn("places", F.floor((F.col("size") + 1) / 2)) if places is None else top.join(places, ["node", "part"])
+            taken = _shares(F.col("parts"), "blocks", F.col("places"), F.lit(seed), F.lit(level), F.lit(step), F.col("node"))
+            dealt = half.select("node", F.inline(F.arrays_zip(F.col("parts")["key"].alias("part"), taken.alias("places"))))
+            places = staged(dealt, "mix-places")
+        own = own.withColumn("places", F.floor((F.col("size") + 1) / 2)) if places is None else own.join(places, ["node", "part"])
+        taken = _shares(F.col("runs"), "blocks", F.col("places"), F.lit(seed), F.lit(level), F.lit(steps), F.col("node"))
+        split = own.select("node", F.inline(F.arrays_zip(F.col("runs").alias("run"), taken.alias("left"))))
+        left = F.struct(
+            (F.col("node") * 2).alias("node"), F.col("run")["key"].alias("source"), F.col("run")["start"].alias("start"), F.col("left").alias("blocks"),
+            F.col("run")["hash"].alias("hash"),
         )
-        sides = F.array(
-            F.struct((F.col("node") * 2).alias("node"), left.cast(kind).alias("runs")),
-            F.struct((F.col("node") * 2 + 1).alias("node"), right.cast(kind).alias("runs")),
+        right = F.struct(
+            (F.col("node") * 2 + 1).alias("node"), F.col("run")["key"].alias("source"), (F.col("run")["start"] + F.col("left")).alias("start"),
+            (F.col("run")["blocks"] - F.col("left")).alias("blocks"), F.col("run")["hash"].alias("hash"),
         )
-        node = node.select(F.inline(sides))
-    return node.select(F.col("node").alias("shard"), F.inline("runs")).where("blocks > 0")
+        rows = staged(split.select(F.inline(F.array(left, right))).where("blocks > 0"), "mix-tree")
+    return rows.select(F.col("node").alias("shard"), "source", "start", "blocks")
 
 
 def _sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:

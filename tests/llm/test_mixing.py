@@ -104,6 +104,49 @@ def test_splits_are_hypergeometric(spark):
     assert abs(mean - 15) < 1.5 and 2 < var < 11
 
 
+def test_draws_have_the_hypergeometric_distribution(spark):
+    from math import comb
+
+    long = lambda x: F.lit(x).cast("long")
+    steps = 20_000
+    u = spark.range(steps).select(((F.col("id") + 0.5) / steps).alias("u"))
+    for total, good, draws in ((60, 25, 20), (7, 3, 7), (9, 0, 4), (9, 9, 4), (9, 4, 0), (1, 1, 1), (50, 49, 25), (40, 3, 39)):
+        n = Counter(r[0] for r in u.select(mixing.hypergeometric(F.col("u"), long(total), long(good), long(draws))).collect())
+        for x in range(min(good, draws) + 1):
+            chance = comb(good, x) * comb(total - good, draws - x) / comb(total, draws) if draws - x <= total - good else 0
+            assert abs(n[x] / steps - chance) < 2 / steps, (total, good, draws, x)
+
+
+def test_ten_million_blocks_and_more_sources_than_a_row_holds(spark):
+    df = spark.createDataFrame([("a", 6_000_000), ("b", 3_999_999), ("c", 1)], "source string, blocks long")
+    runs = mixing.split_tree(df, 3, 1).collect()
+    shards = Counter()
+    for r in runs:
+        shards[r.shard] += r.blocks
+        if r.source == "a":  # 750,000 each, standard deviation of about 510
+            assert abs(r.blocks - 750_000) < 6 * 510
+    assert sum(shards.values()) == 10_000_000 and set(shards.values()) == {1_250_000}
+
+    quotas = {f"s{i}": 1 + i % 5 for i in range(300)}
+    df = spark.createDataFrame(list(quotas.items()), "source string, blocks long")
+    runs = mixing.split_tree(df, 2, 1, bits=3).collect()
+    ends, shards = defaultdict(list), Counter()
+    for r in runs:
+        ends[r.source].append((r.start, r.start + r.blocks))
+        shards[r.shard] += r.blocks
+    for s, n in quotas.items():
+        own = sorted(ends[s])
+        assert own[0][0] == 0 and own[-1][1] == n and all(a[1] == b[0] for a, b in zip(own, own[1:], strict=False))
+    assert max(shards.values()) - min(shards.values()) <= 1
+    assert spark.createDataFrame([], "source string, blocks long").transform(lambda d: mixing.split_tree(d, 2, 1)).count() == 0
+
+
+def test_a_very_long_text(spark):
+    rows = [(1, "w " * 300_000, "s"), (2, "w", "s"), (3, "w" * 500_000, "t"), (4, " " * 500_000, "t")]
+    out = {r.doc_id: r for r in mixing.mix(docs_frame(spark, rows)).collect()}
+    assert [out[i].size for i in range(1, 5)] == [300_000, 1, 1, 0]
+
+
 def test_documents_come_as_often_as_taken(spark):
     rows = [(i, "w " * (3 + i % 5), "ab"[i % 2]) for i in range(200)] + [(5, "w w w x x x x x", "b")] * 2
     df = docs_frame(spark, rows).withColumn("shard", F.lit("x"))
