@@ -52,7 +52,8 @@ def _explode(min_chars: int):
                         rows.append((id_, text_id, pos, md5(key).digest()))
                         if len(rows) >= BATCH:
                             yield out()
-        yield out()
+        if rows:
+            yield out()
 
     return run
 

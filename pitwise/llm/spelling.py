@@ -60,6 +60,9 @@ def _count(min_chars: int, rate: int):
     """Counts of words, combined over documents as far as ``HELD`` reaches."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return (pdf for pdf in counted(batches) if len(pdf))
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: Counter[bytes | str] = Counter()
 
         def out() -> pd.DataFrame:
@@ -104,7 +107,8 @@ def _gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for word in pdf["word"]:
             total.update({word[i : i + 2] for i in range(len(word) - 1)})
-    yield pd.DataFrame({"gram": list(total.keys()), "n": list(total.values())})
+    if total:
+        yield pd.DataFrame({"gram": list(total.keys()), "n": list(total.values())})
 
 
 def pivots(places: list[int], weights: list[int]) -> tuple[int, int]:
@@ -166,7 +170,8 @@ def _keys(rank: dict[str, int], weight: dict[str, int]):
                     rows.append((False, f"{END} {other} {word[size - other + 2 :]}", END, *own))
                 if len(rows) >= BATCH:
                     yield out()
-        yield out()
+        if rows:
+            yield out()
 
     return run
 
