@@ -2,25 +2,59 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``left LEFT JOIN right USING (keys)`` for a right side whose keys may be hot.
+#: Rows of a key from which it is dealt to several tasks, and the keys that are, at most.
+HEAVY_ROWS, HEAVY_KEYS = 1_000_000, 1_000
+#: Share of the rows that is looked at for heavy keys.
+LOOKED_AT = 1 / 1024
 
-    Adaptive execution splits a skewed partition only on the preserved side
-    of an outer join, but on either side of an inner one. So the matches are
-    an inner join, and the rows without a match an anti join against the
-    distinct keys; both shuffle ``left`` alike, and that shuffle is reused.
+
+def heavy_keys(rows: DataFrame, key: str, least: int = HEAVY_ROWS, share: float = LOOKED_AT) -> dict[str, int]:
+    """The keys of ``rows`` with about ``least`` rows or more, and how many times so many.
+
+    Found in a sample of the key column, combined before the shuffle; at most
+    ``HEAVY_KEYS`` come to the driver, the largest. It decides where rows are
+    worked on, never what a result is.
+    """
+    seen = rows.where(F.col(key).isNotNull()).select(key)
+    if share < 1:
+        seen = seen.sample(share, seed=7)
+    counts = seen.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least * share)
+    return {r[0]: math.ceil(r["n"] / share / least) for r in counts.orderBy(F.desc("n"), key).limit(HEAVY_KEYS).collect()}
+
+
+def left_join_many(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], heavy: Mapping[str, int] | None = None, place: Column | None = None
+) -> DataFrame:
+    """``left LEFT JOIN right USING (keys)`` for a right side whose first key may be heavy.
+
+    Adaptive execution splits a skewed partition of an outer join only on the
+    preserved side. ``heavy`` (``heavy_keys`` of ``right``) names keys whose
+    right rows are dealt to parts by their place, a part per ``HEAVY_ROWS``
+    rows; a left row of such a key is sent to every part. As the key was seen
+    on the right, some part matches, and the parts that do not are left out.
+    Both sides are read once.
+
+    A row's place must be the same if a lost task is run again: without
+    ``place`` (a hash of the row's values, if rows are distinct), ``right`` is
+    a projection or filter of a scan.
     """
     keys = list(keys)
-    matched = left.join(right, keys)
-    alone = left.join(right.select(*keys).distinct(), keys, "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
+    if not heavy:
+        return left.join(right, keys, "left")
+    sizes = F.create_map(*[F.lit(x) for item in heavy.items() for x in item])
+    parts = F.coalesce(F.try_element_at(sizes, F.col(keys[0])), F.lit(1))
+    sent = left.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    dealt = right.withColumn("_part", F.pmod(F.xxhash64(F.monotonically_increasing_id()) if place is None else place, parts).cast("int"))
+    joined = sent.join(dealt.withColumn("_found", F.lit(True)), [*keys, "_part"], "left")
+    return joined.where(F.col("_found").isNotNull() | ~F.col(keys[0]).isin(list(heavy)) | F.col(keys[0]).isNull()).drop("_part", "_found")
 
 
 def left_join_one_to_one(base: DataFrame, parts: Sequence[DataFrame], key: str = "cust_ids") -> DataFrame:
@@ -28,19 +62,21 @@ def left_join_one_to_one(base: DataFrame, parts: Sequence[DataFrame], key: str =
 
     For ``base`` and parts with at most one row per key. A long chain of
     sort-merge joins runs as one deep pipeline per task, with a sorter and a
-    buffer per join all holding memory at once. Here every input is packed
-    into one struct column, the inputs are unioned, and one aggregation per
-    key picks each input's (single) struct: one shuffle, one spillable
-    aggregate, and only rows of ``base`` are kept. A key that an input has
+    buffer per join all holding memory at once. Here the inputs are unioned
+    side by side and one aggregation per key picks each column's (single)
+    value: one shuffle, one spillable aggregate (a hash aggregate if the
+    columns have a fixed width), and only rows of ``base`` are kept. A key that an input has
     twice is an error when the rows are read.
     """
-    packed = [base.select(key, F.struct(*[F.col(f"`{c}`") for c in base.columns if c != key]).alias("_p0"))]
-    for i, p in enumerate(parts, start=1):
-        packed.append(p.select(key, F.struct(*[F.col(f"`{c}`") for c in p.columns if c != key]).alias(f"_p{i}")))
-    names = [f"_p{i}" for i in range(len(packed))]
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
-    most = F.greatest(*[F.count(n) for n in names])
-    picked = union.groupBy(key).agg(*[F.max(n).alias(n) for n in names], most.alias("_most"))
+    wide, out = [], []
+    for i, df in enumerate([base, *parts]):
+        own = [c for c in df.columns if c != key]
+        wide.append(df.select(key, F.lit(1).alias(f"_n{i}"), *[F.col(f"`{c}`").alias(f"_{i}_{j}") for j, c in enumerate(own)]))
+        out += [F.col(f"_{i}_{j}").alias(c) for j, c in enumerate(own)]
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), wide)
+    names = [c for c in union.columns if c != key]
+    rows = [F.count(f"_n{i}") for i in range(len(wide))]
+    picked = union.groupBy(key).agg(*[F.max(c).alias(c) for c in names], F.greatest(*rows).alias("_most"))
     repeated = F.raise_error(F.concat(F.lit(f"more than one row of an input has {key} "), F.col(key))).cast("boolean")
-    picked = picked.filter(F.when(F.col("_most") > 1, repeated).otherwise(F.col("_p0").isNotNull()))
-    return picked.select(key, *[f"{n}.*" for n in names])
+    picked = picked.filter(F.when(F.col("_most") > 1, repeated).otherwise(F.col("_n0").isNotNull()))
+    return picked.select(key, *out)

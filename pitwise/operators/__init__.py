@@ -20,9 +20,13 @@ from pitwise.operators.loans import (
 )
 from pitwise.operators.ratios import credit_pay_ratios, spend_summary
 from pitwise.operators.reports import (
+    cohort_identity,
+    documents_asof,
     gen2_documents,
     generation_merge,
+    heavy_documents,
     latest_documents,
+    latest_of,
     latest_report,
     latest_report_normalised,
     loan_settlement_ratios,
@@ -37,17 +41,21 @@ __all__ = [
     "account_link",
     "attach_applications",
     "cohort_censor",
+    "cohort_identity",
     "credit_age",
     "credit_pay_ratios",
     "derived_features",
     "device_burst_7d",
     "device_events_asof",
+    "documents_asof",
     "event_code_rates",
     "feature_assembly",
     "gen2_documents",
     "generation_merge",
+    "heavy_documents",
     "last_loan_profile",
     "latest_documents",
+    "latest_of",
     "latest_report",
     "latest_report_normalised",
     "loan_history_counts",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pitwise.functions import codes
 from pitwise.functions.exprs import ratio
-from pitwise.functions.joins import left_join_many, left_join_one_to_one
+from pitwise.functions.joins import heavy_keys, left_join_many, left_join_one_to_one
 from pitwise.functions.time import epoch_days
 from pitwise.operators.loans import is_xfd
 
@@ -101,7 +101,7 @@ def attach_applications(features: DataFrame, loans: DataFrame) -> DataFrame:
         F.col("loan_term").cast("double").alias("loan_apply_term"),
         F.col("loan_time").alias("loan_apply_time"),
     )
-    return left_join_many(features, apps, ["cust_ids"])
+    return left_join_many(features, apps, ["cust_ids"], heavy_keys(apps, "cust_ids"))
 
 
 def credit_age(
@@ -123,7 +123,8 @@ def credit_age(
 
     alt = credits_alt.distinct().withColumnRenamed("card_no", "cust_ids")
     # A card may have many grant rows in the second copy (each fans out).
-    ft = left_join_many(features, alt, ["cust_ids"])
+    heavy = heavy_keys(credits_alt, "card_no")
+    ft = left_join_many(features, alt, ["cust_ids"], heavy, place=F.xxhash64(*alt.columns))
     ft = ft.withColumn("credit_age", age("credit_date")).drop("credit_date")
     first = (
         credits.select("card_no", "credit_date")

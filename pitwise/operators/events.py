@@ -110,17 +110,15 @@ def monthly_device_city_peak(
     Output: ``month_machine_finger_loan_use_device_cnt_max`` and
     ``month_machine_finger_loan_use_city_cnt_max`` (bigint).
     """
+    month = ["cust_ids", "acct_no", "pay_month"]
     e = events.filter(F.col("event_code").isin(list(event_codes))).select(
-        "cust_ids",
-        "acct_no",
-        trunc_period(F.col("pay_time"), period).alias("pay_month"),
-        "device_id",
-        "city",
-    )
-    per_month = e.groupBy("cust_ids", "acct_no", "pay_month").agg(
-        F.count_distinct("device_id").alias("dev_n"),
-        F.count_distinct("city").alias("city_n"),
+        "cust_ids", "acct_no", trunc_period(F.col("pay_time"), period).alias("pay_month"), "device_id", "city"
     )
+    # A distinct (device, city) becomes two values; events themselves are not multiplied.
+    value = lambda kind, c: F.struct(F.lit(kind).alias("kind"), F.col(c).alias("value"))
+    values = e.distinct().select(*month, F.inline(F.array(value("d", "device_id"), value("c", "city")))).distinct()
+    known = lambda kind: F.count_if((F.col("kind") == kind) & F.col("value").isNotNull())
+    per_month = values.groupBy(*month).agg(known("d").alias("dev_n"), known("c").alias("city_n"))
     return per_month.groupBy("cust_ids").agg(
         F.max("dev_n").alias("month_machine_finger_loan_use_device_cnt_max"),
         F.max("city_n").alias("month_machine_finger_loan_use_city_cnt_max"),

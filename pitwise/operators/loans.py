@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,14 +31,30 @@ def valid_loans(loans: DataFrame) -> DataFrame:
 # --- D10 -------------------------------------------------------------------
 
 
-def loan_outcomes(loans: DataFrame, overdue: DataFrame, repayments: DataFrame) -> DataFrame:
-    """Each valid loan row with its first overdue day and first repayment."""
+def loan_outcomes(
+    loans: DataFrame,
+    overdue: DataFrame,
+    repayments: DataFrame,
+    cohort: DataFrame | None = None,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
+    """Each valid loan row with its first overdue day and first repayment.
+
+    With a ``cohort``, of its customers only: their ids select the loans, the
+    loans' numbers the overdue records and repayments, before anything is
+    aggregated. These loans are read three times; ``stage`` may write them.
+    """
     base = valid_loans(loans).filter(F.col("loan_no").isNotNull()).select(
         "cust_ids",
         "loan_no",
         "loan_time",
         F.when(is_xfd(), F.lit(1.0)).otherwise(F.lit(0.0)).alias("x"),
     )
+    if cohort is not None:
+        base = stage(base.join(cohort.select("cust_ids"), "cust_ids", "left_semi"))
+        numbers = base.select("loan_no").distinct()
+        overdue = overdue.join(numbers, "loan_no", "left_semi")
+        repayments = repayments.join(numbers, "loan_no", "left_semi")
     od = overdue.groupBy("loan_no").agg(F.min("stat_date").alias("od_day"))
     paid = (
         repayments.filter(
@@ -155,18 +173,16 @@ def repaid_by_censor(
 
     One row per cohort customer: ``xfd_int_pay_sum``, ``xfd_p_pay_sum``.
     """
-    xfd = valid_loans(loans).filter(is_xfd()).select("loan_no", "cust_ids").distinct()
-    rep = (
-        repayments.filter(
-            F.col("loan_no").isNotNull() & F.col("apply_time").isNotNull() & (F.col("status") == codes.REPAY_OK)
-        )
-        .select("loan_no", "principal", "interest", "status", "apply_time", "debit_time")
-    )
-    rep = prefilter(rep, "apply_time", censor).distinct()
+    xfd = valid_loans(loans).filter(is_xfd()).select("loan_no", "cust_ids")
+    rep = repayments.filter(
+        F.col("loan_no").isNotNull() & F.col("apply_time").isNotNull() & (F.col("status") == codes.REPAY_OK)
+    ).select("loan_no", "principal", "interest", "status", "apply_time", "debit_time")
+    # The cohort's loans first: only their repayments are made distinct.
+    own = cohort.select("cust_ids", "time_censor").join(xfd, "cust_ids", "inner").distinct()
     paid = (
-        rep.join(xfd, "loan_no", "inner")
-        .join(cohort.select("cust_ids", "time_censor"), "cust_ids", "inner")
+        own.join(prefilter(rep, "apply_time", censor), "loan_no", "inner")
         .filter(F.col("apply_time") < F.col("time_censor"))
+        .distinct()
         .groupBy("cust_ids")
         .agg(
             F.sum(F.coalesce(F.col("interest"), no_money())).alias("i_sum"),
@@ -279,18 +295,16 @@ def overdue_flag_strict(
     ``min_days`` days whose overdue started on a day more than ``lead_days``
     days before the censor. Only flagged customers get a row.
 
-    The earliest qualifying start per customer is aggregated before the
-    cohort join, so the join carries one row per customer.
+    The cohort selects the loans, these the overdue records.
     """
     other = valid_loans(loans).filter(_not_xfd_strict()).select("loan_no", "cust_ids")
     starts = prefilter(overdue.filter(F.col("overdue_days") > min_days), "start_date", censor).select(
         "loan_no", day_start(F.col("start_date")).alias("t1")
     )
-    first = starts.join(other, "loan_no", "inner").groupBy("cust_ids").agg(F.min("t1").alias("t1"))
+    own = cohort.select("cust_ids", "time_censor").join(other, "cust_ids", "inner")
     lead_us = int(lead_days * 86_400_000_000)
-    hit = cohort.select("cust_ids", "time_censor").join(first, "cust_ids", "inner").filter(
-        F.unix_micros("t1") < F.unix_micros("time_censor") - F.lit(lead_us)
-    )
+    early = F.unix_micros("t1") < F.unix_micros("time_censor") - F.lit(lead_us)
+    hit = own.join(starts, "loan_no", "inner").filter(early).select("cust_ids").distinct()
     return hit.select("cust_ids", F.lit(1.0).alias("od10_dummy"))
 
 
@@ -313,10 +327,9 @@ def overdue_flag_any(cohort: DataFrame, loans: DataFrame, overdue: DataFrame, ce
     if censor is not None:
         # A day to spare: the censor may be an instant of another zone.
         recs = recs.filter(F.col("stat_date") <= F.date_add(F.lit(as_datetime(censor).date()), 1))
-    first = recs.join(every, "loan_no", "inner").groupBy("cust_ids").agg(F.min("stat_date").alias("d1"))
-    hit = cohort.select("cust_ids", "time_censor").join(first, "cust_ids", "inner").filter(
-        F.col("d1") < F.to_date("time_censor")
-    )
+    own = cohort.select("cust_ids", "time_censor").join(every, "cust_ids", "inner")
+    early = F.col("stat_date") < F.to_date("time_censor")
+    hit = own.join(recs, "loan_no", "inner").filter(early).select("cust_ids").distinct()
     return hit.select("cust_ids", F.lit(1.0).alias("overdue_record_new_dummy"))
 
 

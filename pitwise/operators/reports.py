@@ -13,11 +13,27 @@ from pyspark.sql import functions as F
 
 from pitwise.functions import codes
 from pitwise.functions.exprs import flag_sum, no_money, not_equal_all, ratio
-from pitwise.functions.joins import left_join_many
+from pitwise.functions.joins import heavy_keys, left_join_many
 from pitwise.functions.time import as_datetime, instant_literal
 from pitwise.operators.asof import Censor
 
 
+#: The flattened report's columns by branch of the tree.
+IDENTITY_COLUMNS = ("name", "id_type", "id_card_num", "query_ord_code", "query_reason_code")
+ENQUIRY_COLUMNS = ("query_date", "management_org_type", "query_org", "query_reason")
+SUMMARY_COLUMNS = (
+    "last_query_reason",
+    "last_query_date",
+    "last_query_org",
+    "last_query_org_code",
+    "query_loan_org_cnt_1m",
+    "query_card_org_cnt_1m",
+    "query_loan_cnt_1m",
+    "query_card_cnt_1m",
+    "query_selfquery_cnt_1m",
+    "query_loanmanage_24m",
+)
+
 GEN1_COLUMNS = (
     "query_cnt_3m",
     "query_cnt_6m",
@@ -132,15 +148,10 @@ def query_counts_gen1(
 # --- D16 -------------------------------------------------------------------
 
 
-def _of_docs(header: DataFrame, docs: DataFrame | None) -> DataFrame:
-    """``id, doc_id`` of a branch's headers, of ``docs`` (distinct ids) only."""
-    h = header.select("id", "doc_id")
-    return h if docs is None else h.join(docs.select(F.col("id").alias("doc_id")), "doc_id").select("id", "doc_id")
-
-
-def _query_summary(pqo, pqo_pc05, pc05a, pc05b, docs: DataFrame | None = None) -> DataFrame:
-    a = _of_docs(pqo, docs)
-    a1 = pqo_pc05.select(F.col("id").alias("pc05_id"), "pqo_id")
+def _query_summary(headers, pqo_pc05, pc05a, pc05b) -> DataFrame:
+    """Summary rows of the documents of ``headers`` (``id, doc_id``), null ones for headers without any."""
+    a = headers.select("id", "doc_id")
+    a1 = pqo_pc05.select(F.col("id").alias("pc05_id"), F.col("pqo_id").alias("id"))
     a2 = pc05a.select(
         F.col("pqo_pc05_id").alias("a_pc05_id"),
         F.col("pc05ar01").alias("last_query_date"),
@@ -158,48 +169,33 @@ def _query_summary(pqo, pqo_pc05, pc05a, pc05b, docs: DataFrame | None = None) -
         F.col("pc05bs06").alias("query_loanmanage_24m"),
     )
     return (
-        left_join_many(a, a1.withColumnRenamed("pqo_id", "id"), ["id"])
+        a.join(a1, "id", "left")
         .join(a2, F.col("pc05_id") == F.col("a_pc05_id"), "left")
         .join(a3, F.col("pc05_id") == F.col("b_pc05_id"), "left")
-        .select(
-            "doc_id",
-            "last_query_reason",
-            "last_query_date",
-            "last_query_org",
-            "last_query_org_code",
-            "query_loan_org_cnt_1m",
-            "query_card_org_cnt_1m",
-            "query_loan_cnt_1m",
-            "query_card_cnt_1m",
-            "query_selfquery_cnt_1m",
-            "query_loanmanage_24m",
-        )
+        .select("doc_id", *SUMMARY_COLUMNS)
     )
 
 
-def _query_record(poq, poq_ph01, docs: DataFrame | None = None) -> DataFrame:
-    a = _of_docs(poq, docs)
-    a1 = poq_ph01.select(
+def _enquiries(poq_ph01: DataFrame) -> DataFrame:
+    return poq_ph01.select(
         F.col("poq_id").alias("id"),
         F.col("ph010r01").alias("query_date"),
         F.col("ph010d01").alias("management_org_type"),
         F.col("ph010q02").alias("query_org"),
         F.col("ph010q03").alias("query_reason"),
     )
-    return left_join_many(a, a1, ["id"]).select(
-        "doc_id", "query_date", "management_org_type", "query_org", "query_reason"
-    )
 
 
-def report_identity(prh, prh_pa01, prh_pa01b) -> DataFrame:
+def report_identity(prh, prh_pa01, prh_pa01b, of: DataFrame | None = None) -> DataFrame:
     """Identity units of gen-2 documents: (doc_id, unit, name, id number...).
 
     A bag, not a set: its consumers (the flattening and the latest-report
-    search) are insensitive to repeated rows.
+    search) are insensitive to repeated rows. With ``of``, some rows of
+    ``prh_pa01b``, only their units come.
     """
     a = prh.select("id", "doc_id")
     a1 = prh_pa01.select(F.col("id").alias("report_unit_id"), "prh_id")
-    a2 = prh_pa01b.select(
+    a2 = (prh_pa01b if of is None else of).select(
         "prh_pa01_id",
         F.col("pa01bq01").alias("name"),
         F.col("pa01bd01").alias("id_type"),
@@ -207,11 +203,9 @@ def report_identity(prh, prh_pa01, prh_pa01b) -> DataFrame:
         F.col("pa01bi02").alias("query_ord_code"),
         F.col("pa01bd02").alias("query_reason_code"),
     )
-    return (
-        a.join(a1, a["id"] == a1["prh_id"], "left")
-        .join(a2, F.col("report_unit_id") == F.col("prh_pa01_id"), "left")
-        .select("doc_id", "report_unit_id", "name", "id_type", "id_card_num", "query_ord_code", "query_reason_code")
-    )
+    unit, head = F.col("report_unit_id") == F.col("prh_pa01_id"), F.col("id") == F.col("prh_id")
+    joined = a.join(a1, head, "left").join(a2, unit, "left") if of is None else a2.join(a1, unit).join(a, head)
+    return joined.select("doc_id", "report_unit_id", *IDENTITY_COLUMNS)
 
 
 def gen2_documents(doc: DataFrame, min_create: str = codes.GEN2_MIN_CREATE) -> DataFrame:
@@ -225,28 +219,29 @@ def gen2_documents(doc: DataFrame, min_create: str = codes.GEN2_MIN_CREATE) -> D
     )
 
 
-FLAT_COLUMNS = (
-    "create_time",
-    "name",
-    "id_type",
-    "id_card_num",
-    "query_ord_code",
-    "query_reason_code",
-    "query_date",
-    "management_org_type",
-    "query_org",
-    "query_reason",
-    "last_query_reason",
-    "last_query_date",
-    "last_query_org",
-    "last_query_org_code",
-    "query_loan_org_cnt_1m",
-    "query_card_org_cnt_1m",
-    "query_loan_cnt_1m",
-    "query_card_cnt_1m",
-    "query_selfquery_cnt_1m",
-    "query_loanmanage_24m",
-)
+def cohort_identity(cohort: DataFrame, prh: DataFrame, prh_pa01: DataFrame, prh_pa01b: DataFrame) -> DataFrame:
+    """``report_identity`` of the cohort's customers only.
+
+    The customers select the identity rows, these the units, these the
+    documents: each table meets what the one before it left, by inner joins.
+    """
+    ids = cohort.select(F.col("cust_ids").alias("pa01bi01"))
+    rows = prh_pa01b.join(ids, "pa01bi01", "left_semi")
+    return report_identity(prh, prh_pa01, prh_pa01b, rows)
+
+
+FLAT_COLUMNS = ("create_time", *IDENTITY_COLUMNS, *ENQUIRY_COLUMNS, *SUMMARY_COLUMNS)
+
+
+def heavy_documents(poq: DataFrame, poq_ph01: DataFrame) -> tuple[dict[str, int], dict[str, int]]:
+    """Headers and documents with very many enquiries (``joins.heavy_keys``)."""
+    headers = heavy_keys(poq_ph01, "poq_id")
+    documents = heavy_keys(poq, "doc_id")
+    if headers:
+        for r in poq.where(F.col("id").isin(list(headers))).select("id", "doc_id").collect():
+            documents[r.doc_id] = documents.get(r.doc_id, 0) + headers[r.id]
+    documents.pop(None, None)
+    return headers, documents
 
 
 def report_flatten(
@@ -258,58 +253,76 @@ def report_flatten(
     poq: DataFrame,
     poq_ph01: DataFrame,
     identity: DataFrame,
-    carry: tuple[str, ...] = (),
+    heavy: tuple[dict[str, int], dict[str, int]] = ({}, {}),
 ) -> DataFrame:
     """Gen-2 document trees as flat distinct rows (20 columns).
 
     ``main`` is the document headers (``gen2_documents``), ``identity`` the
     output of ``report_identity``. Headers are left-joined to their query
-    summary, query records and identity units on the document id. Columns
-    named in ``carry`` travel from ``main`` into the rows (and the distinct).
+    summary, query records and identity units on the document id; every table
+    is read once. ``heavy`` (``heavy_documents``) names the headers and the
+    documents whose enquiries are dealt to several tasks.
 
     Only the final ``distinct`` is applied: left joins of bags followed by a
     distinct give the same rows as left joins of sets, so deduplicating each
     branch first would add a shuffle per branch and change nothing.
     """
+    headers, documents = heavy
     qs = _query_summary(pqo, pqo_pc05, pc05a, pc05b).withColumnRenamed("doc_id", "id")
-    qr = _query_record(poq, poq_ph01).withColumnRenamed("doc_id", "id")
-    rq = identity.withColumnRenamed("doc_id", "id")
+    qr = left_join_many(poq.select("id", "doc_id"), _enquiries(poq_ph01), ["id"], headers)
+    qr = qr.select(F.col("doc_id").alias("id"), *ENQUIRY_COLUMNS)
+    rq = identity.select(F.col("doc_id").alias("id"), *IDENTITY_COLUMNS)
     flat = main.join(qs, "id", "left")
-    flat = left_join_many(flat, qr, ["id"])  # many enquiries per document
+    flat = left_join_many(flat, qr, ["id"], documents)  # many enquiries per document
     flat = flat.join(rq, "id", "left")
-    return flat.select(*FLAT_COLUMNS, *carry).distinct()
+    return flat.select(*FLAT_COLUMNS).distinct()
 
 
 # --- D17 -------------------------------------------------------------------
 
 
-def latest_documents(cohort: DataFrame, main: DataFrame, identity: DataFrame, censor: Censor = None) -> DataFrame:
-    """``id, cust_ids, create_time, n_docs``: each customer's gen-2 documents
-    of the latest time before the censor; ``n_docs`` of them are tied.
-
-    Found from headers and identity units alone. The documents at that time
-    come from an equi join on (id, time), which spreads one customer's
-    documents over partitions; tied ones are counted, not sorted.
-    """
+def documents_asof(cohort: DataFrame, main: DataFrame, identity: DataFrame, censor: Censor = None) -> DataFrame:
+    """``cust_ids, id, create_time``: the gen-2 documents of each customer before the censor, distinct."""
     heads = main.select("id", "create_time")
     if censor is not None:
         heads = heads.filter(F.col("create_time") < instant_literal(censor))
-    links = heads.join(identity.select(F.col("doc_id").alias("id"), "id_card_num"), "id", "inner")
-    cands = cohort.select("cust_ids", "time_censor").join(
-        links, F.col("cust_ids") == F.col("id_card_num"), "inner"
-    ).filter(F.col("create_time") < F.col("time_censor"))
-    tmax = cands.groupBy("cust_ids").agg(F.max("create_time").alias("t_max"))
-    latest = (
-        links.join(
-            tmax,
-            (F.col("id_card_num") == F.col("cust_ids")) & (F.col("create_time") == F.col("t_max")),
-            "inner",
-        )
-        .select("id", "cust_ids", "create_time")
-        .distinct()
-    )
-    n_docs = latest.groupBy("cust_ids").agg(F.count(F.lit(1)).alias("n_docs"))
-    return latest.join(n_docs, "cust_ids").select("id", "cust_ids", "create_time", "n_docs")
+    links = identity.select(F.col("doc_id").alias("id"), F.col("id_card_num").alias("cust_ids"))
+    own = cohort.select("cust_ids", "time_censor").join(links, "cust_ids").join(heads, "id")
+    return own.filter(F.col("create_time") < F.col("time_censor")).select("cust_ids", "id", "create_time").distinct()
+
+
+def latest_of(documents: DataFrame) -> DataFrame:
+    """Of ``documents_asof``, each customer's documents of the latest time, all that are tied.
+
+    The documents at that time come from an equi join on (customer, time),
+    which spreads one customer's documents over partitions.
+    """
+    last = documents.groupBy("cust_ids").agg(F.max("create_time").alias("create_time"))
+    return documents.join(last, ["cust_ids", "create_time"]).select("id", "cust_ids", "create_time")
+
+
+def latest_documents(cohort: DataFrame, main: DataFrame, identity: DataFrame, censor: Censor = None) -> DataFrame:
+    """``id, cust_ids, create_time``: each customer's gen-2 documents of the latest time before the censor."""
+    return latest_of(documents_asof(cohort, main, identity, censor))
+
+
+def _held_by(rows: DataFrame, values: tuple[str, ...], *extra: Column) -> DataFrame:
+    """A customer's distinct tuples of ``values`` grouped by the documents that hold them.
+
+    ``cust_ids, docs, n``: ``n`` tuples are in just the documents ``docs`` (in
+    order). A customer has one document in all but rare cases, several only if
+    they are tied at one instant.
+    """
+    tuples = rows.groupBy("cust_ids", *values).agg(F.array_sort(F.collect_set("id")).alias("docs"))
+    return tuples.groupBy("cust_ids", "docs").agg(F.count(F.lit(1)).alias("n"), *extra)
+
+
+def _meeting(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Pairs of a row of ``a`` and a row of ``b`` (``docs``) of one customer that share a document, each once."""
+    each = lambda df, docs: df.withColumn("doc", F.explode(docs))
+    pairs = each(a.withColumnRenamed("docs", "docs_a"), "docs_a").join(each(b.withColumnRenamed("docs", "docs_b"), "docs_b"), ["cust_ids", "doc"])
+    both = F.array_intersect("docs_a", "docs_b")
+    return pairs.withColumn("docs", both).where(F.col("doc") == F.array_min("docs"))
 
 
 def query_counts_gen2(
@@ -328,75 +341,46 @@ def query_counts_gen2(
     latest time count (ties kept). Counted over distinct flattened rows, so
     equal enquiries collapse.
 
-    Every branch is joined to the latest documents before anything is made
-    distinct. A flattened row is (identity, enquiry, summary) of one document,
-    so for a customer with a single latest document the count factorises:
-    identity tuples x summary tuples (at least one) x the sum over distinct
-    enquiries. Only for customers with several documents at the same latest
-    instant, whose rows may coincide across documents, are the per-document
-    distinct tuples joined and deduplicated.
+    A flattened row is (identity, enquiry, summary) of one document, and rows
+    of tied documents may coincide. The product is never built. An enquiry
+    held by the documents D adds as many rows as there are distinct pairs of
+    an identity tuple and a summary tuple that share a document of D; whether a
+    pair does depends only on the documents that hold either. So tuples are
+    counted by the set of documents that hold them: sets of identity tuples
+    meet sets of summary tuples, the products of their counts are summed by
+    the documents they share, and these meet the sets of enquiries. With one
+    document each of these is one row. Every table is read once, and meets the
+    latest documents before anything is made distinct.
     """
     reason = F.col("query_reason").try_cast("int")
     specs = _window_specs(reason, F.lit(codes.GEN2_REASON_LOAN), F.lit(codes.GEN2_REASON_CARD), windows)
-    no_days = F.datediff(F.to_date("create_time"), F.to_date("query_date")).alias("no_days")
     maxima = ("query_loanmanage_24m", "query_selfquery_cnt_1m")
+    latest = latest.select("id", "cust_ids", "create_time")
 
-    # Per-document distinct tuples of the three branches of the flattening,
-    # of the latest documents only.
-    docs = latest.select("id").distinct()
-    ident = (
-        latest.select("id", "cust_ids")
-        .join(
-            identity.select(F.col("doc_id").alias("id"), "name", "id_type", "id_card_num", "query_ord_code", "query_reason_code"),
-            "id",
-        )
-        .filter(F.col("id_card_num") == F.col("cust_ids"))
-        .distinct()
-    )
-    summ = _query_summary(pqo, pqo_pc05, pc05a, pc05b, docs).withColumnRenamed("doc_id", "id").distinct()
-    recs = _query_record(poq, poq_ph01, docs).withColumnRenamed("doc_id", "id").distinct()
-
-    # -- one latest document: factorised counts ---------------------------------
-    one = latest.filter(F.col("n_docs") == 1).select("id", "cust_ids", "create_time")
-    n_i = ident.groupBy("id", "cust_ids").agg(F.count(F.lit(1)).alias("n_i"))
-    per_s = summ.groupBy("id").agg(F.count(F.lit(1)).alias("n_s"), *[F.max(c).alias(c) for c in maxima])
-    per_r = (
-        recs.join(one.select("id", "create_time"), "id", "inner")
-        .select("id", no_days, "query_reason")
-        .groupBy("id")
-        .agg(*[flag_sum(cond).alias(name) for name, cond in specs])
-    )
-    mult = F.col("n_i") * F.greatest(F.coalesce(F.col("n_s"), F.lit(0)), F.lit(1))
-    single = (
-        one.join(n_i, ["id", "cust_ids"], "inner")
-        .join(per_s, "id", "left")
-        .join(per_r, "id", "left")
-        .select(
-            "cust_ids",
-            *[(F.coalesce(F.col(name), F.lit(0.0)) * mult).cast("double").alias(f"{name}_2") for name, _ in specs],
-            F.col("query_loanmanage_24m").alias("query_loanmanage_24m_2"),
-            F.col("query_selfquery_cnt_1m").alias("query_selfquery_cnt_1m_2"),
-        )
-    )
+    units = identity.select(F.col("doc_id").alias("id"), F.col("id_card_num").alias("cust_ids"), *IDENTITY_COLUMNS)
+    people = _held_by(latest.join(units, ["id", "cust_ids"]), IDENTITY_COLUMNS)
 
-    # -- tied documents: distinct rows across the documents ----------------------
-    # Identity rows must carry the customer's id; a document without enquiry
-    # or summary rows contributes a null one, as the left joins do.
-    tied = latest.filter(F.col("n_docs") > 1).select("id", "cust_ids", "create_time")
-    rows = (
-        tied.join(ident, ["id", "cust_ids"], "inner")
-        .join(recs, "id", "left")
-        .join(summ, "id", "left")
-        .select("cust_ids", *FLAT_COLUMNS)
-        .distinct()
-        .select("*", no_days)
+    docs = latest.select(F.col("id").alias("doc_id")).distinct()
+    summary = _query_summary(pqo.join(docs, "doc_id", "left_semi"), pqo_pc05, pc05a, pc05b).withColumnRenamed("doc_id", "id")
+    # A document without a summary has a null one, as in the left joins.
+    summaries = _held_by(latest.join(summary, "id", "left"), SUMMARY_COLUMNS, *[F.max(c).alias(c) for c in maxima])
+
+    headers = latest.join(poq.select(F.col("id").alias("poq_id"), F.col("doc_id").alias("id")), "id")
+    enquiries = headers.join(_enquiries(poq_ph01).withColumnRenamed("id", "poq_id"), "poq_id")
+    no_days = F.datediff(F.to_date("create_time"), F.to_date("query_date"))
+    asked = _held_by(
+        enquiries.withColumn("no_days", no_days), (*ENQUIRY_COLUMNS, "no_days"), *[flag_sum(cond).alias(name) for name, cond in specs]
     )
-    several = rows.groupBy("cust_ids").agg(
-        *[flag_sum(cond).alias(f"{name}_2") for name, cond in specs],
-        F.max("query_loanmanage_24m").alias("query_loanmanage_24m_2"),
-        F.max("query_selfquery_cnt_1m").alias("query_selfquery_cnt_1m_2"),
+
+    pairs = _meeting(people, summaries.select("cust_ids", "docs", F.col("n").alias("n_summaries")))
+    pairs = pairs.groupBy("cust_ids", "docs").agg(F.sum(F.col("n") * F.col("n_summaries")).alias("pairs"))
+    counts = _meeting(pairs, asked.drop("n")).groupBy("cust_ids").agg(*[F.sum(F.col(name) * F.col("pairs")).alias(name) for name, _ in specs])
+    most = summaries.groupBy("cust_ids").agg(*[F.max(c).alias(c) for c in maxima])
+    return most.join(counts, "cust_ids", "left").select(
+        "cust_ids",
+        *[F.coalesce(F.col(name), F.lit(0.0)).alias(f"{name}_2") for name, _ in specs],
+        *[F.col(c).alias(f"{c}_2") for c in maxima],
     )
-    return single.unionByName(several)
 
 
 # --- D18 -------------------------------------------------------------------
@@ -501,24 +485,39 @@ def loan_settlement_ratios(
         ratio(F.datediff(F.to_date("end_date"), censor_day), F.col("loan_days")) * F.col("period")
     ).try_cast("int")
     open_end = status.isNull() & (F.to_date("end_date") > censor_day)
-    agg = j.groupBy("cust_ids").agg(
-        F.count_distinct(F.when(status == settled, F.col("loan_id"))).alias("settled_n"),
-        F.count_distinct(F.when(status != settled, F.col("loan_id"))).alias("open_n"),
-        F.sum(F.when(status == settled, F.col("loan_amount")).otherwise(no_money())).cast("double").alias("settled_amt"),
-        F.sum("loan_amount").cast("double").alias("total_amt"),
-    )
-    by_period = (
-        j.filter(open_end)
-        .groupBy("cust_ids", "period")
-        .agg(F.sum((F.col("loan_amount") * periods_left).cast("decimal(38,2)")).cast("double").alias("amt"))
-        .select("cust_ids", "period", ratio(F.col("amt"), F.col("period")).alias("repaid"))
-        .filter(F.col("repaid").isNotNull())
-    )
-    in_order = F.transform(F.array_sort(F.collect_list(F.struct("period", "repaid"))), lambda s: s["repaid"])
-    repaid = by_period.groupBy("cust_ids").agg(
-        F.aggregate(in_order, F.lit(0.0), lambda a, x: a + x).alias("repaid_amt")
+    prorated = (F.col("loan_amount") * periods_left).cast("decimal(38,2)")
+    # One pass: sums per loan and number of periods; a loan's statuses go to
+    # the first of its rows, so that loans are counted where amounts are summed.
+    own = j.groupBy("cust_ids", "loan_id", "period").agg(
+        F.max(status == settled).alias("settled"),
+        F.max(status != settled).alias("open"),
+        F.sum(F.when(status == settled, F.col("loan_amount")).otherwise(no_money())).alias("settled_amt"),
+        F.sum("loan_amount").alias("total_amt"),
+        F.sum(F.when(open_end, prorated)).alias("prorated"),
+    )
+    sums = F.struct("period", "settled_amt", "total_amt", "prorated")
+    is_loan = F.col("loan_id").isNotNull()
+    loans = own.groupBy("cust_ids", "loan_id").agg(
+        (F.max("settled") & is_loan).alias("settled"), (F.max("open") & is_loan).alias("open"), F.collect_list(sums).alias("sums")
+    )
+    rows = loans.select("cust_ids", "settled", "open", F.posexplode("sums").alias("pos", "of"))
+    first = F.col("pos") == 0
+    by_period = rows.groupBy("cust_ids", F.col("of.period").alias("period")).agg(
+        F.count_if(first & F.col("settled")).alias("settled_n"),
+        F.count_if(first & F.col("open")).alias("open_n"),
+        F.sum("of.settled_amt").alias("settled_amt"),
+        F.sum("of.total_amt").alias("total_amt"),
+        F.sum("of.prorated").cast("double").alias("prorated"),
+    )
+    repaid = F.struct("period", ratio(F.col("prorated"), F.col("period")).alias("repaid"))
+    in_order = F.transform(F.array_sort(F.collect_list(repaid)), lambda s: F.coalesce(s["repaid"], F.lit(0.0)))
+    agg = by_period.groupBy("cust_ids").agg(
+        F.sum("settled_n").alias("settled_n"),
+        F.sum("open_n").alias("open_n"),
+        F.sum("settled_amt").cast("double").alias("settled_amt"),
+        F.sum("total_amt").cast("double").alias("total_amt"),
+        F.aggregate(in_order, F.lit(0.0), lambda a, x: a + x).alias("repaid_amt"),
     )
-    agg = agg.join(repaid, "cust_ids", "left").withColumn("repaid_amt", F.coalesce("repaid_amt", F.lit(0.0)))
     return agg.select(
         "cust_ids",
         F.coalesce(ratio(F.col("settled_n"), F.col("settled_n") + F.col("open_n")), F.lit(0.0)).alias(

@@ -10,24 +10,29 @@ the session's ``spark.checkpoint.dir`` and read back. That cuts lineage
 (a lost executor re-runs one stage, not the job) and stops Spark from
 recomputing a shared stage once per consumer. The directory must be a
 shared file system on a cluster; it is read from the session, never
-invented here.
+invented here. Finished stages are recorded (``plans.manifest``): a job with
+the ``run_id`` of one that was ended reads them and goes on from there, and
+``publish`` shows its tables to readers all at once.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwise import operators as op
 from pitwise.functions import codes
 from pitwise.functions.time import instant_literal
+from pitwise.plans.manifest import Manifest, Records, delete_folder
 from pitwise.plans.session import ensure_checkpoint_dir
+from pitwise.sources.audit import check_parsed, parse_report
 from pitwise.sources.inputs import Inputs
 
 
@@ -40,6 +45,8 @@ class JobParams:
     loan_use_period: str = "month"
     gen2_min_create: str = codes.GEN2_MIN_CREATE
     history_bucket_days: int = 1
+    # Values per text column that may fail to parse before a write is refused.
+    max_unparsed: int | None = None
 
 
 class FeatureJob:
@@ -67,6 +74,7 @@ class FeatureJob:
         self.p = params
         self.materialize = materialize
         self.run_id = run_id or uuid.uuid4().hex[:12]
+        self._new_run = run_id is None
         self._given_cohort = cohort
         # Scan-side bounds: no row's censor is after the one or before the other.
         self.censor = self.first_censor = params.censor
@@ -99,14 +107,36 @@ class FeatureJob:
 
     # -- materialisation ------------------------------------------------------
 
-    def _stage(self, name: str, df: DataFrame) -> DataFrame:
+    @cached_property
+    def spark(self) -> SparkSession:
+        return self.inputs.raw("credits").sparkSession if self._given_cohort is None else self._given_cohort.sparkSession
+
+    @cached_property
+    def scratch(self) -> str:
+        """The run's folder for stages, in the session's checkpoint directory."""
+        return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/pitwise/{self.run_id}"
+
+    @cached_property
+    def manifest(self) -> Manifest:
+        return Manifest(self.spark, self.scratch, self.run_id, self._identity(), new=self._new_run)
+
+    def _identity(self) -> str:
+        return f"{self.p}{'' if self._given_cohort is None else ' with a cohort'}"
+
+    def _stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The stage as written by this run; built and written if the run has not got so far."""
         if not self.materialize:
-            return df
-        spark = df.sparkSession
-        root = ensure_checkpoint_dir(spark)
-        path = f"{root.rstrip('/')}/pitwise/{self.run_id}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+            return build()
+        path = self.manifest.finished.get(name)
+        if path is None:
+            path = f"{self.scratch}/{name}"
+            build().write.mode("overwrite").parquet(path)
+            self.manifest.add(name, path)
+        return self.spark.read.parquet(path)
+
+    def cleanup(self) -> None:
+        """Delete the run's stages. What was read from them can no longer be computed."""
+        delete_folder(self.spark, self.scratch)
 
     def _before(self, name: str, column: str) -> DataFrame:
         return self.inputs.before(name, column, self.censor)
@@ -122,12 +152,12 @@ class FeatureJob:
         shared = (
             "device_events_raw",
             "payments",
-            "loan_outcomes",
+            "cohort_outcomes",
             "latest_report",
             "latest_report_normalised",
             "latest_documents",
         )
-        for names in (("cohort",), ("accounts",), shared):
+        for names in (("cohort",), ("accounts", "cohort_identity"), shared):
             with ThreadPoolExecutor(len(names)) as pool:
                 list(pool.map(lambda name: getattr(self, name), names))
 
@@ -136,12 +166,12 @@ class FeatureJob:
     @cached_property
     def cohort(self) -> DataFrame:
         if self._given_cohort is not None:
-            return self._stage("cohort", self._given_cohort.select("cust_ids", "time_censor"))
-        return self._stage("cohort", op.cohort_censor(self.inputs["credits"], self.p.censor))
+            return self._stage("cohort", lambda: self._given_cohort.select("cust_ids", "time_censor"))
+        return self._stage("cohort", lambda: op.cohort_censor(self.inputs["credits"], self.p.censor))
 
     @cached_property
     def accounts(self) -> DataFrame:
-        return self._stage("accounts", op.account_link(self.cohort, self.inputs["members"]))
+        return self._stage("accounts", lambda: op.account_link(self.cohort, self.inputs["members"]))
 
     @cached_property
     def device_events(self) -> DataFrame:
@@ -152,14 +182,14 @@ class FeatureJob:
         """As-of events without the row dedup; for duplicate-insensitive uses."""
         return self._stage(
             "device_events",
-            op.device_events_asof(self.accounts, self._before("device_events", "pay_time"), censor=self.censor, dedupe=False),
+            lambda: op.device_events_asof(self.accounts, self._before("device_events", "pay_time"), censor=self.censor, dedupe=False),
         )
 
     @cached_property
     def payments(self) -> DataFrame:
         return self._stage(
             "payments",
-            op.order_payments_asof(
+            lambda: op.order_payments_asof(
                 self.accounts,
                 self._before("orders", "pay_time"),
                 self.inputs["order_lines"],
@@ -200,12 +230,28 @@ class FeatureJob:
     @cached_property
     def loan_outcomes(self) -> DataFrame:
         i = self.inputs
-        return self._stage("loan_outcomes", op.loan_outcomes(i["loans"], i["overdue"], i["repayments"]))
+        return self._stage("loan_outcomes", lambda: op.loan_outcomes(i["loans"], i["overdue"], i["repayments"]))
 
     @cached_property
     def history(self) -> DataFrame:
+        """Of all customers, as D10 is defined."""
         return op.loan_history_counts(self.loan_outcomes, bucket_days=self.p.history_bucket_days)
 
+    @cached_property
+    def cohort_outcomes(self) -> DataFrame:
+        i = self.inputs
+        return self._stage(
+            "cohort_outcomes",
+            lambda: op.loan_outcomes(
+                i["loans"], i["overdue"], i["repayments"], self.cohort, stage=lambda df: self._stage("cohort_loans", lambda: df)
+            ),
+        )
+
+    @cached_property
+    def cohort_history(self) -> DataFrame:
+        """The history of the cohort's customers, all that the assembled row needs."""
+        return op.loan_history_counts(self.cohort_outcomes, bucket_days=self.p.history_bucket_days)
+
     @cached_property
     def repaid(self) -> DataFrame:
         return op.repaid_by_censor(self.cohort, self.inputs["loans"], self._before("repayments", "apply_time"), censor=self.censor)
@@ -238,7 +284,7 @@ class FeatureJob:
 
     @cached_property
     def latest_report(self) -> DataFrame:
-        return self._stage("latest_report", op.latest_report(self.cohort, self._before("reports", "report_create_time"), censor=self.censor))
+        return self._stage("latest_report", lambda: op.latest_report(self.cohort, self._before("reports", "report_create_time"), censor=self.censor))
 
     @cached_property
     def gen1_counts(self) -> DataFrame:
@@ -255,22 +301,34 @@ class FeatureJob:
         i = self.inputs
         return op.report_identity(i["prh"], i["prh_pa01"], i["prh_pa01b"])
 
+    @cached_property
+    def cohort_identity(self) -> DataFrame:
+        """The identity units of the cohort's customers."""
+        i = self.inputs
+        return self._stage("cohort_identity", lambda: op.cohort_identity(self.cohort, i["prh"], i["prh_pa01"], i["prh_pa01b"]))
+
     def _gen2_tree(self) -> tuple:
         i = self.inputs
-        return (i["pqo"], i["pqo_pc05"], i["pc05a"], i["pc05b"], i["poq"], i["poq_ph01"], self.gen2_identity)
+        return (i["pqo"], i["pqo_pc05"], i["pc05a"], i["pc05b"], i["poq"], i["poq_ph01"])
 
     @cached_property
     def report_flat(self) -> DataFrame:
-        return op.report_flatten(self.gen2_main, *self._gen2_tree())
+        heavy = op.heavy_documents(self.inputs["poq"], self.inputs["poq_ph01"])
+        return op.report_flatten(self.gen2_main, *self._gen2_tree(), self.gen2_identity, heavy=heavy)
+
+    @cached_property
+    def documents(self) -> DataFrame:
+        return self._stage(
+            "documents", lambda: op.documents_asof(self.cohort, self.gen2_main, self.cohort_identity, censor=self.censor)
+        )
 
     @cached_property
     def latest_documents(self) -> DataFrame:
-        latest = op.latest_documents(self.cohort, self.gen2_main, self.gen2_identity, censor=self.censor)
-        return self._stage("latest_documents", latest)
+        return self._stage("latest_documents", lambda: op.latest_of(self.documents))
 
     @cached_property
     def gen2_counts(self) -> DataFrame:
-        return op.query_counts_gen2(self.latest_documents, *self._gen2_tree())
+        return op.query_counts_gen2(self.latest_documents, *self._gen2_tree(), self.cohort_identity)
 
     @cached_property
     def bureau(self) -> DataFrame:
@@ -279,7 +337,7 @@ class FeatureJob:
     @cached_property
     def latest_report_normalised(self) -> DataFrame:
         return self._stage(
-            "latest_report_normalised", op.latest_report_normalised(self.cohort, self._before("reports", "report_create_time"), censor=self.censor)
+            "latest_report_normalised", lambda: op.latest_report_normalised(self.cohort, self._before("reports", "report_create_time"), censor=self.censor)
         )
 
     @cached_property
@@ -296,16 +354,15 @@ class FeatureJob:
 
     @cached_property
     def assembled(self) -> DataFrame:
-        self._write_shared()
-        return self._stage(
-            "assembled",
-            op.feature_assembly(
+        def assemble() -> DataFrame:
+            self._write_shared()
+            return op.feature_assembly(
                 self.cohort,
                 self.pay_ratios,
                 self.spend,
                 self.event_rates,
                 self.burst,
-                self.history,
+                self.cohort_history,
                 self.bureau,
                 self.xfd,
                 self.settlement,
@@ -314,12 +371,13 @@ class FeatureJob:
                 self.od_strict,
                 self.od_any,
                 self.last_loan,
-            ),
-        )
+            )
+
+        return self._stage("assembled", assemble)
 
     @cached_property
     def features(self) -> DataFrame:
-        return self._stage("features", op.derived_features(self.assembled, self.repay_outcomes))
+        return self._stage("features", lambda: op.derived_features(self.assembled, self.repay_outcomes))
 
     @cached_property
     def applications(self) -> DataFrame:
@@ -367,18 +425,54 @@ class FeatureJob:
         ``saveAsTable``). A written stage is read back where later ones use
         it, so nothing is computed twice.
         """
-        spark = self.inputs["credits"].sparkSession
+        self.check_inputs()
         out = {}
         for name in stages:
             df = getattr(self, name)
             if fmt == "table":
                 dest = f"{target}{name}"
                 df.write.mode("overwrite").saveAsTable(dest)
-                written = spark.table(dest)
+                written = self.spark.table(dest)
             else:
                 dest = f"{target.rstrip('/')}/{name}"
                 df.write.mode("overwrite").format(fmt).save(dest)
-                written = spark.read.schema(df.schema).format(fmt).load(dest)
+                written = self.spark.read.schema(df.schema).format(fmt).load(dest)
             self.__dict__[name] = written
             out[name] = dest
         return out
+
+    def publish(self, target: str, stages: tuple[str, ...] = PUBLISHED, fmt: str = "parquet", cleanup: bool = True) -> dict[str, str]:
+        """Write the stages of this run below ``target``, then make all of them visible at once.
+
+        Tables go to ``<target>/<run_id>/<stage>``; readers find them with
+        ``manifest.published``, which sees a run only when its last table is
+        written. A run of the same id that was ended before goes on after the
+        last table that it finished. At the end the run's scratch is deleted.
+        """
+        self.check_inputs()
+        folder = f"{target.rstrip('/')}/{self.run_id}"
+        done = Manifest(self.spark, folder, self.run_id, self._identity(), new=self._new_run)
+        for name in stages:
+            dest = done.finished.get(name)
+            if dest is None:
+                df, dest = getattr(self, name), f"{folder}/{name}"
+                df.write.mode("overwrite").format(fmt).save(dest)
+                done.add(name, dest)
+            self.__dict__[name] = self.spark.read.format(fmt).load(dest)
+        records = [{"run_id": self.run_id, "stage": n, "path": done.finished[n], "format": fmt, "params": self._identity()} for n in stages]
+        Records(self.spark, f"{target.rstrip('/')}/published").add(records)
+        if cleanup and self.materialize:
+            self.cleanup()
+        return {n: done.finished[n] for n in stages}
+
+    # -- input checks -----------------------------------------------------------
+
+    @cached_property
+    def parse_report(self) -> DataFrame:
+        """Values of the inputs that cannot be read (``sources.audit``)."""
+        return parse_report(self.inputs)
+
+    def check_inputs(self) -> None:
+        """Raise if a column has more unparsed values than ``params.max_unparsed`` (None: not checked)."""
+        if self.p.max_unparsed is not None:
+            check_parsed(self.parse_report, self.p.max_unparsed)

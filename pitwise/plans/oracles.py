@@ -589,5 +589,31 @@ def sql_for(query: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + final
 
 
+# Several censors a customer: one run per censor, for the customers that have it.
+CENSORS = (
+    ("1999-01-20 10:30:00", "true"),
+    ("1998-03-01 00:00:00", "CAST(substr(cust_ids, 18, 1) AS INTEGER) % 2 = 0"),
+    ("1996-02-29 12:00:00", "CAST(substr(cust_ids, 18, 1) AS INTEGER) % 3 = 1"),
+)
+
+
+def at_censors(query: str) -> str:
+    runs = []
+    for time, who in CENSORS:
+        run = sql_for(query).replace(C, f"TIMESTAMP '{time}'")
+        runs.append(f"SELECT *, TIMESTAMP '{time}' AS time_censor FROM ({run}) WHERE {who}")
+    return "\nUNION ALL\n".join(runs)
+
+
+PARSE_REPORT = """
+SELECT 'device_events' AS input, 'pay_time' AS "column", 'instant' AS kind, 'string' AS stored,
+  count(*) AS given, count(*) FILTER (event_id % 50 = 0) AS unparsed FROM events
+UNION ALL SELECT 'repayments', 'principal', 'money', 'string', count(*), count(*) FILTER (l_linenumber = 4) FROM lineitem
+UNION ALL SELECT 'repayments', 'apply_time', 'instant', 'string', count(*) FILTER (l_suppkey % 10 <> 4), count(*) FILTER (l_suppkey % 10 = 3) FROM lineitem
+UNION ALL SELECT 'overdue', 'stat_date', 'day8', 'int', count(*), count(*) FILTER (l_linenumber = 3) FROM lineitem
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {q: sql_for(q) for q in QUERY_CTE}
+    added = {f"{q}_at_censors": at_censors(q) for q in ("event_code_rates", "spend_summary", "credit_pay_ratios", "repay_outcome_rates")}
+    return {q: sql_for(q) for q in QUERY_CTE} | added | {"input_parse_report": PARSE_REPORT}

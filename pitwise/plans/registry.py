@@ -1,4 +1,6 @@
-"""Registered queries: every operator D1-D28 run on the test tables.
+"""Registered queries: every operator D1-D28 run on the test tables, and what
+the library adds to them (several censors a customer, the report of values
+that cannot be parsed).
 
 Each query takes ``(spark, sf_dir)``, builds the logical inputs from the
 tables under ``sf_dir`` (``sources.fixture``) and returns one stage of the
@@ -13,8 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitwise import operators as op
+from pitwise.operators import censors
 from pitwise.plans.job import FeatureJob, JobParams
 from pitwise.sources import fixture
+from pitwise.sources.audit import parse_report
+from pitwise.sources.inputs import Inputs
 
 FIXTURE_PARAMS = JobParams(
     censor=fixture.CENSOR,
@@ -88,5 +94,55 @@ def _query(stage: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+#: Censors of the queries at several censors, and of the last digit of a
+#: customer's id, which of them a customer has.
+CENSORS = ((fixture.CENSOR, "true"), ("1998-03-01 00:00:00", "{d} % 2 = 0"), ("1996-02-29 12:00:00", "{d} % 3 = 1"))
+
+
+def _at_censors(spark: SparkSession, sf_dir: str) -> tuple[Inputs, DataFrame, DataFrame]:
+    """Inputs, a cohort with one to three censors a customer, and the customers' accounts."""
+    inputs = fixture.fixture_inputs(spark, sf_dir)
+    ids = op.cohort_censor(inputs["credits"], fixture.CENSOR)
+    times = [F.when(F.expr(rule.format(d="cast(substr(cust_ids, 18, 1) as int)")), F.lit(t).cast("timestamp")) for t, rule in CENSORS]
+    cohort = ids.select("cust_ids", F.explode(F.array_compact(F.array(*times))).alias("time_censor"))
+    return inputs, cohort, op.account_link(ids, inputs["members"]).select("cust_ids", "acct_no")
+
+
+def event_code_rates_at_censors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs, cohort, accounts = _at_censors(spark, sf_dir)
+    return present(censors.event_code_rates_at(cohort, accounts, inputs["device_events"]))
+
+
+def _payments_at_censors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    inputs, cohort, accounts = _at_censors(spark, sf_dir)
+    return cohort, censors.payment_slots(cohort, accounts, inputs["orders"], inputs["order_lines"], amount_cap=fixture.AMOUNT_CAP)
+
+
+def spend_summary_at_censors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(censors.spend_summary_at(*_payments_at_censors(spark, sf_dir)))
+
+
+def credit_pay_ratios_at_censors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(censors.credit_pay_ratios_at(*_payments_at_censors(spark, sf_dir)))
+
+
+def repay_outcome_rates_at_censors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs, cohort, _ = _at_censors(spark, sf_dir)
+    return present(censors.repay_outcome_rates_at(cohort, inputs["loans"], inputs["repayments"]))
+
+
+def input_parse_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_report(fixture.text_inputs(spark, sf_dir))
+
+
+ADDED = (
+    event_code_rates_at_censors,
+    spend_summary_at_censors,
+    credit_pay_ratios_at_censors,
+    repay_outcome_rates_at_censors,
+    input_parse_report,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(stage) for name, stage in STAGES.items()}
+    return {name: _query(stage) for name, stage in STAGES.items()} | {q.__name__: q for q in ADDED}

@@ -34,6 +34,12 @@ class Inputs:
             self._cache[name] = conform(self._loaders[name](), SPECS[name])
         return self._cache[name]
 
+    def raw(self, name: str) -> DataFrame:
+        """Input ``name`` as it is stored."""
+        if name not in self._loaders:
+            raise KeyError(f"input {name!r} has no loader")
+        return self._loaders[name]()
+
     def before(self, name: str, column: str, censor: str | datetime | date | None) -> DataFrame:
         """Input ``name`` with a bound on the stored ``column`` that the scan can use.
 

@@ -34,7 +34,8 @@ def _money(df: DataFrame, name: str) -> Column:
     return c.cast(MONEY)
 
 
-def _typed(df: DataFrame, name: str, kind: str) -> Column:
+def typed(df: DataFrame, name: str, kind: str) -> Column:
+    """Stored column ``name`` as ``kind``; null where it does not parse."""
     if kind == "str":
         return F.col(name).cast("string")
     if kind == "instant":
@@ -59,7 +60,7 @@ def conform(df: DataFrame, spec: Spec) -> DataFrame:
     out = []
     for col_name, kind in spec.columns.items():
         actual = by_lower[col_name.lower()]
-        out.append(_typed(df, actual, kind).alias(col_name))
+        out.append(typed(df, actual, kind).alias(col_name))
     if spec.keep_extra:
         wanted = {c.lower() for c in spec.columns}
         out.extend(F.col(f.name) for f in df.schema.fields if f.name.lower() not in wanted)

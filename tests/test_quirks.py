@@ -447,11 +447,107 @@ def test_left_join_many_equals_left_join(spark):
     right_rows = [("hot", i, f"v{i % 7}") for i in range(500)] + [("hot", 0, "same")] * 500 + [("cold", 1, "x"), ("cold", 1, "x"), (None, 9, "n")]
     right = frame(spark, "k string, b int, c string", right_rows)
     want = sorted(map(tuple, left.join(right, ["k"], "left").collect()), key=str)
-    got_df = left_join_many(left, right, ["k"])
-    assert got_df.columns == ["k", "a", "b", "c"]
+    for heavy in (None, {}, {"hot": 7}, {"hot": 1200, "cold": 3}):
+        got_df = left_join_many(left, right, ["k"], heavy)
+        assert got_df.columns == ["k", "a", "b", "c"]
+        assert sorted(map(tuple, got_df.collect()), key=str) == want
+    distinct = right.distinct()
+    want = sorted(map(tuple, left.join(distinct, ["k"], "left").collect()), key=str)
+    got_df = left_join_many(left, distinct, ["k"], {"hot": 5}, place=F.xxhash64("k", "b", "c"))
     assert sorted(map(tuple, got_df.collect()), key=str) == want
 
 
+def test_heavy_keys_are_found_and_their_rows_are_dealt(spark):
+    from pitwise.functions.joins import heavy_keys, left_join_many
+
+    right = spark.range(40_000).select(F.when(F.col("id") % 4 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 999).cast("string"))).alias("k"), "id")
+    right = right.unionByName(spark.range(9000).select(F.lit(None).cast("string").alias("k"), "id"))
+    assert heavy_keys(right, "k", least=1000, share=1.0) == {"hot": 10}
+    assert set(heavy_keys(right, "k", least=1000, share=0.1)) == {"hot"}
+    assert heavy_keys(right, "k") == {} == heavy_keys(right.limit(0), "k", 1, 1.0)
+    left = frame(spark, "k string, a int", [("hot", 1), ("k1", 2), ("none", 3)])
+    joined = left_join_many(left, right, ["k"], {"hot": 10})
+    assert "SortMergeJoin" in (plan := joined._jdf.queryExecution().executedPlan().toString()) and plan.count("Range (") == 2
+    count = lambda df: dict(map(tuple, df.groupBy("k").count().collect()))
+    assert count(joined) == count(left.join(right, "k", "left")) == {"hot": 10_000, "k1": 31, "none": 1}
+
+
+def test_gen2_rows_of_tied_documents_coincide(spark):
+    # Three documents at one instant that share identity, summary and enquiry
+    # rows, against counting the distinct flattened rows.
+    import random
+
+    rng = random.Random(11)
+    t = datetime(2020, 6, 1)
+    s = lambda schema, rows: frame(spark, schema, rows)
+    customers = [f"c{i}" for i in range(40)]
+    docs = [(f"{c}d{k}", c) for i, c in enumerate(customers) for k in range(1 + i % 3 + (i % 7 == 0))]
+    pick = lambda most, n: [rng.randrange(n) for _ in range(rng.randrange(most + 1))]
+    main = s("id string, report_code string, create_time timestamp", [(d, "R", t) for d, _ in docs])
+    pqo = s("id string, doc_id string", [("q" + d, d) for d, _ in docs if rng.random() < 0.8])
+    units = [(f"s{d}{k}", "q" + d, k) for d, _ in docs for k in pick(3, 3)]
+    pqo_pc05 = s("id string, pqo_id string", [(u, q) for u, q, _ in units])
+    pc05a = s("id string, pqo_pc05_id string, pc05aq01 string, pc05ar01 timestamp, pc05ad01 string, pc05ai01 string", [])
+    pc05b = s(
+        "id string, pqo_pc05_id string, pc05bs01 bigint, pc05bs02 bigint, pc05bs03 bigint, pc05bs04 bigint, pc05bs05 bigint, pc05bs06 bigint",
+        [("b", u, 1, 1, 1, 1, 4 + k, 9 - k) for u, _, k in units if k < 2],
+    )
+    poq = s("id string, doc_id string", [("p" + d, d) for d, _ in docs if rng.random() < 0.9])
+    ph01 = s(
+        "poq_id string, ph010r01 timestamp, ph010d01 string, ph010q02 string, ph010q03 string",
+        [("p" + d, datetime(2020, 5, 1 + k) if k else None, "m", f"org{k % 2}", "23x"[k % 3]) for d, _ in docs for k in pick(5, 6)],
+    )
+    prh = s("id string, doc_id string", [("h" + d, d) for d, _ in docs])
+    pa01 = s("id string, prh_id string", [("u" + d, "h" + d) for d, _ in docs])
+    pa01b = s(
+        "prh_pa01_id string, pa01bq01 string, pa01bd01 string, pa01bi01 string, pa01bi02 string, pa01bd02 string",
+        [("u" + d, f"name{k}", "10", c, "q", "01") for d, c in docs for k in [0, *pick(3, 4)]] + [("u" + docs[0][0], "n", "10", "other", "q", "01")],
+    )
+    cohort = frame(spark, COHORT, [(c, CENSOR) for c in customers])
+    tree = (pqo, pqo_pc05, pc05a, pc05b, poq, ph01)
+    own = op.cohort_identity(cohort, prh, pa01, pa01b)
+    assert own.where("id_card_num = 'other'").count() == 0
+    got = {r.cust_ids: r for r in op.query_counts_gen2(op.latest_documents(cohort, main, own), *tree, own).collect()}
+    flat = op.report_flatten(main, *tree, op.report_identity(prh, pa01, pa01b)).collect()
+    assert set(got) == set(customers)
+    for c, r in got.items():
+        rows = [f for f in flat if f.id_card_num == c]
+        days = [(t - f.query_date).days if f.query_date else None for f in rows]
+        near = [f for f, d in zip(rows, days, strict=True) if d is not None and d <= 90]
+        assert r.query_cnt_3m_2 == len(near), c
+        assert r.query_loan_cnt_12m_2 == sum(f.query_reason == "2" for f in near)
+        assert r.query_card_cnt_3m_2 == sum(f.query_reason == "3" for f in near)
+        known = [f.query_loanmanage_24m for f in rows if f.query_loanmanage_24m is not None]
+        assert r.query_loanmanage_24m_2 == max(known, default=None)
+    plan = op.query_counts_gen2(op.latest_documents(cohort, main, own), *tree, own)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+
+
+def test_cohort_selects_the_facts(spark):
+    # The cohort is met by the loans, and these by the facts: in the plan, the
+    # cohort's scan lies below the join with the fact table.
+    from pitwise.plans.registry import fixture_job
+
+    job = fixture_job(spark, "/root/testdata/sf0.001")
+    for name, facts in (("repaid", "l_extendedprice"), ("od_strict", "l_quantity"), ("od_any", "l_quantity"), ("cohort_outcomes", "l_shipdate")):
+        plan = getattr(job, name)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+        cohort = max(depth(x) for x in plan if "Relation" in x and "o_custkey" in x)
+        assert cohort > min(depth(x) for x in plan if "Relation" in x and facts in x), name
+
+
+def test_distinct_counts_without_expand(spark):
+    from pitwise.plans.registry import fixture_job
+
+    job = fixture_job(spark, "/root/testdata/sf0.001")
+    for name in ("device_peak", "settlement"):
+        assert "Expand" not in job.__getattribute__(name)._jdf.queryExecution().executedPlan().toString()
+    plan = job.settlement._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation" in x and "l_tax" in x for x in plan.splitlines()) == 1
+    flat = job.report_flat._jdf.queryExecution().optimizedPlan().toString()
+    assert flat.count("Relation [") == 10
+
+
 def test_gen2_single_document_count_factorises(spark):
     # One latest document with two identity rows for the customer and two
     # summary rows: each distinct enquiry appears in 2 x 2 flattened rows.
