@@ -212,12 +212,10 @@ class Search:
         in0, in1, out0, out1 = self.t["bounds"][start]
         middle = start + 1 + (end - start - 1) // 2
         sides = ((start + 1, middle, np.maximum(in0 - d, d - in1)), (middle, end, np.maximum(out0 - d, d - out1)))
-        inner_first = sides[0][2] <= sides[1][2]
-        for turn in (True, False):
-            for side, first in zip(sides, (inner_first, ~inner_first), strict=True):
-                now = first if turn else ~first
-                now = now & self.near(active, side[2])
-                self.visit(active[now], side[0], side[1])
+        # The side that is nearer to most of the queries goes first.
+        for side in sides if 2 * np.count_nonzero(sides[0][2] <= sides[1][2]) >= len(active) else sides[::-1]:
+            now = self.near(active, side[2])
+            self.visit(active[now], side[0], side[1])
 
     def run(self) -> None:
         self.visit(np.arange(len(self.q["rows"])), 0, len(self.t["rows"]))
