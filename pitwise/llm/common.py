@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,13 +32,18 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="pitwise-llm-")
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+#: Folders written since the beginning of each open ``scratch``, the innermost last.
+_open: list[list[str]] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
 
@@ -45,10 +52,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/pitwise-llm/{name}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """The folders that ``staged`` writes meanwhile; those still in the list at the end are deleted.
+
+    For a step whose result is written itself: nothing then reads what the
+    step has staged. What the caller takes out of the list stays.
+    """
+    _open.append([])
+    try:
+        yield _open[-1]
+    finally:
+        for path in _open.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once per context.
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pitwise.llm.common import staged, word_count
+from pitwise.llm.common import OWN, staged, word_count
 
 
 def uniform(*cols: Column) -> Column:
@@ -242,7 +242,9 @@ def mix(
     ranked last; null ids take part. An empty table gives no row. The result
     depends on the rows' values only, not on partitions or task order.
     Blocks have about ``block_docs`` documents, whatever a source's share;
-    sources are named collections, so one row per source is taken as small.
+    sources are named collections: ``targets`` orders all of them in one
+    window, a row per source. A text of any length is one row; only its number
+    of words goes on.
     """
     same = _sizes(docs, id_col, text_col, source_col).groupBy("doc_id", "source", "size").agg(F.count("*").alias("copies"))
     rows = same.select("doc_id", "source", "size", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
@@ -318,19 +320,37 @@ def mix(
     )
 
 
-def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """``docs`` as often as the mix takes them, with ``shard`` and ``place``.
+def mixed_documents(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    shard_col: str = "shard",
+    place_col: str = "place",
+    **options,
+) -> DataFrame:
+    """``docs`` as often as the mix takes them, with ``shard_col`` and ``place_col``.
 
-    Sorting by ``shard`` and ``place`` gives the shuffled output shards. Rows
-    of equal id, source and size take their turns in the order of their texts.
+    Sorting by shard and place gives the shuffled output shards. Rows of equal
+    id, source and size take their turns in the order of their texts. Columns
+    of ``docs`` of the two names are replaced; all others come along.
     """
     taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options).where("times > 0")
-    taken = taken.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__n"), F.col("copy").alias("__k"), "shards")
-    turn = W.partitionBy(id_col, source_col, "__size").orderBy(text_col)
-    rows = docs.drop("shard", "place").withColumn("__size", word_count(F.col(text_col))).withColumn("__copy", F.row_number().over(turn))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source")) & (F.col("__size") == F.col("__n")) & (F.col("__copy") == F.col("__k"))
+    taken = taken.select(
+        F.col("doc_id").alias(f"{OWN}id"), F.col("source").alias(f"{OWN}source"), F.col("size").alias(f"{OWN}n"), F.col("copy").alias(f"{OWN}k"),
+        F.transform("shards", lambda s: F.struct(s["shard"].alias(shard_col), s["place"].alias(place_col))).alias(f"{OWN}shards"),
+    )
+    turn = W.partitionBy(id_col, source_col, f"{OWN}size").orderBy(text_col)
+    rows = docs.drop(shard_col, place_col).withColumn(f"{OWN}size", word_count(F.col(text_col))).withColumn(f"{OWN}copy", F.row_number().over(turn))
+    same = (
+        F.col(id_col).eqNullSafe(F.col(f"{OWN}id"))
+        & F.col(source_col).eqNullSafe(F.col(f"{OWN}source"))
+        & (F.col(f"{OWN}size") == F.col(f"{OWN}n"))
+        & (F.col(f"{OWN}copy") == F.col(f"{OWN}k"))
+    )
     rows = rows.join(taken, same)
-    return rows.select(*[F.col(c) for c in docs.columns if c not in ("shard", "place")], F.inline("shards"))
+    return rows.select(*[F.col(c) for c in docs.columns if c not in (shard_col, place_col)], F.inline(f"{OWN}shards"))
 
 
 def digest(mixed: DataFrame) -> DataFrame:

@@ -125,6 +125,7 @@ def pack_documents(
     width: int = 1024,
     block_docs: int = 2048,
     keep_ids: bool = False,
+    in_order: bool = False,
 ) -> DataFrame:
     """One row per piece of a document with its sequence and place there.
 
@@ -133,7 +134,9 @@ def pack_documents(
     block by block, so that a block's sequences hold ``capacity`` tokens but
     for less than one sequence's worth. A block has about ``block_docs``
     documents, however many copies or rows of one source there are: rows are
-    dealt by their own number, not by any value. ``keep_ids`` adds the pieces'
+    dealt by their own number, not by any value; ``in_order``, blocks are runs
+    of rows as they are read, so that documents shuffled before stay together
+    (the last block of each task may be short). ``keep_ids`` adds the pieces'
     ids (little-endian, 2 bytes each if the vocabulary allows it, else 4).
 
     A null or empty text is a document of one token, the end; null ids come
@@ -142,9 +145,16 @@ def pack_documents(
     only, too, is encoded and cut in one task. Columns of ``docs`` beside the
     two named are not read.
     """
-    blocks = max(1, -(-docs.count() // block_docs))
+    number = F.monotonically_increasing_id()
+    if in_order:
+        # The task in the upper bits, the row within it in the lower 33.
+        task, row = F.shiftright(number, 33), number.bitwiseAND(F.lit((1 << 33) - 1))
+        # Two runs that share a number are one block of twice the size.
+        block = F.pmod(F.xxhash64(task, F.floor(row / block_docs)), F.lit(1 << 31))
+    else:
+        block = F.pmod(F.xxhash64(number), F.lit(max(1, -(-docs.count() // block_docs))))
     rows = docs.select(
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).alias("block"),
+        block.alias("block"),
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )

@@ -257,20 +257,32 @@ def judge(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     of its words in repeated windows; the learned list is asked about the
     rest. ``labels`` has ``doc_id`` and ``quality`` (0: reject, null: not
     used); a document that two labels name counts twice. Rows with a null id
-    are judged, but can have no label. An empty table gives an empty result.
+    are judged, but can have no label. Equal rows are judged alike, one by one;
+    of terms or rules that are equally good, the first in the order of the
+    features and bounds is taken. A text of any length is counted as a whole,
+    in arrays of its words and lines. An empty table gives an empty result.
     The counts are written to the shared folder, so texts are read once.
     """
     stats = _staged_stats(docs, id_col, text_col)
     return decided(stats, learn(stats, labels), min_words=min_words)
 
 
-def filtered(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50) -> DataFrame:
+def filtered(
+    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, most_labels: int = 65_536
+) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns.
 
-    The counts are taken twice, once to learn and once beside the text, so
-    that no text is shuffled.
+    The rules are those of ``judge``, learned from at most ``most_labels``
+    labels, the first by a hash of their id; their ids are broadcast (8 bytes
+    each), so only labelled texts are counted to learn. All texts are then
+    counted once, beside the text, and none is shuffled. Rows with a null id
+    and repeated rows are judged one by one; an empty table stays empty.
     """
-    rules = learn(_staged_stats(docs, id_col, text_col), labels)
+    known = labels.where("doc_id is not null and quality is not null").select("doc_id", "quality")
+    used = staged(known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most_labels), "labels-used")
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    own = own.join(F.broadcast(used.select("doc_id").distinct()), "doc_id", "left_semi")
+    rules = learn(_staged_stats(own, "doc_id", "text"), used)
     stats = with_features(text_stats(docs, text_col=text_col, keep=[F.col(c) for c in docs.columns]))
     return decided(stats, rules, min_words=min_words).where("kept").select("keep.*")
 

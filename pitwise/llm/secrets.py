@@ -128,16 +128,17 @@ def find_secrets(
     rules: tuple[Rule, ...] = RULES,
     *,
     text_col: str = "text",
+    into: str = "secrets",
 ) -> tuple[DataFrame, DataFrame]:
-    """``(found, new)``: ``docs`` with ``secrets``, and the rows to append to the ledger.
+    """``(found, new)``: ``docs`` with ``into``, and the rows to append to the ledger.
 
-    ``secrets`` is an array of ``kind, start, end`` (code points, end
+    ``into`` is an array of ``kind, start, end`` (code points, end
     exclusive) over all ``rules``, by start and then in the order of the
     rules. Every row of ``docs`` comes back once, with all its columns: a null
     or empty text has an empty array, copies share what was found in their
     blob, and an empty table gives an empty result. ``new`` is written to the
-    shared folder, so the scan runs once. Column ``secrets`` of ``docs`` is
-    replaced.
+    shared folder, so the scan runs once. A column of ``docs`` of the name
+    ``into`` is replaced.
     """
     new = staged(scan_blobs(docs, ledger, rules, text_col=text_col), "secret-ledger")
     known = new if ledger is None else ledger.select(*new.columns).unionByName(new)
@@ -150,8 +151,8 @@ def find_secrets(
     by_blob = by_blob.select(F.col("blob").alias("__blob"), F.transform("s", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("__secrets"))
     blob = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
     empty = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    found = docs.drop("secrets").withColumn("__blob", blob).join(by_blob, "__blob", "left")
-    return found.withColumn("secrets", F.coalesce("__secrets", empty)).drop("__blob", "__secrets"), new
+    found = docs.drop(into).withColumn("__blob", blob).join(by_blob, "__blob", "left")
+    return found.withColumn(into, F.coalesce("__secrets", empty)).drop("__blob", "__secrets"), new
 
 
 def find_with_ledger(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES, *, text_col: str = "text") -> DataFrame:
