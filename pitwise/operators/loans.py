@@ -31,6 +31,22 @@ def valid_loans(loans: DataFrame) -> DataFrame:
 # --- D10 -------------------------------------------------------------------
 
 
+def history_loans(loans: DataFrame) -> DataFrame:
+    """``cust_ids, loan_no, loan_time, x``: the valid loans with a number; ``x`` is 1.0 for the consumer-loan product."""
+    return valid_loans(loans).filter(F.col("loan_no").isNotNull()).select(
+        "cust_ids",
+        "loan_no",
+        "loan_time",
+        F.when(is_xfd(), F.lit(1.0)).otherwise(F.lit(0.0)).alias("x"),
+    )
+
+
+def successful(repayments: DataFrame) -> DataFrame:
+    return repayments.filter(
+        F.col("loan_no").isNotNull() & F.col("apply_time").isNotNull() & (F.col("status") == codes.REPAY_OK)
+    )
+
+
 def loan_outcomes(
     loans: DataFrame,
     overdue: DataFrame,
@@ -44,29 +60,18 @@ def loan_outcomes(
     loans' numbers the overdue records and repayments, before anything is
     aggregated. These loans are read three times; ``stage`` may write them.
     """
-    base = valid_loans(loans).filter(F.col("loan_no").isNotNull()).select(
-        "cust_ids",
-        "loan_no",
-        "loan_time",
-        F.when(is_xfd(), F.lit(1.0)).otherwise(F.lit(0.0)).alias("x"),
-    )
+    base = history_loans(loans)
     if cohort is not None:
         base = stage(base.join(cohort.select("cust_ids"), "cust_ids", "left_semi"))
         numbers = base.select("loan_no").distinct()
         overdue = overdue.join(numbers, "loan_no", "left_semi")
         repayments = repayments.join(numbers, "loan_no", "left_semi")
     od = overdue.groupBy("loan_no").agg(F.min("stat_date").alias("od_day"))
-    paid = (
-        repayments.filter(
-            F.col("loan_no").isNotNull() & F.col("apply_time").isNotNull() & (F.col("status") == codes.REPAY_OK)
-        )
-        .groupBy("loan_no")
-        .agg(F.min("apply_time").alias("pt"))
-    )
+    paid = successful(repayments).groupBy("loan_no").agg(F.min("apply_time").alias("pt"))
     return base.join(od, "loan_no", "left").join(paid, "loan_no", "left")
 
 
-def _history_points(d: DataFrame, keys: list[str]) -> DataFrame:
+def history_points(d: DataFrame, keys: list[str]) -> DataFrame:
     """Edges and query points of the loan-history sweep.
 
     For a later loan L at time t0, an earlier loan L' (time t1) counts as
@@ -119,7 +124,8 @@ def _history_points(d: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-_HISTORY = ["d_any", "d_good", "d_bad", "d_xgood", "d_xbad"]
+#: What a pair of loans adds to: any, good and bad earlier loans, and those of the consumer-loan product.
+HISTORY = ["d_any", "d_good", "d_bad", "d_xgood", "d_xbad"]
 
 
 def loan_history_counts(outcomes: DataFrame, bucket_days: int = 1) -> DataFrame:
@@ -133,22 +139,34 @@ def loan_history_counts(outcomes: DataFrame, bucket_days: int = 1) -> DataFrame:
     share a loan number are excluded by running the same sweep over the
     rare repeated loan numbers only and subtracting.
     """
-    d = outcomes
-    totals = coverage_totals(_history_points(d, ["cust_ids"]), ["cust_ids"], _HISTORY, bucket_days)
-    repeated = d.groupBy("cust_ids", "loan_no").count().filter(F.col("count") > 1).drop("count")
+    return history_columns(history_totals(outcomes, bucket_days))
+
+
+def history_totals(outcomes: DataFrame, bucket_days: int = 1) -> DataFrame:
+    """``cust_ids`` and the sums of ``HISTORY`` over the customer's pairs of loans, 0.0 without any."""
+    totals = coverage_totals(history_points(outcomes, ["cust_ids"]), ["cust_ids"], HISTORY, bucket_days)
+    repeated = outcomes.groupBy("cust_ids", "loan_no").count().filter(F.col("count") > 1).drop("count")
     same = coverage_totals(
-        _history_points(d.join(repeated, ["cust_ids", "loan_no"], "left_semi"), ["cust_ids", "loan_no"]),
+        history_points(outcomes.join(repeated, ["cust_ids", "loan_no"], "left_semi"), ["cust_ids", "loan_no"]),
         ["cust_ids", "loan_no"],
-        _HISTORY,
+        HISTORY,
         bucket_days,
     )
-    same = same.groupBy("cust_ids").agg(*[F.sum(m).alias(f"same_{m}") for m in _HISTORY])
-    net = totals.join(same, "cust_ids", "left").select(
+    return less_same_number(totals, same)
+
+
+def less_same_number(totals: DataFrame, same: DataFrame) -> DataFrame:
+    """``totals`` without the pairs of rows that share a loan number (``same``, by customer and number)."""
+    same = same.groupBy("cust_ids").agg(*[F.sum(m).alias(f"same_{m}") for m in HISTORY])
+    return totals.join(same, "cust_ids", "left").select(
         "cust_ids",
-        *[(F.col(m) - F.coalesce(F.col(f"same_{m}"), F.lit(0.0))).alias(m) for m in _HISTORY],
+        *[(F.col(m) - F.coalesce(F.col(f"same_{m}"), F.lit(0.0))).alias(m) for m in HISTORY],
     )
-    net = net.filter(F.col("d_any") > 0)
-    return net.select(
+
+
+def history_columns(totals: DataFrame) -> DataFrame:
+    """The columns of D10, of the customers with at least one pair."""
+    return totals.filter(F.col("d_any") > 0).select(
         "cust_ids",
         F.col("d_good").alias("all_good_cnt"),
         F.col("d_bad").alias("all_bad_cnt"),

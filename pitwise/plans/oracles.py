@@ -616,4 +616,5 @@ UNION ALL SELECT 'overdue', 'stat_date', 'day8', 'int', count(*), count(*) FILTE
 
 def oracle_sql() -> dict[str, str]:
     added = {f"{q}_at_censors": at_censors(q) for q in ("event_code_rates", "spend_summary", "credit_pay_ratios", "repay_outcome_rates")}
-    return {q: sql_for(q) for q in QUERY_CTE} | added | {"input_parse_report": PARSE_REPORT}
+    added |= {"loan_history_by_days": sql_for("loan_history_counts"), "input_parse_report": PARSE_REPORT}
+    return {q: sql_for(q) for q in QUERY_CTE} | added

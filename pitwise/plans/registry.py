@@ -9,7 +9,9 @@ feature job over the whole tables. Decimal columns are presented as double.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,10 @@ from pyspark.sql import types as T
 
 from pitwise import operators as op
 from pitwise.operators import censors
+from pitwise.operators.history import Days
+from pitwise.plans.history import LoanHistory
 from pitwise.plans.job import FeatureJob, JobParams
+from pitwise.plans.session import ensure_checkpoint_dir
 from pitwise.sources import fixture
 from pitwise.sources.audit import parse_report
 from pitwise.sources.inputs import Inputs
@@ -135,7 +140,22 @@ def input_parse_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_report(fixture.text_inputs(spark, sf_dir))
 
 
+#: The days of the incremental loan history are added up to these.
+HISTORY_DAYS = (date(1995, 6, 1), date(1996, 8, 17), date(2100, 1, 1))
+
+
+def loan_history_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D10 from a history to which days are added in three runs."""
+    inputs = fixture.fixture_inputs(spark, sf_dir)
+    days = Days(inputs["loans"], inputs["overdue"], inputs["repayments"])
+    history = LoanHistory(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/pitwise/history-{uuid.uuid4().hex}")
+    for until in HISTORY_DAYS:
+        history.add(days, until)
+    return present(history.counts())
+
+
 ADDED = (
+    loan_history_by_days,
     event_code_rates_at_censors,
     spend_summary_at_censors,
     credit_pay_ratios_at_censors,
