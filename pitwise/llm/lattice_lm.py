@@ -207,7 +207,11 @@ def score_documents(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_
     A null or empty text is one token, the end. A null id counts as the empty
     text in the choice of training documents. Repeated rows are scored and
     counted as so many documents. Without any training document all counts are
-    0 and every score comes from the smoothing. An empty table gives no row.
+    0 and every score comes from the smoothing. An empty table gives no row. A
+    word that holds the mark that begins words (U+2581) is spelled with it like
+    with any other character, so it may use pieces that begin words inside. A
+    text of any length is counted as a whole; a word's cost grows with its
+    length times that of the longest piece. Other columns are not read.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

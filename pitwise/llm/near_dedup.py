@@ -257,7 +257,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     their component is their own id. A row with a null id takes part and gets
     its component's smallest id, null if there is none, and is not kept.
     Repeated rows are all in one class, and all kept if they have the
-    smallest id. An empty table gives no row.
+    smallest id. An empty table gives no row. A text of any length is signed
+    as a whole in one task; its set is one row. Other columns are not read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))

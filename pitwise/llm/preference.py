@@ -78,7 +78,15 @@ def format_pairs(pairs: DataFrame, *, id_col: str = "pair_id", chosen_col: str =
     )
 
 
-def swapped_replies(turns: DataFrame, *, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+def swapped_replies(
+    turns: DataFrame,
+    *,
+    id_col: str = "conv_id",
+    turn_col: str = "turn",
+    role_col: str = "role",
+    text_col: str = "text",
+    repeated: bool = False,
+) -> DataFrame:
     """``pair_id, chosen, rejected`` for every conversation of ``turns``.
 
     Chosen is the conversation up to its last assistant turn. Rejected has in
@@ -86,14 +94,15 @@ def swapped_replies(turns: DataFrame, *, id_col: str = "conv_id", turn_col: str
     differs in the lowest bit, or nothing if there is none; ids need not be
     dense. A conversation without an assistant turn is paired with itself.
 
-    Turns are ordered by number, then role and text, nulls first; equal rows
-    of a conversation count once, so any number of them combine before the
-    shuffle. A row without a conversation id is in no conversation. An empty
+    Turns are ordered by number, then role and text, nulls first. Equal rows of
+    a conversation count once, so any number of them combine before the
+    shuffle; with ``repeated`` they are turns as often as they come. A
+    conversation is one row, its turns have to fit into a task. A row without a conversation id is in no conversation. An empty
     table gives no row.
     """
     turn = F.struct(F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
     by_id = turns.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("pair_id"))
-    whole = by_id.agg(F.array_sort(F.collect_set(turn)).alias("turns"))
+    whole = by_id.agg(F.array_sort((F.collect_list if repeated else F.collect_set)(turn)).alias("turns"))
     plain = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
     whole = whole.select("pair_id", plain.cast(TURNS).alias("turns"))
     places = F.filter(F.sequence(F.lit(1), F.size("turns")), lambda i: F.get("turns", i - 1)["role"] == "assistant")

@@ -288,4 +288,5 @@ def filtered(
 
 
 def digest(judged: DataFrame) -> DataFrame:
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *[F.col(c).cast("long").alias(c) for c in counts], "base_failed", "kept", "rule")

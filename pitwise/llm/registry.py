@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pitwise.llm import (
     four_russians,
@@ -22,7 +23,7 @@ from pitwise.llm import (
     token_counts,
     vantage,
 )
-from pitwise.llm.common import ship, table, tokenizer_path
+from pitwise.llm.common import ship, table, tokenizer_path, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +87,26 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
 
 
+def base_quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What operator 5 counts before any rule is learned."""
+    docs = table(spark, sf_dir, "documents")
+    stats = quality.with_features(quality.text_stats(docs, keep=[docs["doc_id"]]))
+    return quality.digest(quality.decided(stats.withColumn("doc_id", F.col("keep.doc_id")), [])).drop("kept", "rule")
+
+
+def base_unigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base columns of operator 6, to six places."""
+    scored = lattice_lm.score_documents(table(spark, sf_dir, "documents"), tokenizer_path(PIECES))
+    return scored.drop("score").withColumn("base_score", F.round("base_score", 6))
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7's sources with their targets, to three places."""
+    sizes = table(spark, sf_dir, "documents").select("source", word_count(F.col("text")).alias("size"))
+    totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
+    return mixing.targets(totals).withColumn("target", F.round("target", 3))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -109,12 +130,15 @@ def queries() -> dict[str, Query]:
         op11_pivotal_grams,
         op12_four_russians,
         op13_line_dedup,
+        base_quality_counts,
+        base_unigram_scores,
+        mix_targets,
     ]
     return {q.__name__: _shipped(q) for q in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    """Of the others, the tests hold the results against brute force."""
+    """Of the others, the tests hold the results against brute force; their base columns have queries of their own."""
     return {
         "op2_secret_ledger": sql.SECRETS,
         "op3_min_max_hash": sql.NEAR_DUPLICATES,
@@ -123,4 +147,7 @@ def oracle_sql() -> dict[str, str]:
         "op11_pivotal_grams": sql.SPELLING,
         "op12_four_russians": sql.HARD_NEGATIVES,
         "op13_line_dedup": sql.LINES,
+        "base_quality_counts": sql.QUALITY_COUNTS,
+        "base_unigram_scores": sql.UNIGRAM_SCORES,
+        "mix_targets": sql.MIX_TARGETS,
     }

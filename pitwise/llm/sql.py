@@ -127,11 +127,12 @@ FROM ends e LEFT JOIN joined c ON c.id = e.id AND c.side = 'c' LEFT JOIN joined
 
 #: Operator 11. CRC-32 by its table, made from the polynomial; near words by
 #: the strings that are left when one letter is deleted.
-SPELLING = """
-WITH crc AS (
+_CRC_TABLE = """
   SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
   FROM range(256) r(i)
-), runs AS (
+"""
+SPELLING = """
+WITH crc AS (""" + _CRC_TABLE + """), runs AS (
   SELECT doc_id, run, count(*) AS n FROM (
     SELECT doc_id, unnest(regexp_extract_all(
       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{C0}-\\x{FF}]+')) AS run FROM documents)
@@ -212,3 +213,80 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
 FROM kept GROUP BY r, doc_id
 """
+
+#: Operator 5, base columns: places in 3-word windows that are found twice.
+QUALITY_COUNTS = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), worded AS (
+  SELECT r, doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM texts
+), windows AS (
+  SELECT r, i, w[i:i + 2] AS three FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM worded WHERE len(w) >= 3)
+), twice AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, three) AS n FROM windows) WHERE n > 1
+), repeated AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY r
+), counts AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM worded LEFT JOIN repeated USING (r)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts
+"""
+
+#: Operator 6, base columns: word counts of the training documents.
+UNIGRAM_SCORES = """
+WITH crc AS (""" + _CRC_TABLE + """), texts AS (
+  SELECT row_number() OVER () AS r, doc_id, xor(list_reduce(
+      list_prepend(4294967295, list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda c: CAST(unicode(c) AS BIGINT))),
+      lambda h, b: xor(h >> 8, t[(xor(h, b) & 255) + 1])), 4294967295) % 5 = 1 AS held_out,
+    list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+      lambda w: w <> '') AS w
+  FROM documents, crc
+), tokens AS (
+  SELECT r, held_out, unnest(w) AS word, 0 AS is_end FROM texts UNION ALL SELECT r, held_out, '', 1 FROM texts
+), counts AS (
+  SELECT word, is_end, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY word, is_end
+), sums AS (
+  SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS n, count(*) AS v FROM counts
+), scored AS (
+  SELECT r, count(*) AS n_tokens, count(c) AS n_known, sum(log10((coalesce(c, 0) + 0.5) / (s.n + 0.5 * (s.v + 1)))) AS base
+  FROM tokens t LEFT JOIN counts k ON k.word = t.word AND k.is_end = t.is_end CROSS JOIN sums s GROUP BY r
+)
+SELECT doc_id, held_out, n_tokens, n_known, (SELECT n FROM sums) AS train_tokens, round(base, 6) AS base_score
+FROM texts JOIN scored USING (r)
+"""
+
+#: Operator 7, targets: sources that reach their cap are set aside, the rest
+#: is shared out again, until none does.
+MIX_TARGETS = """
+WITH RECURSIVE sizes AS (
+  SELECT source, CAST(sum(len(list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))) AS BIGINT) AS source_size,
+    count(*) AS docs
+  FROM documents GROUP BY source
+), weighed AS (
+  SELECT *, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight,
+    row_number() OVER (ORDER BY source NULLS LAST) AS k FROM sizes
+), rounds AS (
+  SELECT 0 AS round, CAST([] AS BIGINT[]) AS full_ones
+  UNION ALL
+  SELECT round + 1, list_concat(full_ones, over) FROM (
+    SELECT r.round, r.full_ones, (
+      SELECT coalesce(list(w.k), []) FROM weighed w WHERE NOT list_contains(r.full_ones, w.k)
+        AND w.weight * (
+          (SELECT 1.5 * sum(source_size) FROM weighed) - (SELECT coalesce(sum(2.0 * f.source_size), 0) FROM weighed f WHERE list_contains(r.full_ones, f.k)))
+          / (SELECT sum(o.weight) FROM weighed o WHERE NOT list_contains(r.full_ones, o.k)) >= 2.0 * w.source_size) AS over
+    FROM rounds r) WHERE len(over) > 0
+), ended AS (
+  SELECT full_ones FROM rounds ORDER BY round DESC LIMIT 1
+), rest AS (
+  SELECT 1.5 * sum(source_size) - coalesce(sum(2.0 * source_size) FILTER (list_contains(full_ones, k)), 0) AS left_over,
+    sum(weight) FILTER (NOT list_contains(full_ones, k)) AS weights
+  FROM weighed, ended
+)
+SELECT source, source_size, docs, round(CAST(CASE WHEN list_contains(full_ones, k) THEN 2.0 * source_size ELSE weight * left_over / weights END AS DOUBLE), 3) AS target
+FROM weighed, ended, rest
+"""

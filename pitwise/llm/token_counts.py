@@ -33,7 +33,8 @@ def count_tokens(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col
 
     One narrow pass: no shuffle, one row out per row in, so repeated rows and
     null ids come through as they are. A null or empty text has 0 bytes and 0
-    tokens and is not over the limit.
+    tokens and is not over the limit; an empty table gives no row. A text of any
+    length is counted as a whole. Other columns are not read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     counted = docs.select(

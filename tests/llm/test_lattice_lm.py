@@ -81,3 +81,18 @@ def test_piece_scores_sum_to_one():
     lattice = lattice_lm.Lattice(PATH, {i: i % 5 for i in [*plain.values(), *bytes_]}, 9)
     total = sum(math.exp(x) for x in [*lattice.score.values(), *lattice.byte, lattice.end])
     assert math.isclose(total, 1.0, rel_tol=1e-9)
+
+
+def test_words_with_the_mark_clashing_columns_and_long_texts(spark):
+    from pyspark.sql import functions as F
+
+    mark = lattice_lm.MARK
+    rows = [(i, f"the {mark} a{mark}b {mark}{mark} house") for i in range(6)] + [(10, "the " * 100_000 + "x" * 3_000), (11, mark)]
+    df = docs_frame(spark, rows).withColumns({c: F.lit("x") for c in ("word", "n", "train", "base", "log10", "row", "known")})
+    out = lattice_lm.score_documents(df, PATH).collect()
+    check(rows, out)
+    plain, _ = lattice_lm.pieces_of(PATH)
+    lattice = lattice_lm.Lattice(PATH, {i: 7 * i % 91 for i in plain.values()}, 5)
+    for word in (f"a{mark}the", mark):
+        spelled = math.log(sum(math.exp(x) for x in segmentations(mark + word, lattice.score)))
+        assert math.isclose(lattice.word(word), spelled, rel_tol=1e-12)

@@ -85,3 +85,10 @@ def test_one_permutation_gives_two_unbiased_agreements():
         agree.append((s[0] == s[1]).mean())
     assert abs(np.mean(agree) - 0.6) < 0.02
     assert s.shape[1] == 2 * near_dedup.PERMUTATIONS
+
+
+def test_very_long_texts(spark):
+    words = [f"w{i}" for i in range(250_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-50])), (3, "a " * 400_000), (4, "a " * 300_000), (5, "x" * 1_000_000)]
+    got = {i: (r.n_shingles, r.component_id) for i, r in found(docs_frame(spark, rows), 5).items()}
+    assert got == {1: (249_996, 1), 2: (249_946, 1), 3: (1, 3), 4: (1, 3), 5: (1, 5)}

@@ -95,3 +95,11 @@ def test_query_equals_its_sql(spark):
     assert sorted(map(tuple, out.collect())) == sorted(res.fetchall())
     nodes = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in nodes and "Arrow" not in nodes
+
+
+def test_repeated_turns_count_once_or_as_often_as_they_come(spark):
+    rows = [(1, None, "user", "ok")] * 2 + [(1, 2, "assistant", "yes"), (0, 1, "assistant", "no")]
+    df = spark.createDataFrame(rows, TURN)
+    size = lambda d: {r.pair_id: len(r.chosen) for r in d.collect()}
+    assert size(preference.swapped_replies(df)) == {0: 1, 1: 2}
+    assert size(preference.swapped_replies(df, repeated=True)) == {0: 1, 1: 3}
