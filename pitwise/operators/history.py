@@ -10,6 +10,7 @@ what is kept; nothing is rewritten.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -52,18 +53,25 @@ def _least(firsts: list[DataFrame]) -> DataFrame:
 
 
 
-def added(kept: dict[str, DataFrame], days: Days, since: Column, bucket_days: int = 1) -> dict[str, DataFrame]:
+def added(
+    kept: dict[str, DataFrame],
+    days: Days,
+    since: Column,
+    bucket_days: int = 1,
+    stage: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
+) -> dict[str, DataFrame]:
     """The rows to add to the tables ``kept`` for ``days``, which begin at ``since`` (a date).
 
     The days' own loans are the query points. The edges of the sweep are the
     offset of each customer, at the beginning, and what the days change: the
     edges of new loans, and for older loans with news the edges after them
-    less those before.
+    less those before. ``stage`` may write the days' loans and first events,
+    which are read several times.
     """
-    loans = history_loans(days.loans)
+    loans = stage("loans", history_loans(days.loans))
     overdue = days.overdue.groupBy("loan_no").agg(F.min("stat_date").alias("od_day"), F.lit(None).cast("timestamp").alias("pt"))
     paid = successful(days.repayments).groupBy("loan_no").agg(F.lit(None).cast("date").alias("od_day"), F.min("apply_time").alias("pt"))
-    firsts = _least([overdue, paid]).where("loan_no is not null")
+    firsts = stage("firsts", _least([overdue, paid]).where("loan_no is not null"))
 
     news = firsts.select("loan_no").union(loans.select("loan_no")).distinct()
     old = kept["loans"].join(news, "loan_no", "left_semi")

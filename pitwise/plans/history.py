@@ -42,10 +42,15 @@ class LoanHistory:
         if since is not None and until <= since:
             raise ValueError(f"days up to {since} are in already")
         new = days.between(None if since is None else F.lit(since), F.lit(until))
-        tables = added(self.kept(), new, F.lit(since or date(1970, 1, 1)), bucket_days)
         folder = f"{self.path}/{until.isoformat()}"
-        for name, df in tables.items():
+
+        def write(name: str, df: DataFrame) -> DataFrame:
             df.write.mode("overwrite").parquet(f"{folder}/{name}")
+            return self.spark.read.schema(KEPT[name]).parquet(f"{folder}/{name}")
+
+        tables = added(self.kept(), new, F.lit(since or date(1970, 1, 1)), bucket_days, stage=write)
+        for name in ("offsets", "totals"):
+            write(name, tables[name])
         self._records.add([{"stage": until.isoformat(), "path": folder}])
 
     def counts(self) -> DataFrame:

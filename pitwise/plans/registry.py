@@ -141,11 +141,11 @@ def input_parse_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: The days of the incremental loan history are added up to these.
-HISTORY_DAYS = (date(1995, 6, 1), date(1996, 8, 17), date(2100, 1, 1))
+HISTORY_DAYS = (date(1996, 8, 17), date(2100, 1, 1))
 
 
 def loan_history_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D10 from a history to which days are added in three runs."""
+    """D10 from a history to which days are added in two runs."""
     inputs = fixture.fixture_inputs(spark, sf_dir)
     days = Days(inputs["loans"], inputs["overdue"], inputs["repayments"])
     history = LoanHistory(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/pitwise/history-{uuid.uuid4().hex}")
