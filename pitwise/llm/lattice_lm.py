@@ -118,31 +118,44 @@ class Lattice:
         self.score = {p: score(counts.get(i, 0)) for p, i in plain.items()}
         self.byte = [score(counts.get(i, 0)) for i in bytes_]
         self.end = score(ends)
-        self.longest = max(map(len, self.score), default=1)
+        # What a piece begins with, and the score of what is a piece itself.
+        self.steps: dict[str, float | None] = {p[:k]: None for p in self.score for k in range(1, len(p))}
+        self.steps.update(self.score)
 
     def word(self, word: str) -> float:
         """The logarithm of the sum over all segmentations of ``word``.
 
-        ``alpha[j]`` is that of the first ``j`` characters. A character that
-        is no piece is spelled in bytes.
+        ``alpha`` is that of the first ``i`` characters; the pieces that go on
+        from there are followed as far as some piece begins so. A character
+        that is no piece is spelled in bytes.
         """
-        s, score = MARK + word, self.score
-        n, longest = len(s), self.longest
-        alpha = [0.0] + [-math.inf] * n
-        for j in range(1, n + 1):
-            terms = []
-            for i in range(max(0, j - longest), j):
-                found = score.get(s[i:j])
-                if found is not None and alpha[i] != -math.inf:
-                    terms.append(alpha[i] + found)
-            if s[j - 1] not in score:
-                terms.append(alpha[j - 1] + sum(self.byte[b] for b in s[j - 1].encode()))
+        s, steps, exp = MARK + word, self.steps, math.exp
+        n = len(s)
+        ends: list[list[float]] = [[] for _ in range(n + 1)]
+        ends[0].append(0.0)
+        for i in range(n + 1):
+            terms = ends[i]
             if len(terms) == 1:
-                alpha[j] = terms[0]
-            elif terms:
+                alpha = terms[0]
+            else:
                 top = max(terms)
-                alpha[j] = top + math.log(sum([math.exp(t - top) for t in terms]))
-        return alpha[n]
+                alpha = top + math.log(sum([exp(t - top) for t in terms]))
+            if i == n:
+                return alpha
+            found = steps.get(s[i])
+            if found is None:
+                ends[i + 1].append(alpha + sum(self.byte[b] for b in s[i].encode()))
+                if s[i] not in steps:
+                    continue
+            else:
+                ends[i + 1].append(alpha + found)
+            for j in range(i + 2, n + 1):
+                found = steps.get(s[i:j], 0)
+                if found == 0:
+                    break
+                if found is not None:
+                    ends[j].append(alpha + found)
+        return alpha
 
 
 def _score_words(model: Broadcast):
