@@ -265,7 +265,11 @@ def report_flatten(
 
     Only the final ``distinct`` is applied: left joins of bags followed by a
     distinct give the same rows as left joins of sets, so deduplicating each
-    branch first would add a shuffle per branch and change nothing.
+    branch first would add a shuffle per branch and change nothing. Equal rows
+    of a document go where the last join has put them; then the shuffle goes by
+    all columns but the enquiry's: a document's rows stay beside each other,
+    where what they share is compressed. Those of the times of heavy documents
+    are dealt by all columns to as many parts.
     """
     headers, documents = heavy
     qs = _query_summary(pqo, pqo_pc05, pc05a, pc05b).withColumnRenamed("doc_id", "id")
@@ -275,7 +279,16 @@ def report_flatten(
     flat = main.join(qs, "id", "left")
     flat = left_join_many(flat, qr, ["id"], documents)  # many enquiries per document
     flat = flat.join(rq, "id", "left")
-    return flat.select(*FLAT_COLUMNS).distinct()
+    flat = flat.select("id", *FLAT_COLUMNS).distinct().select(*FLAT_COLUMNS)
+    document = [c for c in FLAT_COLUMNS if c not in ENQUIRY_COLUMNS]
+    if not documents:
+        return flat.repartition(*document).distinct()
+    times = main.where(F.col("id").isin(list(documents))).select("id", F.unix_micros("create_time").alias("t")).collect()
+    parts = F.lit(1)
+    for t in sorted({r.t for r in times if r.t is not None}):
+        parts = F.when(F.unix_micros("create_time") == t, max(documents[r.id] for r in times if r.t == t)).otherwise(parts)
+    dealt = flat.withColumn("_part", F.pmod(F.xxhash64(*FLAT_COLUMNS), parts))
+    return dealt.repartition(*document, "_part").distinct().drop("_part")
 
 
 # --- D17 -------------------------------------------------------------------
