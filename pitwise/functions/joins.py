@@ -30,6 +30,16 @@ def heavy_keys(rows: DataFrame, key: str, least: int = HEAVY_ROWS, share: float
     return {r[0]: math.ceil(r["n"] / share / least) for r in counts.orderBy(F.desc("n"), key).limit(HEAVY_KEYS).collect()}
 
 
+def looked_up(few: DataFrame) -> DataFrame:
+    """``few`` as the side of a join that is held in memory, a shuffled part a task.
+
+    For the selecting side of a join with a large table: both are shuffled by
+    key, and the large one is neither sorted nor merged. ``few`` has at most a
+    few rows a key (customers, their latest reports, their loans).
+    """
+    return few.hint("shuffle_hash")
+
+
 def left_join_many(
     left: DataFrame, right: DataFrame, keys: Sequence[str], heavy: Mapping[str, int] | None = None, place: Column | None = None
 ) -> DataFrame:

@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pitwise.functions.joins import looked_up
 from pitwise.operators.loans import HISTORY, history_loans, history_points, less_same_number, successful
 from pitwise.operators.sweep import coverage_totals
 
@@ -69,8 +70,9 @@ def added(
     which are read several times.
     """
     loans = stage("loans", history_loans(days.loans))
-    overdue = days.overdue.groupBy("loan_no").agg(F.min("stat_date").alias("od_day"), F.lit(None).cast("timestamp").alias("pt"))
-    paid = successful(days.repayments).groupBy("loan_no").agg(F.lit(None).cast("date").alias("od_day"), F.min("apply_time").alias("pt"))
+    overdue = days.overdue.select("loan_no", F.col("stat_date").alias("od_day"), F.lit(None).cast("timestamp").alias("pt"))
+    paid = successful(days.repayments).select("loan_no", F.lit(None).cast("date").alias("od_day"), F.col("apply_time").alias("pt"))
+    # One aggregation of both: it combines before its shuffle.
     firsts = stage("firsts", _least([overdue, paid]).where("loan_no is not null"))
 
     news = firsts.select("loan_no").union(loans.select("loan_no")).distinct()
@@ -78,7 +80,7 @@ def added(
     known = kept["firsts"].join(news, "loan_no", "left_semi")
     now = _least([known, firsts])
     before, after = old.join(_least([known]), "loan_no", "left"), old.join(now, "loan_no", "left")
-    own = loans.join(now, "loan_no", "left")
+    own = loans.join(looked_up(now), "loan_no", "left")
 
     points = history_points(own, ["cust_ids"])
     is_edge = F.col("kind") == 0
