@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitwise.functions import codes
+from pitwise.functions.joins import looked_up
 from pitwise.functions.time import instant_literal
 
 Censor = str | datetime | date | None
@@ -142,7 +143,7 @@ def order_payments_asof(
     joined = acc.join(o, acc["acct_no"] == o["buyer_user_no"], "inner").filter(
         F.col("pay_time") < F.col("time_censor")
     )
-    return joined.join(ln, "merchant_order_id", "inner").select(
+    return ln.join(looked_up(joined), "merchant_order_id", "inner").select(
         "merchant_order_id",
         "cust_ids",
         "time_censor",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pitwise.functions import codes
 from pitwise.functions.exprs import flag_sum, no_money, ratio
+from pitwise.functions.joins import looked_up
 from pitwise.functions.time import as_datetime, day_start
 from pitwise.operators.asof import Censor, prefilter
 from pitwise.operators.sweep import coverage_totals
@@ -63,12 +64,12 @@ def loan_outcomes(
     base = history_loans(loans)
     if cohort is not None:
         base = stage(base.join(cohort.select("cust_ids"), "cust_ids", "left_semi"))
-        numbers = base.select("loan_no").distinct()
+        numbers = looked_up(base.select("loan_no").distinct())
         overdue = overdue.join(numbers, "loan_no", "left_semi")
         repayments = repayments.join(numbers, "loan_no", "left_semi")
     od = overdue.groupBy("loan_no").agg(F.min("stat_date").alias("od_day"))
     paid = successful(repayments).groupBy("loan_no").agg(F.min("apply_time").alias("pt"))
-    return base.join(od, "loan_no", "left").join(paid, "loan_no", "left")
+    return base.join(looked_up(od), "loan_no", "left").join(looked_up(paid), "loan_no", "left")
 
 
 def history_points(d: DataFrame, keys: list[str]) -> DataFrame:
@@ -198,7 +199,7 @@ def repaid_by_censor(
     # The cohort's loans first: only their repayments are made distinct.
     own = cohort.select("cust_ids", "time_censor").join(xfd, "cust_ids", "inner").distinct()
     paid = (
-        own.join(prefilter(rep, "apply_time", censor), "loan_no", "inner")
+        prefilter(rep, "apply_time", censor).join(looked_up(own), "loan_no", "inner")
         .filter(F.col("apply_time") < F.col("time_censor"))
         .distinct()
         .groupBy("cust_ids")
@@ -267,20 +268,21 @@ def repay_outcome_rates(
 
     One row per cohort customer with at least one such repayment.
     """
-    ln = prefilter(valid_loans(loans).select("loan_no", "cust_ids", "loan_time"), "loan_time", censor).distinct()
+    ln = prefilter(valid_loans(loans).select("loan_no", "cust_ids", "loan_time"), "loan_time", censor)
     rp = repayments.filter(
         F.col("apply_time").isNotNull()
         & F.col("status").isNotNull()
         & F.col("status").isin(codes.REPAY_OK, codes.REPAY_FAIL)
     ).select("loan_no", "principal", "status", "apply_time")
-    rp = prefilter(rp, "apply_time", censor).distinct()
+    rp = prefilter(rp, "apply_time", censor)
     ok = F.col("status") == codes.REPAY_OK
+    # The cohort's loans first. Only their repayments are made distinct, where
+    # the join by loan number has put them: no shuffle of all repayments for it.
+    own = cohort.select("cust_ids", "time_censor").join(ln, "cust_ids", "inner").filter(F.col("loan_time") < F.col("time_censor")).distinct()
     agg = (
-        cohort.select("cust_ids", "time_censor")
-        .join(ln, "cust_ids", "inner")
-        .filter(F.col("loan_time") < F.col("time_censor"))
-        .join(rp, "loan_no", "inner")
+        rp.join(looked_up(own), "loan_no", "inner")
         .filter(F.col("apply_time") < F.col("time_censor"))
+        .distinct()
         .groupBy("cust_ids")
         .agg(
             flag_sum(ok).alias("suc_cnt"),
@@ -322,7 +324,7 @@ def overdue_flag_strict(
     own = cohort.select("cust_ids", "time_censor").join(other, "cust_ids", "inner")
     lead_us = int(lead_days * 86_400_000_000)
     early = F.unix_micros("t1") < F.unix_micros("time_censor") - F.lit(lead_us)
-    hit = own.join(starts, "loan_no", "inner").filter(early).select("cust_ids").distinct()
+    hit = starts.join(looked_up(own), "loan_no", "inner").filter(early).select("cust_ids").distinct()
     return hit.select("cust_ids", F.lit(1.0).alias("od10_dummy"))
 
 
@@ -347,7 +349,7 @@ def overdue_flag_any(cohort: DataFrame, loans: DataFrame, overdue: DataFrame, ce
         recs = recs.filter(F.col("stat_date") <= F.date_add(F.lit(as_datetime(censor).date()), 1))
     own = cohort.select("cust_ids", "time_censor").join(every, "cust_ids", "inner")
     early = F.col("stat_date") < F.to_date("time_censor")
-    hit = own.join(recs, "loan_no", "inner").filter(early).select("cust_ids").distinct()
+    hit = recs.join(looked_up(own), "loan_no", "inner").filter(early).select("cust_ids").distinct()
     return hit.select("cust_ids", F.lit(1.0).alias("overdue_record_new_dummy"))
 
 

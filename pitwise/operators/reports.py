@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pitwise.functions import codes
 from pitwise.functions.exprs import flag_sum, no_money, not_equal_all, ratio
-from pitwise.functions.joins import heavy_keys, left_join_many
+from pitwise.functions.joins import heavy_keys, left_join_many, looked_up
 from pitwise.functions.time import as_datetime, instant_literal
 from pitwise.operators.asof import Censor
 
@@ -111,7 +111,7 @@ def query_counts_gen1(
     """
     rep = latest.select("cust_ids", "report_sn", F.to_date("report_create_time").alias("report_day"))
     q = queries.select("report_id", F.to_date("querydate").alias("qday"), "queryreason")
-    j = rep.join(q, rep["report_sn"] == q["report_id"], "inner").withColumn(
+    j = q.join(looked_up(rep), rep["report_sn"] == q["report_id"], "inner").withColumn(
         "no_days", F.datediff("report_day", "qday")
     )
     specs = _window_specs(F.col("queryreason"), F.lit(codes.REASON_LOAN), F.lit(codes.REASON_CARD), windows)
@@ -124,7 +124,7 @@ def query_counts_gen1(
     own = latest.select(F.col("report_sn").alias("report_id")).distinct()
     s = (
         summary.select("report_id", "lastmonthquery_selfquery", "last2yearquery_loanmanage")
-        .join(own, "report_id")
+        .join(looked_up(own), "report_id")
         .distinct()
         .groupBy("report_id")
         .agg(
@@ -148,8 +148,12 @@ def query_counts_gen1(
 # --- D16 -------------------------------------------------------------------
 
 
-def _query_summary(headers, pqo_pc05, pc05a, pc05b) -> DataFrame:
-    """Summary rows of the documents of ``headers`` (``id, doc_id``), null ones for headers without any."""
+def _query_summary(headers, pqo_pc05, pc05a, pc05b, few: bool = False) -> DataFrame:
+    """Summary rows of the documents of ``headers`` (``id, doc_id``), null ones for headers without any.
+
+    ``few`` says that the headers are a small share of all.
+    """
+    held = looked_up if few else lambda df: df
     a = headers.select("id", "doc_id")
     a1 = pqo_pc05.select(F.col("id").alias("pc05_id"), F.col("pqo_id").alias("id"))
     a2 = pc05a.select(
@@ -169,8 +173,7 @@ def _query_summary(headers, pqo_pc05, pc05a, pc05b) -> DataFrame:
         F.col("pc05bs06").alias("query_loanmanage_24m"),
     )
     return (
-        a.join(a1, "id", "left")
-        .join(a2, F.col("pc05_id") == F.col("a_pc05_id"), "left")
+        held(held(held(a).join(a1, "id", "left")).join(a2, F.col("pc05_id") == F.col("a_pc05_id"), "left"))
         .join(a3, F.col("pc05_id") == F.col("b_pc05_id"), "left")
         .select("doc_id", *SUMMARY_COLUMNS)
     )
@@ -374,12 +377,12 @@ def query_counts_gen2(
     people = _held_by(latest.join(units, ["id", "cust_ids"]), IDENTITY_COLUMNS)
 
     docs = latest.select(F.col("id").alias("doc_id")).distinct()
-    summary = _query_summary(pqo.join(docs, "doc_id", "left_semi"), pqo_pc05, pc05a, pc05b).withColumnRenamed("doc_id", "id")
+    summary = _query_summary(pqo.join(looked_up(docs), "doc_id", "left_semi"), pqo_pc05, pc05a, pc05b, few=True).withColumnRenamed("doc_id", "id")
     # A document without a summary has a null one, as in the left joins.
     summaries = _held_by(latest.join(summary, "id", "left"), SUMMARY_COLUMNS, *[F.max(c).alias(c) for c in maxima])
 
-    headers = latest.join(poq.select(F.col("id").alias("poq_id"), F.col("doc_id").alias("id")), "id")
-    enquiries = headers.join(_enquiries(poq_ph01).withColumnRenamed("id", "poq_id"), "poq_id")
+    headers = poq.select(F.col("id").alias("poq_id"), F.col("doc_id").alias("id")).join(looked_up(latest), "id")
+    enquiries = _enquiries(poq_ph01).withColumnRenamed("id", "poq_id").join(looked_up(headers), "poq_id")
     no_days = F.datediff(F.to_date("create_time"), F.to_date("query_date"))
     asked = _held_by(
         enquiries.withColumn("no_days", no_days), (*ENQUIRY_COLUMNS, "no_days"), *[flag_sum(cond).alias(name) for name, cond in specs]
@@ -473,7 +476,7 @@ def loan_settlement_ratios(
         loans = loans.filter(F.col("start_date") >= first_day.cast("timestamp"))
     base = latest.select("cust_ids", "report_sn", "censor")
     # Inner join: rows without a loan fail the date filter below anyway.
-    j = base.join(loans, base["report_sn"] == loans["report_id"], "inner").select(
+    j = loans.join(looked_up(base), base["report_sn"] == loans["report_id"], "inner").select(
         "cust_ids",
         "loan_id",
         "start_date",
@@ -553,7 +556,7 @@ def min_gap_lag2(latest: DataFrame, report_cards: DataFrame) -> DataFrame:
     that does not grow with the number of cards.
     """
     base = latest.select("cust_ids", "report_sn", "censor")
-    cards = base.join(report_cards, base["report_sn"] == report_cards["report_id"], "inner").select(
+    cards = report_cards.join(looked_up(base), base["report_sn"] == report_cards["report_id"], "inner").select(
         "cust_ids", "start_date", "org_type", "organname", "card_type", "guarantee_type", "deadline", "censor"
     )
     per_day = (
