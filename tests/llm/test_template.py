@@ -130,3 +130,91 @@ def test_very_long_pages_and_equal_blocks(spark):
     assert out[0].count("\n") == 19_999 and out[1] == ("word " * 300_000).strip() and out[2] == "deep"
     page = lambda i: f"<body><div>Promo</div><div>Promo</div><h2>Title {i}</h2><p>Body of page {i} on its own.</p><footer>x</footer>"
     assert texts(spark, [(f"http://twice.example/{i}", page(i)) for i in range(6)]) == [f"Title {i}\nBody of page {i} on its own." for i in range(6)]
+
+
+def at(*tokens):
+    """A class of a page: the places of each of its tokens."""
+    return {"cls": len(tokens) * 100 + tokens[0][0], "n": 3, "size": len(tokens), "at": [list(x) for x in tokens]}
+
+
+def test_nesting_and_slots_against_brute_force():
+    import random
+
+    draw = random.Random(5)
+    for _ in range(300):
+        places = list(range(24))
+        draw.shuffle(places)
+        classes = []
+        for _ in range(3):  # in order, occurrence after occurrence
+            size, times = draw.choice([(2, 1), (3, 1), (2, 2)])
+            own = sorted(places.pop() for _ in range(size * times))
+            classes.append(at(*[own[k::size] for k in range(size)]))
+        inside, crossed = template.nesting(classes)
+        spans = [list(zip(*x["at"], strict=True)) for x in classes]
+        clean = True
+        for c in range(3):
+            for d in range(3):
+                if c == d:
+                    continue
+                for k in range(len(classes[d]["at"]) - 1):
+                    begun = sum(any(s[k] < o[0] < s[k + 1] for s in spans[d]) for o in spans[c])
+                    assert inside[c, d, k] == begun
+                cross = any(s[0] < o[0] < s[-1] and any(o[0] < x < o[-1] for x in s) for s in spans[c] for o in spans[d])
+                assert ((c, d) in crossed) == cross
+                clean &= not cross
+        if clean:
+            taken = {p for x in classes for t in x["at"] for p in t}
+            for p, slot in enumerate(template.cut(classes, list(range(24)))):
+                around = [(o[0], c, sum(x <= p for x in o) - 1) for c in range(3) for o in spans[c] if o[0] <= p < o[-1]]
+                want = template._token("slot", str(classes[max(around)[1]]["cls"]), str(max(around)[2])) if around else 0
+                assert slot == (None if p in taken else want)
+
+
+def template_texts(spark, pages):
+    """Of distinct ``pages`` (html) of one host: each one's text tokens that are part of the template."""
+    df = spark.createDataFrame([(i, "h", p) for i, p in enumerate(pages)], "uid long, host string, html string")
+    rows = template.template_tokens(template.distinct_pages(df)).collect()
+    blocks = [{b.at: b.text for b in template.parse(p)[0]} for p in pages]
+    return [{blocks[i][p] for r in rows if r.uid == i for t in r["at"] for p in t if p in blocks[i]} for i in range(len(pages))]
+
+
+def test_classes_that_are_not_nested_are_no_template(spark):
+    own = lambda i: f"<p>Own text number {i} of the page, long enough to be its own.</p>"
+    # x and y cross a to c on six of twelve pages; on the others there is a to c only.
+    page = lambda i: f"<h1>a</h1>{'<h2>x</h2>' * (i % 2)}<h3>b</h3>{'<h4>y</h4>' * (i % 2)}{own(i)}<h5>c</h5>"
+    got = template_texts(spark, [page(i) for i in range(12)])
+    assert got == [{"a", "b", "c"}] * 12
+    nested = lambda i: f"<h1>a</h1>{'<h2>x</h2><h4>y</h4>' * (i % 2)}<h3>b</h3>{own(i)}<h5>c</h5>"
+    assert template_texts(spark, [nested(i) for i in range(12)]) == [{"a", "b", "c"} | ({"x", "y"} if i % 2 else set()) for i in range(12)]
+    # Before b on some pages and after it on others.
+    moved = lambda i: f"<h1>a</h1>{'<h2>x</h2><h4>y</h4>' * (i % 4 == 1)}<h3>b</h3>{'<h2>x</h2><h4>y</h4>' * (i % 4 == 3)}{own(i)}<h5>c</h5>"
+    assert template_texts(spark, [moved(i) for i in range(12)]) == [{"a", "b", "c"}] * 12
+
+
+def test_occurrences_of_a_class_keep_its_order(spark):
+    own = lambda i: f"<p>Own text number {i} of the page, long enough to be its own.</p>"
+    row = "<h2>x</h2><h4>y</h4>"
+    page = lambda i: f"<h1>a</h1>{row * (1 + i % 3)}<h3>b</h3>{own(i)}"
+    assert template_texts(spark, [page(i) for i in range(9)]) == [{"a", "b", "x", "y"}] * 9
+    mixed = lambda i: f"<h1>a</h1>{'<h2>x</h2>' * (1 + i % 3)}{'<h4>y</h4>' * (1 + i % 3)}<h3>b</h3>{own(i)}"
+    assert template_texts(spark, [mixed(i) for i in range(9)]) == [{"a", "b"}] * 9
+
+
+def test_articles_that_are_template_from_end_to_end_are_left_out(spark):
+    page = lambda i: f"<body><article>Join our club</article><article><h1>Title {i}</h1><p>Same line</p><p>Body of {i} with text of its own.</p></article>"
+    want = [f"Title {i}\nSame line\nBody of {i} with text of its own." for i in range(6)]
+    assert texts(spark, [(f"http://club.example/{i}", page(i)) for i in range(6)]) == want
+    assert one(spark, page(0)) == "Join our club\n" + want[0]  # one page shows no template
+
+
+def test_slots_of_articles_are_taken_on_pages_without(spark):
+    page = lambda i, own: f"<body><div>Menu</div><h2>Top</h2>{own}<h3>Bottom</h3><p>Seen {i} times this week.</p>"
+    article = [page(i, f"<article><p>Article {i} with text of its own.</p></article>") for i in range(4)]
+    plain = [page(i, f"<section><p>Section {i} with text of its own and more.</p></section>") for i in range(4, 8)]
+    short = [page(8, "<section><p>8</p></section>")]
+    out = texts(spark, [(f"http://slots.example/{i}", p) for i, p in enumerate(article + plain + short)])
+    assert out[:4] == [f"Article {i} with text of its own." for i in range(4)]
+    assert out[4:8] == [f"Section {i} with text of its own and more." for i in range(4, 8)]
+    assert out[8] == "8\nSeen 8 times this week."  # less than half of its text is there
+    alone = texts(spark, [(f"http://plain.example/{i}", p) for i, p in enumerate(plain)])
+    assert alone == [f"Section {i} with text of its own and more.\nSeen {i} times this week." for i in range(4, 8)]
