@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 HEAVY_ROWS, HEAVY_KEYS = 1_000_000, 1_000
 #: Share of the rows that is looked at for heavy keys.
 LOOKED_AT = 1 / 1024
+#: Places of a sieve: 64 a row, so at most 524,288 rows, about 25 MB, are broadcast.
+SIEVE_PLACES = 1 << 25
 
 
 def heavy_keys(rows: DataFrame, key: str, least: int = HEAVY_ROWS, share: float = LOOKED_AT) -> dict[str, int]:
@@ -40,6 +42,26 @@ def looked_up(few: DataFrame) -> DataFrame:
     return few.hint("shuffle_hash")
 
 
+def sieved(rows: DataFrame, key: str, few: DataFrame, of: str) -> DataFrame:
+    """The rows of a large table whose ``key`` may be among the values ``of`` of ``few``.
+
+    Every row that has such a key stays, with few others: those whose hash is
+    that of one. For the input of an inner or semi join, or of the right side
+    of a left join, that ``few`` selects little from: what goes is not
+    shuffled. The sieve has one size; with many more values than places it
+    lets more rows through. ``few`` is read once more for it. Keys that are not
+    text on both sides are left alone.
+    """
+    if {dict(rows.dtypes)[key], dict(few.dtypes)[of]} != {"string"}:
+        return rows
+    place = lambda c: F.xxhash64(c).bitwiseAND(F.lit(SIEVE_PLACES - 1))
+    mark = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_place") % 64).cast("int"))
+    held = few.where(F.col(of).isNotNull()).select(place(of).alias("_place"))
+    held = held.groupBy(F.shiftright("_place", 6).alias("_word")).agg(F.bit_or(mark).alias("_marks"))
+    met = rows.withColumn("_place", place(key)).join(F.broadcast(held), F.shiftright("_place", 6) == F.col("_word"))
+    return met.where(F.getbit("_marks", (F.col("_place") % 64).cast("int")) == 1).select(*rows.columns)
+
+
 def left_join_many(
     left: DataFrame, right: DataFrame, keys: Sequence[str], heavy: Mapping[str, int] | None = None, place: Column | None = None
 ) -> DataFrame:

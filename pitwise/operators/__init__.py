@@ -9,9 +9,11 @@ from pitwise.operators.asof import (
 from pitwise.operators.assemble import attach_applications, credit_age, derived_features, feature_assembly
 from pitwise.operators.events import device_burst_7d, event_code_rates, monthly_device_city_peak
 from pitwise.operators.loans import (
+    cohort_loans,
     last_loan_profile,
     loan_history_counts,
     loan_outcomes,
+    of_loans,
     overdue_flag_any,
     overdue_flag_strict,
     principal_pay_ratio,
@@ -60,6 +62,8 @@ __all__ = [
     "latest_report_normalised",
     "loan_history_counts",
     "loan_outcomes",
+    "cohort_loans",
+    "of_loans",
     "loan_settlement_ratios",
     "min_gap_lag2",
     "monthly_device_city_peak",

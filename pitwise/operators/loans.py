@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +27,16 @@ def valid_loans(loans: DataFrame) -> DataFrame:
     return loans.filter(F.col("loan_time").isNotNull() & (F.length("cust_ids") > 0))
 
 
+def cohort_loans(cohort: DataFrame, loans: DataFrame) -> DataFrame:
+    """The valid loans of the cohort's customers, as they are."""
+    return valid_loans(loans).join(cohort.select("cust_ids"), "cust_ids", "left_semi")
+
+
+def of_loans(rows: DataFrame, loans: DataFrame) -> DataFrame:
+    """The overdue records or repayments ``rows`` of ``loans``, as they are."""
+    return rows.join(looked_up(loans.select("loan_no").distinct()), "loan_no", "left_semi")
+
+
 # --- D10 -------------------------------------------------------------------
 
 
@@ -53,20 +61,17 @@ def loan_outcomes(
     overdue: DataFrame,
     repayments: DataFrame,
     cohort: DataFrame | None = None,
-    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Each valid loan row with its first overdue day and first repayment.
 
     With a ``cohort``, of its customers only: their ids select the loans, the
     loans' numbers the overdue records and repayments, before anything is
-    aggregated. These loans are read three times; ``stage`` may write them.
+    aggregated.
     """
     base = history_loans(loans)
     if cohort is not None:
-        base = stage(base.join(cohort.select("cust_ids"), "cust_ids", "left_semi"))
-        numbers = looked_up(base.select("loan_no").distinct())
-        overdue = overdue.join(numbers, "loan_no", "left_semi")
-        repayments = repayments.join(numbers, "loan_no", "left_semi")
+        base = base.join(cohort.select("cust_ids"), "cust_ids", "left_semi")
+        overdue, repayments = of_loans(overdue, base), of_loans(repayments, base)
     od = overdue.groupBy("loan_no").agg(F.min("stat_date").alias("od_day"))
     paid = successful(repayments).groupBy("loan_no").agg(F.min("apply_time").alias("pt"))
     return base.join(looked_up(od), "loan_no", "left").join(looked_up(paid), "loan_no", "left")

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from pitwise import operators as op
 from pitwise.functions import codes
+from pitwise.functions.joins import sieved
 from pitwise.functions.time import instant_literal
 from pitwise.plans.manifest import Manifest, Records, delete_folder
 from pitwise.plans.session import ensure_checkpoint_dir
@@ -141,6 +142,16 @@ class FeatureJob:
     def _before(self, name: str, column: str) -> DataFrame:
         return self.inputs.before(name, column, self.censor)
 
+    def _sieved(self, name: str, key: str, few: DataFrame, of: str) -> DataFrame:
+        """Input ``name`` without most rows that ``few`` does not select, once it is written.
+
+        Written rows are read with their keys as they are: what a join asks of
+        a key, such as that it is not null, is not computed for all rows again.
+        """
+        if not self.materialize:
+            return self.inputs[name]
+        return self._stage(f"latest_{name}", lambda: sieved(self.inputs[name], key, few, of))
+
     def _write_shared(self) -> None:
         """Write the stages that several features read, those of one depth at a time.
 
@@ -153,11 +164,11 @@ class FeatureJob:
             "device_events_raw",
             "payments",
             "cohort_outcomes",
-            "latest_report",
-            "latest_report_normalised",
-            "latest_documents",
+            "gen1_children",
+            "normalised_children",
+            "latest_tree",
         )
-        for names in (("cohort",), ("accounts", "cohort_identity"), shared):
+        for names in (("cohort",), ("accounts", "cohort_identity", "cohort_loans"), ("cohort_overdue",), shared):
             with ThreadPoolExecutor(len(names)) as pool:
                 list(pool.map(lambda name: getattr(self, name), names))
 
@@ -237,48 +248,64 @@ class FeatureJob:
         """Of all customers, as D10 is defined."""
         return op.loan_history_counts(self.loan_outcomes, bucket_days=self.p.history_bucket_days)
 
+    @cached_property
+    def cohort_loans(self) -> DataFrame:
+        """The cohort's valid loans, once they are written: all that the cohort's features read of the loans."""
+        if not self.materialize:
+            return self.inputs["loans"]
+        return self._stage("cohort_loans", lambda: op.cohort_loans(self.cohort, self.inputs["loans"]))
+
+    @cached_property
+    def cohort_overdue(self) -> DataFrame:
+        """The overdue records of the cohort's loans, once they are written."""
+        if not self.materialize:
+            return self.inputs["overdue"]
+        return self._stage("cohort_overdue", lambda: op.of_loans(self.inputs["overdue"], self.cohort_loans))
+
     @cached_property
     def cohort_outcomes(self) -> DataFrame:
-        i = self.inputs
-        return self._stage(
-            "cohort_outcomes",
-            lambda: op.loan_outcomes(
-                i["loans"], i["overdue"], i["repayments"], self.cohort, stage=lambda df: self._stage("cohort_loans", lambda: df)
-            ),
-        )
+        def build() -> DataFrame:
+            repayments = self.inputs["repayments"]
+            if not self.materialize:
+                return op.loan_outcomes(self.cohort_loans, self.cohort_overdue, repayments, self.cohort)
+            return op.loan_outcomes(self.cohort_loans, self.cohort_overdue, op.of_loans(repayments, self.cohort_loans))
+
+        return self._stage("cohort_outcomes", build)
 
     @cached_property
     def cohort_history(self) -> DataFrame:
         """The history of the cohort's customers, all that the assembled row needs."""
         return op.loan_history_counts(self.cohort_outcomes, bucket_days=self.p.history_bucket_days)
 
+    def _loans_before(self) -> DataFrame:
+        return self.cohort_loans if self.materialize else self._before("loans", "loan_time")
+
     @cached_property
     def repaid(self) -> DataFrame:
-        return op.repaid_by_censor(self.cohort, self.inputs["loans"], self._before("repayments", "apply_time"), censor=self.censor)
+        return op.repaid_by_censor(self.cohort, self.cohort_loans, self._before("repayments", "apply_time"), censor=self.censor)
 
     @cached_property
     def xfd(self) -> DataFrame:
-        return op.principal_pay_ratio(self.cohort, self.inputs["loans"], self.repaid)
+        return op.principal_pay_ratio(self.cohort, self.cohort_loans, self.repaid)
 
     @cached_property
     def repay_outcomes(self) -> DataFrame:
         return op.repay_outcome_rates(
-            self.cohort, self._before("loans", "loan_time"), self._before("repayments", "apply_time"), censor=self.censor
+            self.cohort, self._loans_before(), self._before("repayments", "apply_time"), censor=self.censor
         )
 
     @cached_property
     def od_strict(self) -> DataFrame:
-        return op.overdue_flag_strict(
-            self.cohort, self.inputs["loans"], self._before("overdue", "start_date"), censor=self.censor
-        )
+        overdue = self.cohort_overdue if self.materialize else self._before("overdue", "start_date")
+        return op.overdue_flag_strict(self.cohort, self.cohort_loans, overdue, censor=self.censor)
 
     @cached_property
     def od_any(self) -> DataFrame:
-        return op.overdue_flag_any(self.cohort, self.inputs["loans"], self.inputs["overdue"], censor=self.censor)
+        return op.overdue_flag_any(self.cohort, self.cohort_loans, self.cohort_overdue, censor=self.censor)
 
     @cached_property
     def last_loan(self) -> DataFrame:
-        return op.last_loan_profile(self.cohort, self._before("loans", "loan_time"), censor=self.censor)
+        return op.last_loan_profile(self.cohort, self._loans_before(), censor=self.censor)
 
     # -- D14-D21 --------------------------------------------------------------
 
@@ -286,11 +313,14 @@ class FeatureJob:
     def latest_report(self) -> DataFrame:
         return self._stage("latest_report", lambda: op.latest_report(self.cohort, self._before("reports", "report_create_time"), censor=self.censor))
 
+    @cached_property
+    def gen1_children(self) -> list[DataFrame]:
+        """Enquiries and summaries of the latest reports."""
+        return [self._sieved(name, "report_id", self.latest_report, "report_sn") for name in ("report_queries", "report_summary")]
+
     @cached_property
     def gen1_counts(self) -> DataFrame:
-        return op.query_counts_gen1(
-            self.latest_report, self.inputs["report_queries"], self.inputs["report_summary"]
-        )
+        return op.query_counts_gen1(self.latest_report, *self.gen1_children)
 
     @cached_property
     def gen2_main(self) -> DataFrame:
@@ -326,9 +356,22 @@ class FeatureJob:
     def latest_documents(self) -> DataFrame:
         return self._stage("latest_documents", lambda: op.latest_of(self.documents))
 
+    @cached_property
+    def latest_tree(self) -> tuple:
+        """The tree of the latest documents: the children of a table are sieved by what is written of it."""
+        if not self.materialize:
+            return self._gen2_tree()
+        pqo, poq = (self._sieved(name, "doc_id", self.latest_documents, "id") for name in ("pqo", "poq"))
+        pc05 = self._sieved("pqo_pc05", "pqo_id", pqo, "id")
+        of_pc05 = [self._sieved(name, "pqo_pc05_id", pc05, "id") for name in ("pc05a", "pc05b")]
+        return (pqo, pc05, *of_pc05, poq, self._sieved("poq_ph01", "poq_id", poq, "id"))
+
     @cached_property
     def gen2_counts(self) -> DataFrame:
-        return op.query_counts_gen2(self.latest_documents, *self._gen2_tree(), self.cohort_identity)
+        tree, identity = self.latest_tree, self.cohort_identity
+        if self.materialize:
+            identity = sieved(identity, "doc_id", self.latest_documents, "id")
+        return op.query_counts_gen2(self.latest_documents, *tree, identity)
 
     @cached_property
     def bureau(self) -> DataFrame:
@@ -340,15 +383,20 @@ class FeatureJob:
             "latest_report_normalised", lambda: op.latest_report_normalised(self.cohort, self._before("reports", "report_create_time"), censor=self.censor)
         )
 
+    @cached_property
+    def normalised_children(self) -> list[DataFrame]:
+        """Loans and cards of the latest reports by D19."""
+        return [self._sieved(name, "report_id", self.latest_report_normalised, "report_sn") for name in ("report_loans", "report_cards")]
+
     @cached_property
     def settlement(self) -> DataFrame:
         return op.loan_settlement_ratios(
-            self.latest_report_normalised, self.inputs["report_loans"], censor=self.first_censor
+            self.latest_report_normalised, self.normalised_children[0], censor=self.first_censor
         )
 
     @cached_property
     def card_gap(self) -> DataFrame:
-        return op.min_gap_lag2(self.latest_report_normalised, self.inputs["report_cards"])
+        return op.min_gap_lag2(self.latest_report_normalised, self.normalised_children[1])
 
     # -- D25-D28 --------------------------------------------------------------
 

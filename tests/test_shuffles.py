@@ -7,10 +7,11 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from pitwise import operators as op
-from pitwise.functions import codes
+from pitwise.functions import codes, joins
 from pitwise.llm import lattice_lm
 from pitwise.llm.common import tokenizer_path
 from pitwise.operators import history, reports
+from pitwise.plans.registry import fixture_job
 from tests.conftest import frame
 
 T = datetime(1998, 5, 1, 12)
@@ -106,3 +107,42 @@ def test_pieces_of_a_word_are_followed_by_their_beginnings(spark):
     looked.clear()
     lattice.word("q" * 200)
     assert len(looked) < 200 * 6  # not the longest piece from every character
+
+
+def test_a_sieve_loses_no_row_that_has_a_key(spark, monkeypatch):
+    few = frame(spark, "s string, n long", [("a", 1), ("b", 2), ("b", 3), (None, 4), ("", 5)])
+    keys = ["a", "b", "b", "", None, *(f"x{i}" for i in range(500))]
+    rows = frame(spark, "k string, v long, n long", [(k, i, i) for i, k in enumerate(keys)])
+    for places in (64, 1 << 12, 1 << 25):
+        monkeypatch.setattr(joins, "SIEVE_PLACES", places)
+        left = joins.sieved(rows, "k", few, "s")
+        assert left.columns == rows.columns
+        got = sorted((r.v, r.k) for r in left.collect() if r.k in ("a", "b", ""))
+        assert got == [(0, "a"), (1, "b"), (2, "b"), (3, "")]
+    assert left.count() < 10
+    assert joins.sieved(rows, "k", few.where("false"), "s").count() == 0
+    assert joins.sieved(rows, "v", few, "n") is rows  # keys of other types, which a join might convert
+
+
+def test_children_of_a_latest_report_are_sieved_before_they_are_shuffled(spark):
+    job = fixture_job(spark, "/root/testdata/sf0.001", materialize=True)
+    plain = fixture_job(spark, "/root/testdata/sf0.001")
+    lines = plain.inputs["report_queries"].count()
+    latest = job.latest_report.count()
+    assert [df.count() < lines / 5 for df in (*job.gen1_children, *job.normalised_children)] == [True] * 4
+    assert 0 < latest <= job.gen1_children[0].select("report_id").distinct().count() < 2 * latest
+    assert "latest_report_queries" in plan(job.gen1_counts) and "report_loans" in plan(job.settlement)
+    for name in ("gen1_counts", "gen2_counts", "settlement", "card_gap", "repaid", "xfd", "repay_outcomes", "od_strict", "od_any", "last_loan"):
+        got, want = (sorted(map(repr, getattr(j, name).collect())) for j in (job, plain))
+        assert got == want and got, name
+    job.cleanup()
+
+
+def test_the_cohorts_loans_and_overdue_records_are_read_once(spark):
+    job = fixture_job(spark, "/root/testdata/sf0.001", materialize=True)
+    for name in ("cohort_outcomes", "repaid", "xfd", "repay_outcomes", "od_strict", "od_any", "last_loan"):
+        getattr(job, name)
+    for name in ("repaid", "xfd", "od_strict", "od_any", "last_loan", "repay_outcomes"):
+        assert "orders.parquet" not in plan(getattr(job, name)), name
+    assert "lineitem.parquet" not in plan(job.od_strict) + plan(job.od_any)
+    job.cleanup()
