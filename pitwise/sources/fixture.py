@@ -52,6 +52,16 @@ def _id18(k: str) -> str:
     )
 
 
+def _id18_spark(k: str) -> str:
+    """``_id18`` of a key of up to 8 digits as one number, which is read once; of others as it is."""
+    number = f"110000000000000000 + {k} % 97 * 1000000000000 + (1950 + {k} % 50) * 100000000 + {k}"
+    return f"CASE WHEN {k} BETWEEN 0 AND 99999999 THEN cast({number} as string) ELSE {_id18(k)} END"
+
+
+def _id18_column(alias: str, k: str) -> tuple[str, str, str]:
+    return alias, _id18_spark(k), _id18(k)
+
+
 def _account(k: str, prio: str) -> str:
     return (
         f"CASE WHEN {prio} = '5-LOW' THEN NULL "
@@ -108,6 +118,7 @@ ADAPTERS = {
             (
                 (
                     "card_no",
+                    f"CASE WHEN o_custkey % 5 < 2 THEN cast(o_custkey as string) ELSE {_id18_spark('o_custkey')} END",
                     f"CASE WHEN o_custkey % 5 < 2 THEN cast(o_custkey as string) ELSE {_id18('o_custkey')} END",
                 ),
                 ("credit_date", _ts("o_orderdate")),
@@ -117,7 +128,11 @@ ADAPTERS = {
             "credits_alt",
             "customer",
             (
-                ("card_no", f"CASE WHEN c_acctbal > 5000 THEN {_id18('c_custkey')} END"),
+                (
+                    "card_no",
+                    f"CASE WHEN c_acctbal > 5000 THEN {_id18_spark('c_custkey')} END",
+                    f"CASE WHEN c_acctbal > 5000 THEN {_id18('c_custkey')} END",
+                ),
                 ("credit_date", "cast(date '1996-01-01' + cast(c_custkey % 1500 as int) as timestamp)"),
                 ("credit_quota", "c_acctbal"),
             ),
@@ -125,7 +140,7 @@ ADAPTERS = {
         Adapter(
             "members",
             "orders",
-            (("id_card", _id18("o_custkey")), ("acct_no", _account("o_custkey", "o_orderpriority"))),
+            (_id18_column("id_card", "o_custkey"), ("acct_no", _account("o_custkey", "o_orderpriority"))),
         ),
         Adapter(
             "device_events",
@@ -187,7 +202,7 @@ ADAPTERS = {
             "orders",
             (
                 ("loan_no", _ORDER_KEY),
-                ("cust_ids", _id18("o_custkey")),
+                _id18_column("cust_ids", "o_custkey"),
                 ("loan_time", _ts("o_orderdate")),
                 ("loan_amount", f"CASE WHEN o_custkey % 11 > 0 THEN {_money('o_totalprice')} END"),
                 ("loan_term", "cast(3 * (1 + o_orderkey % 4) as double)"),
@@ -227,7 +242,7 @@ ADAPTERS = {
             "orders",
             (
                 ("report_sn", _report_id("o_orderkey")),
-                ("cert_no", _id18("o_custkey")),
+                _id18_column("cert_no", "o_custkey"),
                 ("report_create_time", _ts("date_trunc('month', o_orderdate)")),
             ),
         ),
@@ -364,7 +379,7 @@ ADAPTERS = {
                 ("prh_pa01_id", "concat('U', cast(o_orderkey as string))"),
                 ("pa01bq01", "concat('Customer#', lpad(cast(o_custkey as string), 9, '0'))"),
                 ("pa01bd01", "'10'"),
-                ("pa01bi01", _id18("o_custkey")),
+                _id18_column("pa01bi01", "o_custkey"),
                 ("pa01bi02", "concat('Q', cast(o_custkey % 25 as string))"),
                 ("pa01bd02", "'01'"),
             ),

@@ -12,6 +12,7 @@ from pitwise.llm import lattice_lm
 from pitwise.llm.common import tokenizer_path
 from pitwise.operators import history, reports
 from pitwise.plans.registry import fixture_job
+from pitwise.sources import fixture
 from tests.conftest import frame
 
 T = datetime(1998, 5, 1, 12)
@@ -146,3 +147,11 @@ def test_the_cohorts_loans_and_overdue_records_are_read_once(spark):
         assert "orders.parquet" not in plan(getattr(job, name)), name
     assert "lineitem.parquet" not in plan(job.od_strict) + plan(job.od_any)
     job.cleanup()
+
+
+def test_an_id_is_the_same_as_a_number_and_in_parts(spark):
+    keys = [0, 5, 96, 97, 1949, 14999, 99_999_999, 100_000_000, 123_456_789_012, -5, None]
+    df = frame(spark, "k long", [(k,) for k in keys]).selectExpr("k", f"{fixture._id18('k')} AS parts", f"{fixture._id18_spark('k')} AS number")
+    got = df.collect()
+    assert [r.number for r in got] == [r.parts for r in got]
+    assert got[1].number == "110005195500000005" and got[-1].number is None
