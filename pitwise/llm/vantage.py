@@ -40,6 +40,8 @@ NOBODY = np.iinfo("int64").max
 TREE = "dim int, shard int, part int, rows binary, ids binary, vectors binary, bounds binary, least array<double>, most array<double>"
 PACKED = "dim int, shard int, block int, q_rows binary, q_ids binary, q_vectors binary, q_floors binary"
 FOUND = "q_row long, query_id long, vec_id long, score double"
+SAMPLED = "dim int, rows binary, vectors binary"
+FITTED = "dim int, points binary, medians binary"
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -117,23 +119,32 @@ class Shards:
     """
 
     def __init__(self, sample: np.ndarray, levels: int) -> None:
-        self.levels = levels
-        self.points = np.zeros(((1 << levels) - 1, sample.shape[1]))
-        self.medians = np.zeros((1 << levels) - 1)
+        points = np.zeros(((1 << levels) - 1, sample.shape[1]))
+        medians = np.zeros((1 << levels) - 1)
         inside = {0: np.arange(len(sample))}
         norms = _norms(sample)
-        for node in range(len(self.points)):
+        for node in range(len(points)):
             own = inside.pop(node)
             # The point farthest from another one sees the others spread out.
             far = own[_chord(cosines(sample[own[:1]], norms[own[:1]], sample[own], norms[own])[0]).argmax()]
             d = _chord(cosines(sample[[far]], norms[[far]], sample[own], norms[own])[0])
             middle = np.sort(d)[(len(d) - 1) // 2]
-            self.points[node], self.medians[node] = sample[far], middle
+            points[node], medians[node] = sample[far], middle
             near, other = own[d <= middle], own[d > middle]
             inside[2 * node + 1] = near
             inside[2 * node + 2] = other if len(other) else near[:1]  # equal vectors: nothing is farther
-        self.norms = _norms(self.points)
-        empty = (1 << levels, min(POINTS, len(self.points)))
+        self._hold(points, medians)
+
+    @classmethod
+    def fitted(cls, points: np.ndarray, medians: np.ndarray) -> Shards:
+        """The shards of points and medians that were fitted before."""
+        out = cls.__new__(cls)
+        out._hold(points, medians)
+        return out
+
+    def _hold(self, points: np.ndarray, medians: np.ndarray) -> None:
+        self.levels, self.points, self.medians, self.norms = len(points).bit_length(), points, medians, _norms(points)
+        empty = (len(points) + 1, min(POINTS, len(points)))
         self.least, self.most = np.full(empty, np.inf), np.full(empty, -np.inf)
 
     def route(self, vectors: np.ndarray) -> np.ndarray:
@@ -221,6 +232,32 @@ class Search:
         self.visit(np.arange(len(self.q["rows"])), 0, len(self.t["rows"]))
 
 
+def _gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row for a batch's vectors of a dimension."""
+    for pdf in batches:
+        for dim, own in pdf.groupby("dim"):
+            row = (dim, own["row"].to_numpy("int64").tobytes(), _matrix(own["vector"]).tobytes())
+            yield pd.DataFrame([row], columns=[c.split()[0] for c in SAMPLED.split(", ")])
+
+
+def _fit(share: float):
+    """The points and medians of a dimension, of the sample in the order of its rows."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        dim = int(pdf["dim"].iloc[0])
+        order = np.argsort(np.concatenate([_longs(b) for b in pdf["rows"]]))
+        wanted = max(1, round(len(order) / share / SHARD))
+        levels = min(LEVELS, (wanted - 1).bit_length(), max(0, (len(order) // PER_SHARD).bit_length() - 1))
+        fitted = []
+        if levels:
+            sample = np.concatenate([np.frombuffer(b).reshape(-1, dim) for b in pdf["vectors"]])[order]
+            shards = Shards(sample, levels)
+            fitted = [(dim, shards.points.tobytes(), shards.medians.tobytes())]
+        return pd.DataFrame(fitted, columns=[c.split()[0] for c in FITTED.split(", ")])
+
+    return run
+
+
 def _plant(shards: dict[int, Shards]):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         vectors = _matrix(pdf["vector"])
@@ -305,10 +342,12 @@ def fit_shards(rows: DataFrame) -> dict[int, Shards]:
     """The shards of each dimension that has a share in the sample, of ``usable`` rows.
 
     The sample is of at most ``SAMPLE`` components (4,194,304; 65,536 vectors
-    of 64 dimensions) in expectation, rows chosen by a hash of their place; it
-    is all that goes to the driver. A dimension has a shard per ``SHARD`` rows,
-    rounded up to a power of two, at most one per ``PER_SHARD`` sampled vectors
-    and ``2 ** LEVELS``; where rows are many more, shards have more parts.
+    of 64 dimensions) in expectation, rows chosen by a hash of their place. A
+    task gathers a dimension's share of it and fits the shards; their points and
+    medians, a ``PER_SHARD``-th of the sample at most, go to the driver. A
+    dimension has a shard per ``SHARD`` rows, rounded up to a power of two, at
+    most one per ``PER_SHARD`` sampled vectors and ``2 ** LEVELS``; where rows
+    are many more, shards have more parts.
     """
     size = rows.groupBy("dim").agg(F.count("*").alias("n"))
     total = size.agg(F.sum(F.col("n") * F.col("dim"))).first()[0] or 0
@@ -316,15 +355,10 @@ def fit_shards(rows: DataFrame) -> dict[int, Shards]:
         return {}
     share = min(1.0, SAMPLE / total)
     chosen = F.shiftrightunsigned(F.xxhash64("row", F.lit("sample")), 11) < int(share * (1 << 53))
-    by_dim: dict[int, list] = {}
-    for r in rows.where(chosen).select("dim", "vector").toLocalIterator():
-        by_dim.setdefault(r.dim, []).append(r.vector)
+    sample = rows.where(chosen).select("row", "dim", "vector").mapInPandas(_gather, SAMPLED)
     out = {}
-    for dim, own in by_dim.items():
-        wanted = max(1, round(len(own) / share / SHARD))
-        levels = min(LEVELS, (wanted - 1).bit_length(), max(0, (len(own) // PER_SHARD).bit_length() - 1))
-        if levels:
-            out[dim] = Shards(_matrix(pd.Series(own)), levels)
+    for r in sample.groupBy("dim").applyInPandas(_fit(share), FITTED).collect():
+        out[r.dim] = Shards.fitted(np.frombuffer(r.points).reshape(-1, r.dim), np.frombuffer(r.medians))
     return out
 
 

@@ -1,5 +1,7 @@
 """Operator 4 against brute force."""
 
+import pickle
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +105,26 @@ def test_shards_bound_what_is_routed_to_them():
     assert set(equal.route(np.ones((5, 3)))) == {0}
 
 
+def test_the_sample_is_not_gathered_on_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(vantage, "SHARD", 64)
+    rng = np.random.default_rng(9)
+    rows = list(enumerate(rng.normal(size=(2000, 16)).tolist() + rng.normal(size=(300, 3)).tolist() + [[1.0, 2.0]] * 3))
+    df = staged(vantage.usable(frame(spark, rows).repartition(7)), "test-vectors")
+    sent, collect, iterate = [], type(df).collect, type(df).toLocalIterator
+    monkeypatch.setattr(type(df), "collect", lambda self: [sent.append(r) or r for r in collect(self)])
+    monkeypatch.setattr(type(df), "toLocalIterator", lambda self, *a: (sent.append(r) or r for r in iterate(self, *a)))
+    shards = vantage.fit_shards(df)
+    monkeypatch.undo()
+    # one point and median a node; the driver needs neither rows nor ids
+    assert {dim: s.levels for dim, s in shards.items()} == {16: 5, 3: 3}
+    assert sum(len(pickle.dumps(r.asDict())) for r in sent) < 2 * 8 * (31 * 17 + 7 * 4)
+    for dim, s in shards.items():
+        own = vantage._matrix(df.where(F.col("dim") == dim).orderBy("row").toPandas()["vector"])
+        whole = vantage.Shards(own, s.levels)
+        assert (s.points == whole.points).all() and (s.medians == whole.medians).all()
+        assert (s.route(own) == whole.route(own)).all() and s.least.shape == whole.least.shape == (1 << s.levels, len(s.points))
+
+
 def test_relaxed_search_keeps_most_neighbours_and_several_dimensions(spark, monkeypatch):
     monkeypatch.setattr(vantage, "SHARD", 128)
     rng = np.random.default_rng(8)
