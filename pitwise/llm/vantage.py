@@ -412,6 +412,8 @@ def nearest(
     first = F.row_number().over(W.partitionBy("q_row").orderBy(F.desc("score"), "vec_id"))
     queries = staged(dealt(routed.where(F.col("id") % every == 0), BLOCK, "block"), "vantage-queries")
     packed = queries.withColumn("floor", F.lit(float("-inf"))).groupBy("dim", "shard", "block").applyInPandas(_pack, PACKED)
+    # The hint keeps a join from being a broadcast, which would bring the vectors to the driver.
+    index = index.hint("merge")
     home = packed.join(index, ["dim", "shard"]).mapInPandas(_search(k, factor), FOUND)
     home = staged(home.withColumn("rank", first).where(F.col("rank") <= k), "vantage-home")
 

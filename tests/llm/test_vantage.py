@@ -1,6 +1,7 @@
 """Operator 4 against brute force."""
 
 import pickle
+import re
 
 import numpy as np
 import pytest
@@ -125,6 +126,26 @@ def test_the_sample_is_not_gathered_on_the_driver(spark, monkeypatch):
         assert (s.route(own) == whole.route(own)).all() and s.least.shape == whole.least.shape == (1 << s.levels, len(s.points))
 
 
+def test_vectors_are_not_broadcast(spark, monkeypatch):
+    joins, join = [], type(spark.range(0)).join
+
+    def noted(self, other, *a, **k):
+        out = join(self, other, *a, **k)
+        if "q_vectors" in self.columns:
+            joins.append(out)
+        return out
+
+    monkeypatch.setattr(type(spark.range(0)), "join", noted)
+    monkeypatch.setattr(vantage, "SHARD", 64)
+    rows = list(enumerate(np.random.default_rng(10).normal(size=(400, 6)).tolist()))
+    check(vantage.nearest(frame(spark, rows)).collect(), brute(rows))
+    assert len(joins) == 2
+    for df in joins:
+        df.collect()
+        ran = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]  # as adaptive execution has left it
+        assert "isFinalPlan=true" in ran and re.findall(r"(\w+Join) (?!Inner,)", ran)[:1] == ["SortMergeJoin"], ran
+
+
 def test_relaxed_search_keeps_most_neighbours_and_several_dimensions(spark, monkeypatch):
     monkeypatch.setattr(vantage, "SHARD", 128)
     rng = np.random.default_rng(8)
